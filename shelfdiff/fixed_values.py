@@ -99,3 +99,6 @@ RAW_RETENTION_DAYS = 90
 
 REQUIRED_FIELDS = ("id", "week", "source_id", "brand", "channel", "name", "source_url",
                    "first_seen", "last_seen")
+
+# role of a log record -> heading in a transcript
+SPEAKERS = {"user": "나", "assistant": "Claude"}
