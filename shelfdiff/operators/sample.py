@@ -54,7 +54,7 @@ def allocate(sizes: DataFrame, total: int, weights: dict[str, int] | None = None
         pairs = [F.lit(x) for item in weights.items() for x in item]
         weight = F.try_element_at(F.create_map(*pairs), F.col("source_id")).cast("bigint")
     fixed_part = (sizes.withColumn("weight", weight)
-                  .withColumn("fixed", F.least("weight", "size")))
+                  .withColumn("fixed", F.when(F.col("weight").isNotNull(), F.least("weight", "size"))))
     everything = Window.partitionBy()
     remaining = F.lit(total) - F.coalesce(F.sum("fixed").over(everything), F.lit(0))
     pool = F.sum(F.when(F.col("fixed").isNull(), F.col("size"))).over(everything)
