@@ -6,15 +6,19 @@ rows by (key rank, previous position) and every previous row prefers the earlies
 Its result is unique and does not depend on the order of proposals, so it is computed in bulk:
 
 * pairs that see only each other on every shared key are final after two aggregations;
-* the rest propose in rounds, a whole key pool at a time, until nobody is left to propose.
+* the contested rest of a source-week is settled in list order by one task, as long as its
+  counted size is small;
+* in source-weeks with more contested rows than that, rows propose in rounds, a whole key pool
+  at a time, until nobody is left to propose.
 
-No pool is ever expanded to its pairs, and no pool or component has to fit one task.
+No pool is ever expanded to its pairs, and no unbounded group has to fit one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +30,16 @@ from shelfdiff.session import cut_lineage
 PAIR = ["source_id", "week"]
 POOL = [*PAIR, "key", "value"]
 NAME_PRICE = "name_price"
+SERIAL_LIMIT = 200_000
 _FREE = (1 << 63) - 1
 
 
 def name_price_key(name: Column, price: Column) -> Column:
-    """The weakest automatic key: normalized name and price; an unknown price equals itself."""
-    return F.concat(normalize_name(name), F.lit("\u0000"),
+    """The weakest automatic key: normalized name and price; an unknown price equals itself.
+
+    The separator is white space to ``normalize_name``, so no name contains it.
+    """
+    return F.concat(normalize_name(name), F.lit("\u001f"),
                     F.coalesce(price.cast("string"), F.lit("-")))
 
 
@@ -64,11 +72,13 @@ def match_keys(items: DataFrame, cross: tuple[str, ...] = fixed.CROSS_SOURCE_KEY
 
 
 def layered_match(prev: DataFrame, cur: DataFrame,
-                  cross: tuple[str, ...] = fixed.CROSS_SOURCE_KEYS) -> DataFrame:
+                  cross: tuple[str, ...] = fixed.CROSS_SOURCE_KEYS,
+                  serial_limit: int = SERIAL_LIMIT) -> DataFrame:
     """``(source_id, week, cur_pos, prev_pos, matched_by)``, one row per matched pair.
 
     Both sides carry the current week in ``week``. Runs jobs: one for the pairs that are final
-    at once, and three small ones per round for the contested rest, usually none.
+    at once, and more only when rows are contested. ``serial_limit`` bounds the key rows of a
+    source-week that one task settles.
     """
     cur_keys = match_keys(cur, cross, name_price=True)
     prev_keys = match_keys(prev, cross, name_price=True)
@@ -117,12 +127,54 @@ def layered_match(prev: DataFrame, cur: DataFrame,
                           .select(*POOL, F.col("pos").alias("prev_pos")))
     wanted = cut_lineage(wanted.join(offered.select(*POOL).distinct(), POOL, "left_semi")
                          .select(*POOL, "rank", F.col("pos").alias("cur_pos")))
+
+    sizes = (wanted.select(*PAIR).unionByName(offered.select(*PAIR)).groupBy(*PAIR)
+             .agg(F.count(F.lit(1)).alias("n")))
+    large = sizes.filter(F.col("n") > serial_limit).select(*PAIR)
+    contested_pairs = _settle_in_order(wanted.join(large, PAIR, "left_anti"),
+                                       offered.join(large, PAIR, "left_anti"))
+    if not large.isEmpty():
+        contested_pairs = contested_pairs.unionByName(_settle_in_rounds(
+            wanted.join(large, PAIR, "left_semi"), offered.join(large, PAIR, "left_semi")))
+    return settled.unionByName(cut_lineage(contested_pairs))
+
+
+def _serve(wanted: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+    """The contested rows of one source-week, in list order."""
+    stock = {}
+    offers = offered.sort_values("prev_pos", ascending=False)
+    for p, key, value in zip(offers["prev_pos"], offers["key"], offers["value"]):
+        stock.setdefault((key, value), []).append(p)
+    gone, served, out = set(), set(), []
+    calls = wanted.sort_values(["cur_pos", "rank"])
+    for c, key, value in zip(calls["cur_pos"], calls["key"], calls["value"]):
+        seats = stock.get((key, value), [])
+        while seats and seats[-1] in gone:
+            seats.pop()
+        if seats and c not in served:
+            served.add(c)
+            gone.add(seats[-1])
+            out.append((c, seats.pop(), key))
+    pairs = pd.DataFrame(out, columns=["cur_pos", "prev_pos", "matched_by"])
+    for column in PAIR:
+        pairs[column] = wanted[column].iloc[0] if len(wanted) else None
+    return pairs[[*PAIR, "cur_pos", "prev_pos", "matched_by"]]
+
+
+def _settle_in_order(wanted: DataFrame, offered: DataFrame) -> DataFrame:
+    """Source-weeks whose contested rows are few enough for one task each."""
+    return (wanted.groupBy(*PAIR).cogroup(offered.groupBy(*PAIR)).applyInPandas(
+        _serve, "source_id string, week string, cur_pos bigint, prev_pos bigint, "
+                "matched_by string"))
+
+
+def _settle_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
+    """Source-weeks of any size; the layer is the best key both rows of a pair share."""
     held = _propose_in_rounds(wanted, offered)
-    by_layer = (wanted.join(held, [*PAIR, "cur_pos"])
-                .join(offered, [*POOL, "prev_pos"], "left_semi")
-                .groupBy(*PAIR, "cur_pos", "prev_pos")
-                .agg(F.min_by("key", "rank").alias("matched_by")))
-    return settled.unionByName(cut_lineage(by_layer))
+    return (wanted.join(held, [*PAIR, "cur_pos"])
+            .join(offered, [*POOL, "prev_pos"], "left_semi")
+            .groupBy(*PAIR, "cur_pos", "prev_pos")
+            .agg(F.min_by("key", "rank").alias("matched_by")))
 
 
 def _propose_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
@@ -131,8 +183,8 @@ def _propose_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
     A previous row only ever trades its holder for an earlier one, so being turned away is
     final and the holders are all the state there is. A round looks at each current row
     without a partner, finds its best pool that could still take it, and lines up the rows of
-    a pool with the previous rows open to them. Only rows ahead of the pool's earliest outside
-    holder move, because only for them are all open rows open alike; the others move later.
+    a pool with its open previous rows. The line holds up to the first row whose opposite is
+    already taken by someone before it; the rows behind wait for the next round.
     """
     free = F.lit(_FREE)
     held = wanted.select(*PAIR, F.col("cur_pos").alias("prev_pos"), "cur_pos").limit(0)
@@ -152,12 +204,13 @@ def _propose_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
 
         first = callers.groupBy(*POOL).agg(F.min("cur_pos").alias("first"))
         open_seats = seats.join(first, POOL).filter("holder > first")
-        barrier = open_seats.groupBy(*POOL).agg(F.min("holder").alias("barrier"))
-        ahead = callers.join(barrier, POOL).filter("cur_pos < barrier")
-        calls = (number_in_group(ahead.select(*POOL, "cur_pos"), POOL, "cur_pos")
-                 .join(number_in_group(open_seats.select(*POOL, "prev_pos"), POOL, "prev_pos"),
-                       [*POOL, "rn"])
-                 .select(*PAIR, "prev_pos", "cur_pos"))
+        line = (number_in_group(callers, POOL, "cur_pos")
+                .join(number_in_group(open_seats.select(*POOL, "prev_pos", "holder"), POOL,
+                                      "prev_pos"), [*POOL, "rn"]))
+        broken = (line.filter("holder < cur_pos").groupBy(*POOL)
+                  .agg(F.min("rn").alias("broken")))
+        calls = (line.join(broken, POOL, "left")
+                 .filter("broken IS NULL OR rn < broken").select(*PAIR, "prev_pos", "cur_pos"))
         held = cut_lineage(held.unionByName(calls).groupBy(*PAIR, "prev_pos")
                            .agg(F.min("cur_pos").alias("cur_pos")))
 

@@ -56,8 +56,11 @@ def _pieces(names: DataFrame, threshold: float) -> DataFrame:
 
 def _substrings(names: DataFrame, threshold: float) -> DataFrame:
     """Every substring of a current name that could be a piece of a partner."""
-    longest = int(1.0 / (2.0 * (1.0 - threshold) / threshold)) + 1
-    size = F.explode(F.sequence(F.lit(1), F.lit(longest)))
+    spoilt = 2.0 * (1.0 - threshold) / threshold
+    fewest = F.ceil(F.length("name") * threshold / (2.0 - threshold) - F.lit(1e-9))
+    shortest = F.greatest(F.lit(1), F.floor(fewest / (fewest * spoilt + 1.0)).cast("int"))
+    longest = F.least(F.greatest(F.length("name"), shortest), F.lit(int(1.0 / spoilt) + 1))
+    size = F.explode(F.sequence(F.least(shortest, longest), longest))
     n = F.length("name")
     empty = (names.filter(n == 0).withColumn("at", F.lit(0)).withColumn("piece", F.lit("")))
     filled = (names.withColumn("size", size).filter(n >= F.col("size"))

@@ -43,7 +43,7 @@ FROM cur GROUP BY ALL
 """))
 def _name_price(t):
     key = match.name_price_key(_("name"), _("price"))
-    parts = F.split(key, "\u0000")
+    parts = F.split(key, "\u001f")
     return cur_items(t).groupBy("source_id", parts[0].alias("name"), parts[1].alias("price")).agg(
         F.count(F.lit(1)).alias("n"))
 
