@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
@@ -73,15 +73,27 @@ def attach(matches: DataFrame, prev: DataFrame, cur: DataFrame,
             .join(side(prev, "prev"), [*PAIR, "prev_pos"]))
 
 
-def changed(pairs: DataFrame, fields: tuple[str, ...] = fixed.TRACKED_FIELDS) -> DataFrame:
-    """Matched pairs in which a tracked field differs, with from and to per field."""
+def _differences(fields: tuple[str, ...]) -> Column:
+    """Tracked fields that differ, as a map field -> (from, to)."""
     entries = F.array(*[F.struct(
         F.lit(f).alias("key"),
         F.struct(F.col(f"prev.{f}").cast("string").alias("from"),
                  F.col(f"cur.{f}").cast("string").alias("to")).alias("value")) for f in fields])
-    differing = F.map_filter(F.map_from_entries(entries),
-                             lambda _, v: ~v["from"].eqNullSafe(v["to"]))
-    return pairs.withColumn("fields", differing).filter(F.size("fields") > 0)
+    return F.map_filter(F.map_from_entries(entries),
+                        lambda _, v: ~v["from"].eqNullSafe(v["to"]))
+
+
+def _disagreements() -> Column:
+    """Keys of the current row that the previous row has with another value."""
+    def other(key: Column) -> Column:
+        return F.try_element_at(F.col("prev.alt_ids"), key)
+
+    return F.map_filter("cur.alt_ids", lambda k, v: (v != "") & (other(k) != "") & (other(k) != v))
+
+
+def changed(pairs: DataFrame, fields: tuple[str, ...] = fixed.TRACKED_FIELDS) -> DataFrame:
+    """Matched pairs in which a tracked field differs, with from and to per field."""
+    return pairs.withColumn("fields", _differences(fields)).filter(F.size("fields") > 0)
 
 
 def key_conflicts(pairs: DataFrame) -> DataFrame:
@@ -89,13 +101,11 @@ def key_conflicts(pairs: DataFrame) -> DataFrame:
 
     Only keys the previous row has under ``alt_ids`` can conflict, so external_id never does.
     """
-    alt = F.map_filter("cur.alt_ids", lambda _, v: v.isNotNull() & (v != ""))
     entries = pairs.select(*PAIR, "cur_pos", "prev_pos", "matched_by", F.col("cur.name"),
                            F.col("prev.alt_ids").alias("_before"),
-                           F.explode(alt).alias("conflicting_key", "current"))
+                           F.explode(_disagreements()).alias("conflicting_key", "current"))
     before = F.try_element_at("_before", F.col("conflicting_key"))
-    return (entries.withColumn("previous", before).drop("_before")
-            .filter((F.col("previous") != "") & (F.col("previous") != F.col("current"))))
+    return entries.withColumn("previous", before).drop("_before")
 
 
 def unmatched(items: DataFrame, taken: DataFrame, pos: str) -> DataFrame:
@@ -103,17 +113,28 @@ def unmatched(items: DataFrame, taken: DataFrame, pos: str) -> DataFrame:
     return items.join(taken.select(*PAIR, F.col(pos).alias("pos")), [*PAIR, "pos"], "left_anti")
 
 
-def diff_counts(prev: DataFrame, cur: DataFrame, matches: DataFrame, added: DataFrame,
-                removed: DataFrame, changed_: DataFrame, review: DataFrame,
-                conflicts: DataFrame) -> DataFrame:
-    """One row per source-week with the eight counts, in one aggregation."""
-    tables = dict(zip(COUNTS, (prev, cur, matches, added, removed, changed_, review, conflicts)))
-    tagged = None
-    for name, table in tables.items():
-        rows = table.select(*PAIR, F.lit(name).alias("kind"))
-        tagged = rows if tagged is None else tagged.unionByName(rows)
-    return tagged.groupBy(*PAIR).agg(
-        *[F.count_if(F.col("kind") == name).alias(name) for name in COUNTS])
+def diff_counts(prev: DataFrame, cur: DataFrame, pairs: DataFrame, review: DataFrame,
+                fields: tuple[str, ...] = fixed.TRACKED_FIELDS) -> DataFrame:
+    """One row per source-week with the eight counts.
+
+    Every input is read once: what is neither matched nor in review was added or removed, and
+    changes and conflicts are counted on the matched pairs in passing.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def facts(df: DataFrame, **measures: Column) -> DataFrame:
+        return df.select(*PAIR, *[measures.get(c, none).cast("bigint").alias(c) for c in (
+            "previous", "current", "matched", "changed", "review", "conflicts")])
+
+    disagreeing = F.coalesce(F.when(F.col("cur.alt_ids").isNotNull(), F.size(_disagreements())), none)
+    differing = F.when(F.size(_differences(fields)) > 0, one).otherwise(none)
+    rows = (facts(prev, previous=one).unionByName(facts(cur, current=one))
+            .unionByName(facts(pairs, matched=one, changed=differing, conflicts=disagreeing))
+            .unionByName(facts(review, review=one)))
+    sums = rows.groupBy(*PAIR).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in PAIR])
+    return (sums.withColumn("added", F.expr("current - matched - review"))
+            .withColumn("removed", F.expr("previous - matched - review"))
+            .select(*PAIR, *COUNTS))
 
 
 def diff_pair(prev: DataFrame, cur: DataFrame,
@@ -134,7 +155,7 @@ def diff_pair(prev: DataFrame, cur: DataFrame,
     changed_ = changed(pairs, fields)
     conflicts = key_conflicts(pairs)
     review = attach(in_review, prev, cur, columns)
-    counts = diff_counts(prev, cur, matches, added, removed, changed_, in_review, conflicts)
+    counts = diff_counts(prev, cur, pairs, in_review, fields)
     return Diff(added, removed, changed_, review, conflicts, counts, matches)
 
 

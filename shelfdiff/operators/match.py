@@ -86,36 +86,33 @@ def layered_match(prev: DataFrame, cur: DataFrame,
     both = (cur_keys.withColumn("is_cur", F.lit(True))
             .unionByName(prev_keys.withColumn("is_cur", F.lit(False))))
     is_cur = F.col("is_cur")
-    pools = (both.groupBy(*POOL).agg(
-        F.count_if(is_cur).alias("n_cur"), F.count_if(~is_cur).alias("n_prev"),
-        F.min(F.when(is_cur, F.col("pos"))).alias("cur_pos"),
-        F.min(F.when(~is_cur, F.col("pos"))).alias("prev_pos"),
-        F.min(F.when(is_cur, F.col("rank"))).alias("rank"))
-        .filter("n_cur > 0 AND n_prev > 0"))
-
     lone = (F.col("n_cur") == 1) & (F.col("n_prev") == 1)
-    edges = pools.filter(lone).select(*PAIR, "cur_pos", "prev_pos", "rank", "key")
-    crowded = pools.filter(~lone).select(*POOL)
-
+    pools = cut_lineage(
+        both.groupBy(*POOL).agg(
+            F.count_if(is_cur).alias("n_cur"), F.count_if(~is_cur).alias("n_prev"),
+            F.min(F.when(is_cur, F.col("pos"))).alias("cur_pos"),
+            F.min(F.when(~is_cur, F.col("pos"))).alias("prev_pos"),
+            F.min(F.when(is_cur, F.col("rank"))).alias("rank"))
+        .filter("n_cur > 0 AND n_prev > 0")
+        .select(*PAIR, "key", F.when(~lone, F.col("value")).alias("value"), "rank",
+                lone.alias("lone"), F.when(lone, F.col("cur_pos")).alias("cur_pos"),
+                F.when(lone, F.col("prev_pos")).alias("prev_pos")))
+
+    edges = pools.filter("lone").select(*PAIR, "cur_pos", "prev_pos", "rank", "key")
     seen_by_cur = edges.groupBy(*PAIR, "cur_pos").agg(
         F.min("prev_pos").alias("prev_pos"), F.max("prev_pos").alias("prev_last"),
         F.min_by("key", "rank").alias("matched_by"))
     seen_by_prev = edges.groupBy(*PAIR, "prev_pos").agg(
         F.min("cur_pos").alias("cur_first"), F.max("cur_pos").alias("cur_last"))
-    in_crowd = both.join(crowded, POOL, "left_semi").select(*PAIR, "is_cur", "pos").distinct()
-    cur_in_crowd = in_crowd.filter(is_cur).select(*PAIR, F.col("pos").alias("cur_pos"))
-    prev_in_crowd = in_crowd.filter(~is_cur).select(*PAIR, F.col("pos").alias("prev_pos"))
-
-    judged = (seen_by_cur.join(seen_by_prev, [*PAIR, "prev_pos"])
-              .join(cur_in_crowd.withColumn("cur_crowd", F.lit(True)), [*PAIR, "cur_pos"], "left")
-              .join(prev_in_crowd.withColumn("prev_crowd", F.lit(True)), [*PAIR, "prev_pos"],
-                    "left"))
-    final = ((F.col("prev_pos") == F.col("prev_last")) & (F.col("cur_first") == F.col("cur_last"))
-             & F.col("cur_crowd").isNull() & F.col("prev_crowd").isNull())
-    verdict = cut_lineage(
-        judged.select(*PAIR, "cur_pos", "prev_pos", "matched_by", final.alias("final"))
-        .unionByName(cur_in_crowd.select(*PAIR, "cur_pos", F.lit(False).alias("final")),
-                     allowMissingColumns=True))
+    judged = seen_by_cur.join(seen_by_prev, [*PAIR, "prev_pos"]).withColumn(
+        "final", (F.col("prev_pos") == F.col("prev_last"))
+        & (F.col("cur_first") == F.col("cur_last")))
+
+    crowded = pools.filter("NOT lone").select(*POOL)
+    if not crowded.isEmpty():
+        in_crowd = both.join(crowded, POOL, "left_semi").select(*PAIR, "is_cur", "pos").distinct()
+        judged = _unsettle(judged, in_crowd)
+    verdict = cut_lineage(judged.select(*PAIR, "cur_pos", "prev_pos", "matched_by", "final"))
 
     settled = verdict.filter("final").drop("final")
     contested = verdict.filter("NOT final").select(*PAIR, F.col("cur_pos").alias("pos"))
@@ -139,6 +136,19 @@ def layered_match(prev: DataFrame, cur: DataFrame,
     return settled.unionByName(cut_lineage(contested_pairs))
 
 
+def _unsettle(judged: DataFrame, in_crowd: DataFrame) -> DataFrame:
+    """Pairs with a row in a crowded pool are not final; rows only there join in without one."""
+    def marked(is_cur: bool, name: str) -> DataFrame:
+        return in_crowd.filter(F.col("is_cur") == is_cur).select(
+            *PAIR, F.col("pos").alias(f"{name}_pos"), F.lit(True).alias(f"{name}_crowd"))
+
+    return (judged.join(marked(True, "cur"), [*PAIR, "cur_pos"], "full_outer")
+            .join(marked(False, "prev"), [*PAIR, "prev_pos"], "left")
+            .withColumn("final", F.coalesce(
+                F.col("final") & F.col("cur_crowd").isNull() & F.col("prev_crowd").isNull(),
+                F.lit(False))))
+
+
 def _serve(wanted: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
     """The contested rows of one source-week, in list order."""
     stock = {}
