@@ -40,16 +40,15 @@ def flatten_blocks(records: DataFrame, content: str = "content") -> DataFrame:
         *keep, F.lit(0).alias("block"), F.lit("text").alias("kind"),
         _get(F.col("_v"), "$").alias("text"))
 
-    # tool arguments are taken from the raw text, which keeps the order of their keys
-    raw = F.from_json(F.col(content), "array<struct<input string>>")
     blocks = (parsed.filter(kind.startswith("ARRAY"))
-              .withColumn("_raw", raw)
-              .select(*keep, "_raw", F.posexplode(_get(F.col("_v"), "$", "array<variant>"))
+              .select(*keep, content, F.posexplode(_get(F.col("_v"), "$", "array<variant>"))
                       .alias("block", "_b"))
-              .withColumn("kind", _get(F.col("_b"), "$.type"))
-              .withColumn("_input", F.get("_raw", F.col("block"))["input"]))
+              .withColumn("kind", _get(F.col("_b"), "$.type")))
+    # tool arguments are taken from the raw text, which keeps the order of their keys
+    place = F.concat(F.lit("$["), F.col("block").cast("string"), F.lit("].input"))
+    raw = F.call_function("get_json_object", F.col(content), place)
     block = F.col("_b")
-    call = F.when(F.col("kind") == "tool_use", F.coalesce("_input", F.lit("{}")))
+    call = F.when(F.col("kind") == "tool_use", F.coalesce(raw, F.lit("{}")))
     result = _get(block, "$.content", "variant")
     inner = F.filter(_get(block, "$.content", "array<variant>"),
                      lambda b: _get(b, "$.type") == "text")
