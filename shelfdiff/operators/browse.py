@@ -10,7 +10,7 @@ from shelfdiff.operators import filters
 
 def with_channel_label(df: DataFrame, channels: DataFrame) -> DataFrame:
     """Adds the channel's display name; a code without one shows itself."""
-    return (df.join(F.broadcast(channels.select("channel", F.col("label").alias("_label"))),
+    return (df.join(channels.select("channel", F.col("label").alias("_label")),
                     "channel", "left")
             .withColumn("channel_label", F.coalesce("_label", "channel")).drop("_label"))
 
@@ -27,7 +27,7 @@ def facets(publication: DataFrame, channels: DataFrame) -> DataFrame:
     counts = (long.filter(F.col("value") != "").groupBy("week", "facet", "value")
               .agg(F.count(F.lit(1)).alias("count")))
     choices = counts.groupBy("week", "facet").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 2")
-    named = F.broadcast(channels.select(F.lit("channel").alias("facet"),
+    named = (channels.select(F.lit("channel").alias("facet"),
                                         F.col("channel").alias("value"), F.col("label")))
     return (counts.join(choices, ["week", "facet"], "left_semi")
             .join(named, ["facet", "value"], "left")

@@ -117,7 +117,7 @@ def with_taxonomy(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
     lists = (taxonomy.groupBy("channel")
              .agg(F.sort_array(F.collect_list(F.struct("ord", "category"))).alias("_l"))
              .select("channel", F.col("_l.category").alias("categories")))
-    return rows.join(F.broadcast(lists), "channel", "left")
+    return rows.join(lists, "channel", "left")
 
 
 def check_taxonomy(sources: DataFrame, taxonomy: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def from_list(added: DataFrame) -> DataFrame:
 
 def detail_worklist(added: DataFrame, dim: DataFrame) -> DataFrame:
     """Rows still without a description, of sources that have detail pages, with a key."""
-    detail = F.broadcast(dim.filter("detail").select("source_id"))
+    detail = dim.filter("detail").select("source_id")
     return (added.filter(~_described() & (F.col("external_id") != ""))
             .join(detail, "source_id", "left_semi"))
 

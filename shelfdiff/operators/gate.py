@@ -104,9 +104,8 @@ def gate_verdict(meta: DataFrame, items: DataFrame, dim: DataFrame, looked_back:
 
 
 def failed_sources(verdict: DataFrame) -> DataFrame:
-    """Per week the sources that failed; a list no longer than the registry."""
-    return (verdict.filter("NOT ok").groupBy("week")
-            .agg(F.sort_array(F.collect_set("source_id")).alias("failed")))
+    """Source-weeks that failed, one row each: all others go on without them."""
+    return verdict.filter("NOT ok").select("week", "source_id", "reason").orderBy("week", "source_id")
 
 
 def accept_new(candidates: DataFrame, existing: DataFrame, refresh: bool = False) -> DataFrame:

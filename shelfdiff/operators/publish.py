@@ -54,14 +54,14 @@ def publish(added: DataFrame, edits: DataFrame, enriched: DataFrame, previous_pu
     """Published rows of the added items that are in scope.
 
     ``edits`` is the result of ``apply_edits``, ``previous_pub`` that of
-    ``compared_publication``. The registry is joined by broadcast: it has a fixed size.
+    ``compared_publication``. The registry is small and inside the plan, so Spark broadcasts it.
     """
     kept, _ = drop_out_of_scope(added, edits)
     edit = edits.select(*KEY, F.col("category").alias("_category"), F.col("tags").alias("_edit_tags"),
                         F.col("blurb").alias("_blurb"))
     facts = enriched.select(*KEY, F.col("tags").alias("_facts_tags"))
     rows = (carry_forward_ids(kept, previous_pub).join(edit, KEY, "left")
-            .join(facts, KEY, "left").join(F.broadcast(dim), "source_id"))
+            .join(facts, KEY, "left").join(dim, "source_id"))
     return rows.select(
         "id", "week", "brand", "channel", "name", "price",
         F.coalesce(F.when(F.col("_category") != "", F.col("_category")), F.col("category_raw"))

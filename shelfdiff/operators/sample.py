@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
 
 
-def sample_per_group(df: DataFrame, by: list[str], n: int | Column = fixed.SAMPLE_PER_SOURCE,
-                     seed: int = 0, value: str = "image_url") -> DataFrame:
+def sample_per_group(df: DataFrame, by: list[str], n: int = fixed.SAMPLE_PER_SOURCE,
+                     seed: int = 0, value: str = "image_url",
+                     keep_rank: str | None = None) -> DataFrame:
     """Up to ``n`` rows per group in a seeded random order; blank values take no part.
 
-    Spark keeps at most ``n`` rows per group and task before the shuffle when ``n`` is a
-    number, so a huge group costs no more than its sample.
+    Spark keeps at most ``n`` rows per group and task before the shuffle, so a huge group costs
+    no more than its sample. ``keep_rank`` names a column for the place in that order.
     """
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(value), F.col("external_id")))
     order = Window.partitionBy(*by).orderBy(draw, F.col(value), F.col("external_id"))
-    limit = F.lit(n) if isinstance(n, int) else n
-    return (df.filter(F.col(value) != "").withColumn("_rn", F.row_number().over(order))
-            .filter(F.col("_rn") <= limit).drop("_rn"))
+    drawn = (df.filter(F.col(value) != "").withColumn("_rn", F.row_number().over(order))
+             .filter(F.col("_rn") <= n))
+    return drawn.withColumnRenamed("_rn", keep_rank) if keep_rank else drawn.drop("_rn")
 
 
 def pass_rate(probes: DataFrame, by: str = "source_id",
@@ -66,11 +67,12 @@ def allocate(sizes: DataFrame, total: int, weights: dict[str, int] | None = None
             .filter("n IS NOT NULL"))
 
 
-def sample_allocated(df: DataFrame, plan: DataFrame, seed: int = 0,
+def sample_allocated(df: DataFrame, plan: DataFrame, total: int, seed: int = 0,
                      value: str = "external_id") -> DataFrame:
-    """Draw the planned number of rows per source."""
-    sized = df.join(plan.select("source_id", "n"), "source_id")
-    return sample_per_group(sized, ["source_id"], F.col("n"), seed, value).drop("n")
+    """Draw the planned number of rows per source; no plan of ``allocate`` exceeds ``total``."""
+    drawn = sample_per_group(df, ["source_id"], total, seed, value, keep_rank="_rank")
+    return (drawn.join(plan.select("source_id", "n"), "source_id")
+            .filter(F.col("_rank") <= F.col("n")).drop("n", "_rank"))
 
 
 def category_distribution(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -90,7 +92,7 @@ def category_distribution(df: DataFrame, by: list[str] | None = None) -> DataFra
 def edit_quality(df: DataFrame, taxonomy: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per group: edited, outside the channel's list, with blurb, out of scope."""
     by = by or []
-    allowed = F.broadcast(taxonomy.select("channel", "category").distinct()
+    allowed = (taxonomy.select("channel", "category").distinct()
                           .withColumn("_listed", F.lit(True)))
     rows = df.join(allowed, ["channel", "category"], "left")
     return rows.groupBy(*by).agg(
@@ -108,7 +110,7 @@ def source_pivot(df: DataFrame, categories: list[str] | None = None) -> DataFram
 
 def item_listing(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Items by source and category, marked when the category is not on the channel's list."""
-    allowed = F.broadcast(taxonomy.select("channel", "category").distinct()
+    allowed = (taxonomy.select("channel", "category").distinct()
                           .withColumn("_listed", F.lit(True)))
     return (df.join(allowed, ["channel", "category"], "left")
             .select("source_id", "category", "name", "blurb",

@@ -205,18 +205,21 @@ look AS (SELECT source_id, week, n, wi, last_value(week) OVER (PARTITION BY sour
 # ---------------------------------------------------------------- category dimension
 # Types are categories, in the order of their names; no bootstrap count for LARGE.
 
-CATEGORY_SQL = """
-SELECT source_id, code, name, priority,
-       CASE WHEN name <> 'LARGE' THEN 1 + priority % 2 END AS bootstrap_count
-FROM (SELECT s.source_id, 'c' || CAST(d.priority AS STRING) AS code, d.name, d.priority
-      FROM (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS priority
-            FROM (SELECT DISTINCT p_type AS name FROM {part}) types) d
-      CROSS JOIN (SELECT 'sup' || CAST(s_suppkey AS STRING) AS source_id FROM {supplier}) s) c
-"""
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def category_dim(t: Tables) -> DataFrame:
-    return t.sql(CATEGORY_SQL)
+    types = F.array(*[F.lit(name) for name in _TYPES])
+    rows = t.supplier.select(F.concat(F.lit("sup"), F.col("s_suppkey").cast("string")).alias("source_id"),
+                             F.posexplode(types).alias("i", "name"))
+    priority = (F.col("i") + 1).cast("bigint")
+    return rows.select("source_id", F.concat(F.lit("c"), priority.cast("string")).alias("code"), "name",
+                       priority.alias("priority"),
+                       F.when(F.col("name") != "LARGE", 1 + priority % 2).alias("bootstrap_count"))
 
 
-CATEGORY_CTE = duck(f"dim AS ({CATEGORY_SQL})")
+CATEGORY_CTE = f"""dim AS (
+SELECT source_id, 'c' || CAST(priority AS STRING) AS code, name, priority,
+       CASE WHEN name <> 'LARGE' THEN 1 + priority % 2 END AS bootstrap_count
+FROM (SELECT source_id, unnest({_TYPES}) AS name, unnest([1, 2, 3, 4, 5, 6]::BIGINT[]) AS priority
+      FROM (SELECT 'sup' || CAST(s_suppkey AS STRING) AS source_id FROM supplier) s) c)"""

@@ -299,13 +299,12 @@ def _gate_verdict(t):
 
 @query("source_isolation", f"""
 WITH {WEEKLY_CTE}, volume AS ({_VOLUME})
-SELECT week, string_agg(source_id, ',' ORDER BY source_id) AS failed FROM volume WHERE verdict <> 'ok'
-GROUP BY ALL
+SELECT week, source_id, verdict AS reason FROM volume WHERE verdict <> 'ok'
 """)
 def _isolation(t):
     meta = tables.snapshot_meta(weekly_items(t))
     verdict = gate.check_volume(meta, diff.lookback(meta)).withColumn("ok", _("verdict") == "ok")
-    return gate.failed_sources(verdict).select("week", F.array_join("failed", ",").alias("failed"))
+    return gate.failed_sources(verdict.withColumnRenamed("verdict", "reason"))
 
 
 def _stored_meta(t):

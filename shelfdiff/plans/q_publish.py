@@ -124,8 +124,7 @@ def _validate(t):
 
 
 @query("merge_sources", _with("""
-SELECT source_id, count(*) AS total, count(description) AS with_blurb, CAST(0 AS BIGINT) AS problems
-FROM cur GROUP BY ALL
+SELECT source_id, count(*) AS total, count(description) AS with_blurb FROM cur GROUP BY ALL
 """))
 def _merge(t):
     rows = cur_items(t).join(registry.source_dim(t.spark), "source_id").select(
@@ -133,8 +132,9 @@ def _merge(t):
         "source_url", "source_id", _("week").alias("first_seen"), _("week").alias("last_seen"),
         _("description").alias("blurb"))
     merged = publish.merge([rows.filter(_("source_id") == s) for s in ("starbucks", "cu", "orion")])
-    problems = publish.validate(merged).agg(F.count(F.lit(1)).alias("problems"))
-    return publish.publication_counts(merged, ("source_id",)).crossJoin(problems)
+    problems = publish.validate(merged).select(
+        _("problem").alias("source_id"), F.lit(1).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("with_blurb"))
+    return publish.publication_counts(merged, ("source_id",)).unionByName(problems)
 
 
 @query("publication_counts", f"""
@@ -350,7 +350,7 @@ SELECT source_id, external_id FROM (
 def _allocated(t):
     rows = t.part.select(_("p_type").alias("source_id"), _("p_partkey").cast("string").alias("external_id"))
     plan = sample.allocate(rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("size")), 60)
-    return sample.sample_allocated(rows, plan, seed=3).select("source_id", "external_id")
+    return sample.sample_allocated(rows, plan, 60, seed=3).select("source_id", "external_id")
 
 
 def categorized_parts(t):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfdiff import schemas
 from shelfdiff.functions import text, values
 from shelfdiff.functions import weeks as W
-from shelfdiff.operators import extract, publish
+from shelfdiff.operators import enrich, extract, publish
 from shelfdiff.plans.catalog import (DUCK_MONDAY, DUCK_WEEK, PAIR_CTE, cur_items, duck, prev_items,
                                      query)
 from shelfdiff.session import scratch_path
@@ -126,15 +126,17 @@ def _control_split_map(t):
     return t.part.select("p_partkey", shown(public).alias("public"), shown(private).alias("private"))
 
 
-@query("registry_dims", """
-SELECT * FROM (VALUES ('cafe', 2, 9), ('convenience', 3, 16), ('dessert', 3, 16), ('fmcg', 2, 11),
-  ('mart', 1, 13), ('restaurant', 8, 15)) v(channel, sources, categories),
-  (SELECT count(*) AS items FROM part) p
+@query("registry_dims", f"""
+WITH {PAIR_CTE} SELECT channel, sources, categories, count(*) AS items FROM cur
+JOIN (VALUES ('cu', 'convenience', 3, 16), ('orion', 'fmcg', 2, 11), ('starbucks', 'cafe', 2, 9))
+  v(source_id, channel, sources, categories) USING (source_id) GROUP BY ALL
 """)
 def _registry_dims(t):
-    sources = registry.source_dim(t.spark).groupBy("channel").agg(F.count(F.lit(1)).alias("sources"))
+    dim = registry.source_dim(t.spark)
+    sources = dim.groupBy("channel").agg(F.count(F.lit(1)).alias("sources"))
     lists = registry.taxonomy_dim(t.spark).groupBy("channel").agg(F.count(F.lit(1)).alias("categories"))
-    return sources.join(lists, "channel").crossJoin(t.part.agg(F.count(F.lit(1)).alias("items")))
+    items = cur_items(t).join(dim, "source_id").groupBy("channel").agg(F.count(F.lit(1)).alias("items"))
+    return items.join(sources, "channel").join(lists, "channel")
 
 
 @query("source_registry", """
@@ -170,12 +172,12 @@ def _jsonl(t):
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"))
 
 
-@query("table_sink", f"""
+@query("published_part_sink", f"""
 WITH {PAIR_CTE} SELECT source_id, count(*) AS n, sum(price) AS price FROM (
   SELECT source_id, price FROM cur WHERE source_id <> 'cu'
   UNION ALL SELECT source_id, price FROM prev WHERE source_id = 'cu') x GROUP BY ALL
 """)
-def _table_sink(t):
+def _part_sink(t):
     """Two writes: the second replaces one source and leaves the others."""
     path = scratch_path(t.spark, "parts")
     tables.write_table(cur_items(t), path)
@@ -184,14 +186,20 @@ def _table_sink(t):
     return back.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
 
-@query("missing_table_reads_empty", f"""
-WITH {PAIR_CTE} SELECT source_id, count(*) AS n, CAST(0 AS BIGINT) AS described FROM cur GROUP BY ALL
+@query("enriched_sink", f"""
+WITH {PAIR_CTE} SELECT source_id, count(*) AS n, count(description) AS described, CAST(0 AS BIGINT) AS in_absent_table
+FROM cur GROUP BY ALL
 """)
-def _missing_table(t):
-    none = tables.read_table(t.spark, scratch_path(t.spark, "absent"), schemas.ENRICHED)
-    facts = none.select("source_id", "week", "external_id", F.lit(1).alias("hit"))
-    return cur_items(t).join(facts, ["source_id", "week", "external_id"], "left").groupBy(
-        "source_id").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("described"))
+def _enriched_sink(t):
+    """Written and read back; a table that was never written reads as empty."""
+    path, key = scratch_path(t.spark, "enriched"), ["source_id", "week", "external_id"]
+    tables.write_table(enrich.from_list(cur_items(t)), path)
+    ready = tables.read_table(t.spark, path, schemas.ENRICHED).select(*key, F.lit(1).alias("hit"))
+    none = tables.read_table(t.spark, scratch_path(t.spark, "absent"), schemas.ENRICHED).select(
+        *key, F.lit(1).alias("absent_hit"))
+    return cur_items(t).join(ready, key, "left").join(none, key, "left").groupBy("source_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("hit").alias("described"),
+        F.count("absent_hit").alias("in_absent_table"))
 
 
 def _dated(t):

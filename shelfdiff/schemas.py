@@ -47,3 +47,5 @@ CATEGORY_DIM = _fields(("source_id", S), ("code", S), ("name", S), ("priority",
                        ("bootstrap_count", L))
 
 TAXONOMY_DIM = _fields(("channel", S), ("category", S), ("ord", L))
+
+CHANNEL_DIM = _fields(("channel", S), ("label", S))

@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfdiff import fixed_values as fixed
 from shelfdiff import schemas
 
 
+def _local(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A table inside the plan: Catalyst knows its size and broadcasts it without a hint."""
+    columns = list(zip(*rows))
+    return spark.createDataFrame(pa.table(dict(zip(schema.names, map(list, columns)))), schema)
+
+
 def source_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.SOURCES, schemas.SOURCE_DIM)
+    return _local(spark, fixed.SOURCES, schemas.SOURCE_DIM)
 
 
 def taxonomy_dim(spark: SparkSession) -> DataFrame:
     rows = [(channel, category, i) for channel, categories in fixed.TAXONOMY.items()
             for i, category in enumerate(categories)]
-    return spark.createDataFrame(rows, schemas.TAXONOMY_DIM)
+    return _local(spark, rows, schemas.TAXONOMY_DIM)
 
 
 def channel_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.CHANNEL_DISPLAY, "channel string, label string")
+    return _local(spark, fixed.CHANNEL_DISPLAY, schemas.CHANNEL_DIM)
 
 
 def editor_label_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.CHANNEL_EDITOR_LABEL, "channel string, label string")
+    return _local(spark, fixed.CHANNEL_EDITOR_LABEL, schemas.CHANNEL_DIM)
 
 
 def unknown_sources(items: DataFrame, dim: DataFrame) -> DataFrame:
