@@ -102,3 +102,18 @@ REQUIRED_FIELDS = ("id", "week", "source_id", "brand", "channel", "name", "sourc
 
 # role of a log record -> heading in a transcript
 SPEAKERS = {"user": "나", "assistant": "Claude"}
+
+# patterns
+MARKUP_TAG = "<[^>]+>"
+PRICE_RUN = "[0-9][0-9,]*"
+BARCODE = "[0-9]{8,14}"
+EPISODE_SUFFIX = "[12]편"
+CSS_ADDRESS = r"""url\(\s*['"]?([^'")]+)"""
+PAGE_DATA_ATTRIBUTE = r'(?s)<div id="app"[^>]*\sdata-page="(.*?)"'
+
+# texts shown to readers
+CLIP_NOTE = "\n… (총 %,d자, 이하 생략)"
+TRANSCRIPT_TITLE = "# 세션 "
+THINKING_TITLE = "> **생각**\n> \n> "
+TOOL_CALL_MARK = "▶ "
+WEEK_YEAR, WEEK_NUMBER, WON = "년 ", "주차", "원"

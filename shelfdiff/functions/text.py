@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfdiff import fixed_values as fixed
+
 # White space as Python sees it: Java's Unicode class plus the four separators it leaves out.
 SPACE = r"[\s\x1c-\x1f]"
 _RUNS = f"(?U){SPACE}+"
@@ -89,12 +91,12 @@ def clean_text(c: Column) -> Column:
 
 def strip_markup(c: Column) -> Column:
     """Tags to spaces, then clean_text; signs such as the registered mark stay."""
-    return clean_text(F.regexp_replace(c, "<[^>]+>", " "))
+    return clean_text(F.regexp_replace(c, fixed.MARKUP_TAG, " "))
 
 
 def clean_episode_suffix(c: Column) -> Column:
     """Drop a trailing ``1편`` / ``2편``."""
-    return strip(F.regexp_replace(strip(c), r"[12]편\z", ""))
+    return strip(F.regexp_replace(strip(c), fixed.EPISODE_SUFFIX + r"\z", ""))
 
 
 def hashtags(c: Column) -> Column:
@@ -126,7 +128,7 @@ def strip_fence(c: Column) -> Column:
 def clip_text(c: Column, n: int) -> Column:
     """Trim; beyond ``n`` characters keep the head and say how long the whole was."""
     text = strip(c)
-    note = F.format_string("\n… (총 %,d자, 이하 생략)", F.length(text))
+    note = F.format_string(fixed.CLIP_NOTE, F.length(text))
     return F.when(F.length(text) <= n, text).otherwise(F.concat(F.substring(text, 1, n), note))
 
 

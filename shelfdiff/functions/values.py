@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfdiff import fixed_values as fixed
 from shelfdiff.functions.text import strip
 
 
@@ -46,12 +47,12 @@ def barcode_from_url(url: Column) -> Column:
     file_name = F.substring_index(url, "/", -1)
     stem = F.regexp_replace(file_name, r"\.[^.]*\z", "")
     head = F.substring_index(stem, "_", 1)
-    return F.when(head.rlike(r"\A[0-9]{8,14}\z"), head)
+    return F.when(head.rlike(rf"\A{fixed.BARCODE}\z"), head)
 
 
 def barcode_from_path(url: Column) -> Column:
     """The stricter form: ``/<8-14 digits>.<letters>`` at the end."""
-    return key_from_text(url, r"/([0-9]{8,14})\.[A-Za-z]+\z")
+    return key_from_text(url, rf"/({fixed.BARCODE})\.[A-Za-z]+\z")
 
 
 def price_digits(c: Column) -> Column:
@@ -62,7 +63,7 @@ def price_digits(c: Column) -> Column:
 
 def price_search(c: Column) -> Column:
     """First number in free text."""
-    run = F.regexp_extract(c, r"[0-9][0-9,]*", 0)
+    run = F.regexp_extract(c, fixed.PRICE_RUN, 0)
     return F.when(run != "", F.replace(run, F.lit(","), F.lit("")).try_cast("bigint"))
 
 
@@ -134,9 +135,9 @@ def real_image(c: Column) -> Column:
 
 def css_url(c: Column) -> Column:
     """The address inside an inline ``url(...)``."""
-    return strip(key_from_text(c, r"""url\(\s*['"]?([^'")]+)"""))
+    return strip(key_from_text(c, fixed.CSS_ADDRESS))
 
 
 def format_price(c: Column) -> Column:
     """``1234`` -> ``1,234원``."""
-    return F.when(c.isNotNull(), F.concat(F.format_number(c, 0), F.lit("원")))
+    return F.when(c.isNotNull(), F.concat(F.format_number(c, 0), F.lit(fixed.WON)))

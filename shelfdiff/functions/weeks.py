@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfdiff import fixed_values as fixed
+
 SEOUL = "Asia/Seoul"
 
 
@@ -74,5 +76,5 @@ def current_week() -> Column:
 
 def format_week(week: Column) -> Column:
     """``2026-W33`` -> ``2026년 33주차``."""
-    return F.concat(F.substring(week, 1, 4), F.lit("년 "),
-                    F.substring(week, 7, 2).try_cast("int").cast("string"), F.lit("주차"))
+    return F.concat(F.substring(week, 1, 4), F.lit(fixed.WEEK_YEAR),
+                    F.substring(week, 7, 2).try_cast("int").cast("string"), F.lit(fixed.WEEK_NUMBER))

@@ -93,9 +93,9 @@ def render_blocks(blocks: DataFrame) -> DataFrame:
     thought = F.replace(clip_text(body, fixed.THINKING_CHARS), F.lit("\n"), F.lit("\n> "))
     line = (F.when(kind == "text", F.concat(F.lit("## "), speaker, F.lit("\n\n"), strip(body),
                                             F.lit("\n")))
-            .when(kind == "thinking", F.concat(F.lit("> **생각**\n> \n> "), thought, F.lit("\n")))
+            .when(kind == "thinking", F.concat(F.lit(fixed.THINKING_TITLE), thought, F.lit("\n")))
             .when(kind == "tool_use", F.concat(
-                F.lit("```\n▶ "), clip_text(body, fixed.TOOL_USE_CHARS), F.lit("\n```\n")))
+                F.lit("```\n" + fixed.TOOL_CALL_MARK), clip_text(body, fixed.TOOL_USE_CHARS), F.lit("\n```\n")))
             .when(kind == "tool_result", F.concat(
                 F.lit("```\n"), clip_text(body, fixed.TOOL_RESULT_CHARS), F.lit("\n```\n"))))
     return (blocks.filter(F.col("role").isin(list(fixed.SPEAKERS)) & (strip(body) != ""))
@@ -111,7 +111,7 @@ def render_transcript(blocks: DataFrame, turns_per_part: int = 1_000) -> DataFra
     lines = render_blocks(blocks).withColumn("part", F.floor(F.col("turn") / turns_per_part))
     in_order = F.sort_array(F.collect_list(F.struct("turn", "block", "line")))
     head = F.when(F.col("part") == 0, F.concat(
-        F.lit("# 세션 "), F.substring(F.col("conv_id").cast("string"), 1, 8), F.lit("\n\n"))
+        F.lit(fixed.TRANSCRIPT_TITLE), F.substring(F.col("conv_id").cast("string"), 1, 8), F.lit("\n\n"))
     ).otherwise(F.lit(""))
     return (lines.groupBy("conv_id", "part").agg(in_order.alias("_l"))
             .select("conv_id", "part",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfdiff import fixed_values as fixed
 from shelfdiff import schemas
 from shelfdiff.functions import text, values
 from shelfdiff.functions import weeks as W
@@ -314,7 +315,7 @@ def _embedded(t):
     for char, entity in (("&", "&amp;"), ('"', "&quot;"), ("<", "&lt;")):
         escaped = F.replace(escaped, F.lit(char), F.lit(entity))
     html = F.concat(F.lit('<body><div id="app" class="x" data-page="'), escaped, F.lit('"></div>'))
-    page = extract.embedded_json(html, r'(?s)<div id="app"[^>]*\sdata-page="(.*?)"')
+    page = extract.embedded_json(html, fixed.PAGE_DATA_ATTRIBUTE)
     found = extract.first_payload(page, [("$.props.products", "p"), ("$.props.productCats", "c")])
     rows = t.orders.select("o_orderkey", found.alias("f"))
     return rows.select("o_orderkey", F.concat("f.prefix", F.get_json_object("f.payload", "$.id"))
