@@ -9,7 +9,8 @@ Its result is unique and does not depend on the order of proposals, so it is com
 * the contested rest of a source-week is settled in list order by one task, as long as its
   counted size is small;
 * in source-weeks with more contested rows than that, rows propose in rounds, a whole key pool
-  at a time, until nobody is left to propose.
+  at a time, until nobody is left to propose. Should long chains of displaced rows remain after
+  a number of rounds, the rows behind the first of them are settled block by block.
 
 No pool is ever expanded to its pairs, and no unbounded group has to fit one task.
 """
@@ -31,6 +32,7 @@ PAIR = ["source_id", "week"]
 POOL = [*PAIR, "key", "value"]
 NAME_PRICE = "name_price"
 SERIAL_LIMIT = 200_000
+MAX_ROUNDS = 40
 _FREE = (1 << 63) - 1
 
 
@@ -73,12 +75,12 @@ def match_keys(items: DataFrame, cross: tuple[str, ...] = fixed.CROSS_SOURCE_KEY
 
 def layered_match(prev: DataFrame, cur: DataFrame,
                   cross: tuple[str, ...] = fixed.CROSS_SOURCE_KEYS,
-                  serial_limit: int = SERIAL_LIMIT) -> DataFrame:
+                  serial_limit: int = SERIAL_LIMIT, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``(source_id, week, cur_pos, prev_pos, matched_by)``, one row per matched pair.
 
     Both sides carry the current week in ``week``. Runs jobs: one for the pairs that are final
     at once, and more only when rows are contested. ``serial_limit`` bounds the key rows of a
-    source-week that one task settles.
+    source-week that one task settles, and the rows of a block where rounds do not suffice.
     """
     cur_keys = match_keys(cur, cross, name_price=True)
     prev_keys = match_keys(prev, cross, name_price=True)
@@ -132,7 +134,8 @@ def layered_match(prev: DataFrame, cur: DataFrame,
                                        offered.join(large, PAIR, "left_anti"))
     if not large.isEmpty():
         contested_pairs = contested_pairs.unionByName(_settle_in_rounds(
-            wanted.join(large, PAIR, "left_semi"), offered.join(large, PAIR, "left_semi")))
+            wanted.join(large, PAIR, "left_semi"), offered.join(large, PAIR, "left_semi"),
+            max_rounds, max(serial_limit, 1)))
     return settled.unionByName(cut_lineage(contested_pairs))
 
 
@@ -178,26 +181,57 @@ def _settle_in_order(wanted: DataFrame, offered: DataFrame) -> DataFrame:
                 "matched_by string"))
 
 
-def _settle_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
+def _settle_in_rounds(wanted: DataFrame, offered: DataFrame, max_rounds: int,
+                      block: int) -> DataFrame:
     """Source-weeks of any size; the layer is the best key both rows of a pair share."""
-    held = _propose_in_rounds(wanted, offered)
+    held, waiting = _propose_in_rounds(wanted, offered, max_rounds)
+    if waiting is not None:
+        held = _finish_in_blocks(wanted, offered, held, waiting, block)
     return (wanted.join(held, [*PAIR, "cur_pos"])
             .join(offered, [*POOL, "prev_pos"], "left_semi")
             .groupBy(*PAIR, "cur_pos", "prev_pos")
             .agg(F.min_by("key", "rank").alias("matched_by")))
 
 
-def _propose_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
+def _finish_in_blocks(wanted: DataFrame, offered: DataFrame, held: DataFrame,
+                      waiting: DataFrame, block: int) -> DataFrame:
+    """Settle the rows from the first waiting one on, a block of rows at a time.
+
+    Only an earlier row can take a previous row away, so pairs before the first waiting row are
+    final. Of each pool a block needs no more open rows than it has rows itself, so a task holds
+    a block and what it can reach. Blocks follow each other, source-weeks run side by side.
+    """
+    first = waiting.groupBy(*PAIR).agg(F.min("cur_pos").alias("first"))
+    final = cut_lineage(held.join(first, PAIR, "left")
+                        .filter("first IS NULL OR cur_pos < first").drop("first"))
+    rest = wanted.join(first, PAIR).filter("cur_pos >= first").drop("first")
+    numbered = number_in_group(rest.select(*PAIR, "cur_pos").distinct(), PAIR, "cur_pos")
+    rest = cut_lineage(rest.join(numbered, [*PAIR, "cur_pos"])
+                       .withColumn("block", F.floor((F.col("rn") - 1) / block)).drop("rn"))
+    for i in range(rest.agg(F.max("block")).first()[0] + 1):
+        calls = rest.filter(F.col("block") == i).drop("block")
+        open_seats = (offered.join(calls.select(*POOL).distinct(), POOL, "left_semi")
+                      .join(final.select(*PAIR, "prev_pos"), [*PAIR, "prev_pos"], "left_anti"))
+        near = number_in_group(open_seats, POOL, "prev_pos").filter(F.col("rn") <= block)
+        served = cut_lineage(_settle_in_order(calls, near.drop("rn")))
+        final = final.unionByName(served.select(*PAIR, "prev_pos", "cur_pos"))
+    return final
+
+
+def _propose_in_rounds(wanted: DataFrame, offered: DataFrame,
+                       max_rounds: int) -> tuple[DataFrame, DataFrame | None]:
     """Deferred acceptance over key pools: ``(source_id, week, prev_pos, cur_pos)``.
 
     A previous row only ever trades its holder for an earlier one, so being turned away is
     final and the holders are all the state there is. A round looks at each current row
     without a partner, finds its best pool that could still take it, and lines up the rows of
     a pool with its open previous rows. The line holds up to the first row whose opposite is
-    already taken by someone before it; the rows behind wait for the next round.
+    already taken by someone before it; the rows behind wait for the next round. After
+    ``max_rounds`` the rows that still wait are returned as well.
     """
     free = F.lit(_FREE)
     held = wanted.select(*PAIR, F.col("cur_pos").alias("prev_pos"), "cur_pos").limit(0)
+    rounds = 0
     while True:
         seats = (offered.join(held.withColumnRenamed("cur_pos", "holder"),
                               [*PAIR, "prev_pos"], "left")
@@ -210,7 +244,10 @@ def _propose_in_rounds(wanted: DataFrame, offered: DataFrame) -> DataFrame:
             .agg(F.min(F.struct("rank", "key", "value")).alias("best"))
             .select(*PAIR, "best.key", "best.value", "cur_pos"))
         if callers.isEmpty():
-            return held
+            return held, None
+        if rounds == max_rounds:
+            return held, callers
+        rounds += 1
 
         first = callers.groupBy(*POOL).agg(F.min("cur_pos").alias("first"))
         open_seats = seats.join(first, POOL).filter("holder > first")

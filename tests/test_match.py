@@ -55,8 +55,9 @@ def test_matches_serial_rule_on_random_catalogs(spark):
         size = rng.choice([1, 3, 6, 12])
         prev[f"t{trial}"] = [random_item(rng, spread) for _ in range(rng.randrange(size + 1))]
         cur[f"t{trial}"] = [random_item(rng, spread) for _ in range(rng.randrange(size + 1))]
-    for limit in (match.SERIAL_LIMIT, 20, 0):
-        got = as_dict(match.layered_match(frame(spark, prev), frame(spark, cur), serial_limit=limit))
+    for limit, rounds in ((match.SERIAL_LIMIT, 40), (20, 40), (0, 40), (4, 1), (3, 0)):
+        got = as_dict(match.layered_match(frame(spark, prev), frame(spark, cur), serial_limit=limit,
+                                          max_rounds=rounds))
         for trial in prev:
             want = serial_match(prev[trial], cur[trial])
             assert got.get(trial, {}) == want, (limit, trial, prev[trial], cur[trial])
@@ -72,6 +73,21 @@ def test_one_fat_key_pool(spark):
         assert len(got) == 300
 
 
+def test_chain_of_displaced_rows(spark):
+    """A new row in front of a hot name shifts all that follow, although each has its barcode."""
+    def item(barcode):
+        return {"external_id": "", "alt_ids": {"barcode": barcode}, "name": "hot", "price": None}
+
+    prev = {"s": [item(f"b{i}") for i in range(60)]}
+    cur = {"s": [item("new")] + [item(f"b{i}") for i in range(60)]}
+    want = serial_match(prev["s"], cur["s"])
+    assert want[1] == (1, "name_price")
+    for limit, rounds in ((match.SERIAL_LIMIT, 40), (25, 2)):
+        got = as_dict(match.layered_match(frame(spark, prev), frame(spark, cur), serial_limit=limit,
+                                          max_rounds=rounds))["s"]
+        assert got == want
+
+
 def test_later_key_of_an_earlier_row_wins(spark):
     prev = {"s": [{"external_id": "", "alt_ids": {"barcode": "1"}, "name": "x", "price": 1}]}
     cur = {"s": [{"external_id": "", "alt_ids": {"barcode": "9"}, "name": "x", "price": 1},
