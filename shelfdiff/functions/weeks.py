@@ -13,8 +13,8 @@ SEOUL = "Asia/Seoul"
 def week_of(day: Column) -> Column:
     """Date -> ISO week; the year is the ISO year, not the calendar year."""
     day = day.cast("date")
-    return F.when(day.isNotNull(), F.format_string(
-        "%d-W%02d", F.extract(F.lit("YEAROFWEEK"), day), F.weekofyear(day)))
+    return F.concat(F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.lit("-W"),
+                    F.lpad(F.weekofyear(day).cast("string"), 2, "0"))
 
 
 def _monday_unchecked(week: Column) -> Column:
