@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import chat, mixing, sharding, simhash
+from shelfdiff.llm import chat, gray, mixing, sharding, simhash
 from shelfdiff.session import cut_lineage
 
 
@@ -106,5 +106,10 @@ def op5_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "quotas")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague)}
+def op8_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return gray.near_components(docs).select("doc_id", gray.as_text("print").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op8_gray_index)}
 ORACLE_SQL = {"op2_chat_windows": OP2_SQL}
