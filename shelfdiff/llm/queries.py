@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import chat, gray, mixing, sharding, simhash
+from shelfdiff.llm import chat, gray, lattice, mixing, sharding, simhash
 from shelfdiff.session import cut_lineage
 
 
@@ -111,5 +111,27 @@ def op8_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gray.near_components(docs).select("doc_id", gray.as_text("print").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op8_gray_index)}
-ORACLE_SQL = {"op2_chat_windows": OP2_SQL}
+def op10_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(_read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
+OP10_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op8_gray_index,
+                                   op10_e8_lattice)}
+ORACLE_SQL = {"op2_chat_windows": OP2_SQL, "op10_e8_lattice": OP10_SQL}
