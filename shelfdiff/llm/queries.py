@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import chat, gray, lattice, mixing, sharding, simhash
+from shelfdiff.llm import chat, gray, lattice, mixing, sharding, simhash, suffix_dedup
 from shelfdiff.session import cut_lineage
 
 
@@ -106,6 +106,14 @@ def op5_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "quotas")
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.repeated_strings(docs).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return gray.near_components(docs).select("doc_id", gray.as_text("print").alias("fingerprint"), "component_id")
@@ -132,6 +140,6 @@ FROM embeddings e JOIN least USING (vec_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op8_gray_index,
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op7_suffix_array, op8_gray_index,
                                    op10_e8_lattice)}
 ORACLE_SQL = {"op2_chat_windows": OP2_SQL, "op10_e8_lattice": OP10_SQL}
