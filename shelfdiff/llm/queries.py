@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import chat, gray, lattice, mixing, sharding, simhash, suffix_dedup
+from shelfdiff.llm import chat, gray, lattice, mixing, packing, sharding, simhash, suffix_dedup
 from shelfdiff.session import cut_lineage
 
 
@@ -119,6 +119,16 @@ def op8_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gray.near_components(docs).select("doc_id", gray.as_text("print").alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_path())
+
+
 def op10_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(_read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
 
@@ -140,6 +150,6 @@ FROM embeddings e JOIN least USING (vec_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op7_suffix_array, op8_gray_index,
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op7_suffix_array, op8_gray_index, op9_harmonic,
                                    op10_e8_lattice)}
 ORACLE_SQL = {"op2_chat_windows": OP2_SQL, "op10_e8_lattice": OP10_SQL}
