@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff.llm import bits
@@ -209,3 +209,20 @@ def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFra
     named = (classes.join(roots, "node", "left")
              .select("print", "wide", F.coalesce("root", "node").alias("low")))
     return rows.join(named, ["print", "wide"]).filter("doc_id <> low").select("doc_id", "low").distinct()
+
+
+def one_of_each_group(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without near-copies: of each group the document with the smallest id stays.
+
+    Rows that repeat an id are one document and one of them stays, that whose text hashes lowest. Rows without an id
+    cannot be named in a group and stay. All columns are kept.
+    """
+    named = docs.filter("doc_id IS NOT NULL")
+    copies = near_copies(named, similarity).select(F.col("doc_id").alias("_copy_id"))
+    columns = docs.columns
+    rows = named.select(F.struct(*columns).alias("_doc"), F.col("doc_id").alias("_id"),
+                        F.xxhash64("text").alias("_hash"))
+    rows = rows.join(copies, F.col("_id") == F.col("_copy_id"), "left_anti")
+    first = F.row_number().over(Window.partitionBy("_id").orderBy("_hash"))
+    kept = rows.withColumn("_rank", first).filter("_rank = 1").select("_doc.*")
+    return kept.unionByName(docs.filter("doc_id IS NULL"))

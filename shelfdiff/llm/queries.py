@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import chat, gray, lattice, mixing, packing, sharding, simhash, suffix_dedup
+from shelfdiff.llm import (chat, gray, langid, lattice, mixing, packing, quality, sharding, simhash,
+                           suffix_dedup)
 from shelfdiff.session import cut_lineage
 
 
@@ -92,6 +93,18 @@ FROM said JOIN total USING (conv_id)
 """
 
 
+def fold(folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
+
+
+def op3_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(fold(4) != 2))
+    return (langid.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score"))
+
+
 def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("bytes"),
@@ -106,6 +119,14 @@ def op5_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "quotas")
 
 
+def op6_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.train(docs, _read(spark, sf_dir, "labels").filter(fold(3) != 1))
+    return (quality.score(docs, field)
+            .select("doc_id", (fold(3) == 1).alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")))
+
+
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.repeated_strings(docs).select(
@@ -150,6 +171,7 @@ FROM embeddings e JOIN least USING (vec_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op4_jump_shards, op5_sainte_lague, op7_suffix_array, op8_gray_index, op9_harmonic,
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op3_ftrl_language, op4_jump_shards,
+                                   op5_sainte_lague, op6_crf_quality, op7_suffix_array, op8_gray_index, op9_harmonic,
                                    op10_e8_lattice)}
 ORACLE_SQL = {"op2_chat_windows": OP2_SQL, "op10_e8_lattice": OP10_SQL}

@@ -85,7 +85,7 @@ def _splitters(docs: DataFrame, buckets: int) -> np.ndarray:
 
 
 def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
-    """doc_id, n_bytes, spans, kept: what each document keeps without strings an earlier one has.
+    """doc_id, text_hash, n_bytes, spans, kept: what each document keeps without strings an earlier one has.
 
     A byte goes if a string of ``suffixes.LENGTH`` bytes that covers it also starts in a document with a smaller id.
     Strings are judged on the input. ``spans`` are the removed runs as (start, end) bytes, ``kept`` the other bytes
@@ -102,7 +102,8 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     Null texts are empty. Null ids stand behind all others and come back as null. Rows that repeat an id never remove
     from each other. An empty table gives an empty result.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"), "text")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"), "text",
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, min(-(-total // BLOCK_BYTES), MOST_BUCKETS))
     block_bytes = min(max(BLOCK_BYTES, 16 * (S.SPAN + 1) // 2 * buckets), LARGEST_BLOCK)
@@ -180,7 +181,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
                              for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a], columns=["block", "data"])
 
     def marked(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        columns = ["doc_id", "n_bytes", "spans", "kept"]
+        columns = ["doc_id", "text_hash", "n_bytes", "spans", "kept"]
         if not len(texts):
             return pd.DataFrame([], columns=columns)
         block = _block_of(texts)
@@ -202,11 +203,12 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
             np.add.at(edges, first[seen] + stop[at] + S.LENGTH, -1)
         gone = np.cumsum(edges[:-1]) > 0
         out = []
-        for i, a, b in zip(block.ids, block.starts, block.ends):
+        hashes = texts["text_hash"].to_numpy(np.int64)[block.order]
+        for i, h, a, b in zip(block.ids, hashes, block.starts, block.ends):
             part = gone[a:b]
             turns = np.flatnonzero(np.diff(np.concatenate(([0], part.view(np.int8), [0]))))
             spans = [{"start": int(x), "end": int(y)} for x, y in turns.reshape(-1, 2)]
-            out.append((i, b - a, spans, block.data[a:b][~part].tobytes() if keep_bytes else None))
+            out.append((i, h, b - a, spans, block.data[a:b][~part].tobytes() if keep_bytes else None))
         return pd.DataFrame(out, columns=columns)
 
     tokens = dealt.groupBy("block").applyInPandas(tokens_of, "block int, bucket int, data binary")
@@ -216,5 +218,31 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     runs = regions.groupBy("bucket").applyInPandas(least_of, "block int, data binary")
     found = (passed.withColumn("part", F.lit(0)).unionByName(runs.withColumn("part", F.lit(1))))
     return (dealt.groupBy("block").cogroup(found.groupBy("block"))
-            .applyInPandas(marked, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
+            .applyInPandas(marked, "doc_id bigint, text_hash bigint, n_bytes bigint, "
+                           "spans array<struct<start:bigint,end:bigint>>, kept binary")
             .withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id"))))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with texts cut by ``repeated_strings``; n_chars, where it is a column, follows the text.
+
+    A character of which a byte goes, goes. Null texts stay null; texts of which nothing is left are empty. Rows that
+    agree in id and text get the same text. All columns and rows are kept.
+    """
+    @F.pandas_udf("string")
+    def decoded(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: b.decode("utf-8", "ignore"))
+    found = repeated_strings(docs.select("doc_id", "text"))
+    cut = (found.filter(F.size("spans") > 0)
+           .select(F.col("doc_id").alias("_cut_id"), "text_hash", decoded("kept").alias("_cut"))
+           .dropDuplicates(["_cut_id", "text_hash"]))
+    columns = docs.columns
+    rows = docs.select(F.struct(*columns).alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    rows = rows.join(cut, F.col("_id").eqNullSafe(F.col("_cut_id")) & (F.col("_hash") == F.col("text_hash")), "left")
+    rows = rows.withColumn("_new", F.coalesce("_cut", "_doc.text"))
+    changed = {"text": F.col("_new")}
+    if "n_chars" in columns:
+        changed["n_chars"] = (F.when(F.col("_cut").isNull(), F.col("_doc.n_chars"))
+                              .otherwise(F.char_length("_new")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(*[changed.get(c, F.col("_doc")[c]).alias(c) for c in columns])
