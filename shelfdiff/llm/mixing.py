@@ -83,20 +83,25 @@ def sainte_lague(votes: list[float], limits: list[int], houses: list[int]) -> np
 
 def plan_mix(sources: list[Source], block: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED,
              most: int = MOST_COPIES) -> list[tuple]:
-    """One row a source: its target, whole passes over its blocks, blocks drawn once more, quotas per shard."""
+    """One row a source: its target, whole passes over its blocks, blocks drawn once more, quotas per shard.
+
+    A seat is worth ``block`` words. A source's seats buy whole passes, and blocks for what is left of them. Its last
+    block holds the words that fill no block; a source shorter than a block is one.
+    """
     wanted = targets(sources, most=most)
-    blocks = [-(-s.size // block) for s in sources]
     seats_all = int(round(sum(wanted) / block))
     houses = [seats_all * (k + 1) // shards for k in range(shards)]
-    seats = sainte_lague(wanted, [most * b for b in blocks], houses)
+    seats = sainte_lague(wanted, [-(-most * s.size // block) for s in sources], houses)
     quotas = np.diff(seats, axis=0, prepend=np.zeros((1, len(sources)), np.int64))
     rows = []
     for i, s in enumerate(sources):
-        all_seats, n = int(seats[-1, i]) if len(seats) else 0, blocks[i]
-        whole, extra = divmod(all_seats, n) if n else (0, 0)
+        words = min(int(seats[-1, i]) * block, most * s.size)
+        n = max(1, s.size // block)
+        whole, rest = divmod(words, s.size) if s.size else (0, 0)
+        extra = min(n, int(rest / (block if n > 1 else max(1, s.size)) + 0.5))
         mark = hashlib.sha256(f"{seed}\x00{s.name!r}".encode()).digest()
         rows.append((s.name, s.size, wanted[i], whole, extra, n,
-                     int.from_bytes(mark[:7], "big") % n if n else 0, [int(x) for x in quotas[:, i]]))
+                     int.from_bytes(mark[:7], "big") % n, [int(x) for x in quotas[:, i]]))
     return rows
 
 
@@ -114,7 +119,7 @@ def mix(docs: DataFrame, weights=cyclic_weights, block: int = BLOCK_WORDS, shard
     extra, blocks, phase, quotas). The documents of a source stand in a seeded order, end to end; every ``block``
     words are a block. Sainte-Laguë apportions as many draws as the targets hold blocks, for each shard of the
     output; a source's draws are whole passes over its blocks, and the rest picks blocks at even steps from a
-    seeded phase. A document's words count as often as their blocks are drawn, at most ``most`` times.
+    seeded phase. The words taken from a source differ from its target by two blocks or so. A document's words count as often as their blocks are drawn, at most ``most`` times.
 
     ``weights`` maps the list of source names to their weights. Only the table of sources (name and size, one row
     each) comes to the driver; its length is that of the registry of sources, not of the documents. Null texts and
@@ -147,7 +152,8 @@ def _drawn(block_no: str) -> str:
 
 
 def _taken(block: int):
-    first, last = f"(before div {block})", f"((before + size - 1) div {block})"
+    first = f"least(before div {block}, blocks - 1)"
+    last = f"least((before + size - 1) div {block}, blocks - 1)"
     once = lambda b: f"({_drawn(b + ' + 1')} - {_drawn(b)})"
     return F.expr(
         f"CASE WHEN size = 0 THEN 0L "
@@ -200,7 +206,7 @@ def _cut(word, text: str | None, before: int, extra: int, blocks: int, phase: in
         return None
     spans, run, place = [], None, before
     for m in word.finditer(text):
-        b = place // block
+        b = min(place // block, blocks - 1)
         drawn = ((b + 1) * extra + phase) // blocks - (b * extra + phase) // blocks
         if drawn:
             run = [m.start(), m.end()] if run is None else [run[0], m.end()]
