@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import zstandard
@@ -25,7 +27,7 @@ _LAST = 2 ** 63 - 1
 def _pack(**arrays: np.ndarray) -> bytes:
     head = ",".join(f"{k}:{a.dtype.str}:{'x'.join(map(str, a.shape))}" for k, a in arrays.items()).encode()
     body = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays.values())
-    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + body)
+    return zstandard.ZstdCompressor(level=3).compress(len(head).to_bytes(4, "little") + head + body)
 
 
 def _unpack(data: bytes) -> dict[str, np.ndarray]:
@@ -45,20 +47,42 @@ def _join(rows: list[dict[str, np.ndarray]], name: str) -> np.ndarray:
     return np.concatenate([r[name] for r in rows])
 
 
-def _block_of(pdf: pd.DataFrame) -> S.Block:
-    texts = [(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"]]
-    return S.Block(pdf["doc_id"].to_numpy(np.int64), texts)
+def _packed_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents of a batch that go to one block as one compressed row."""
+    for b in batches:
+        out = []
+        for name, part in b.groupby("block", sort=False):
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in part["text"]]
+            out.append((name, _pack(ids=part["doc_id"].to_numpy(np.int64), hashes=part["text_hash"].to_numpy(np.int64),
+                                    sizes=np.array([len(t) for t in texts], np.int64),
+                                    bytes=np.frombuffer(b"".join(texts), np.uint8))))
+        yield pd.DataFrame(out, columns=["block", "data"])
+
+
+def _block_of(pdf: pd.DataFrame) -> tuple[S.Block, np.ndarray]:
+    """The block, and the text hashes in its order."""
+    ids, hashes, texts = [], [], []
+    for data in pdf["data"]:
+        row = _unpack(data)
+        ends = np.cumsum(row["sizes"])
+        whole = row["bytes"].tobytes()
+        texts += [whole[e - n:e] for e, n in zip(ends, row["sizes"])]
+        ids.append(row["ids"])
+        hashes.append(row["hashes"])
+    block = S.Block(np.concatenate(ids), texts)
+    return block, np.concatenate(hashes)[block.order]
 
 
 def _short(tokens: np.ndarray) -> np.ndarray:
-    """The six bytes a token fills."""
-    return np.ascontiguousarray(tokens.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+    """Sorted tokens as the bytes of their steps, lowest bytes first, so that equal high bytes stand together."""
+    steps = np.diff(tokens.astype("<u8"), prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T)
 
 
 def _long(short: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(short), 8), np.uint8)
-    out[:, :6] = short
-    return out.view("<u8").ravel().astype(np.uint64)
+    out = np.zeros((short.shape[1], 8), np.uint8)
+    out[:, :6] = short.T
+    return np.cumsum(out.view("<u8").ravel().astype(np.uint64), dtype=np.uint64)
 
 
 def _deal(tokens: np.ndarray, splitters: np.ndarray) -> list[tuple[int, int, int]]:
@@ -109,10 +133,11 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     block_bytes = min(max(BLOCK_BYTES, 16 * (S.SPAN + 1) // 2 * buckets), LARGEST_BLOCK)
     blocks = max(1, -(-total // block_bytes))
     splitters = _splitters(docs, buckets)
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    dealt = (docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+             .mapInPandas(_packed_texts, "block int, data binary"))
 
     def tokens_of(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = _block_of(pdf)
+        block, _ = _block_of(pdf)
         doc, _, _, _, token = block.regions()
         order = np.argsort(token, kind="stable")  # regions stand by document, and by id through the block's order
         token, owner = token[order], block.ids[doc[order]]
@@ -126,7 +151,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
 
     def shared_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [_unpack(d) for d in pdf["data"]]
-        token = _long(_join(rows, "token"))
+        token = np.concatenate([_long(r["token"]) for r in rows])
         order = np.argsort(token, kind="stable")
         opens = np.r_[True, token[order][1:] != token[order][:-1]]
         group = np.empty(len(token), np.int64)
@@ -141,7 +166,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     def kept_regions(block: S.Block, passed: pd.DataFrame):
         """Regions whose token passed: their occurrences, and the different ones in a fixed order."""
         doc, first, count, anchor, token = block.regions()
-        allowed = np.sort(_long(_join([_unpack(d) for d in passed["data"]], "token")))
+        allowed = np.sort(np.concatenate([_long(_unpack(d)["token"]) for d in passed["data"]]))
         at = np.minimum(np.searchsorted(allowed, token), len(allowed) - 1)
         use = allowed[at] == token
         doc, first, count, anchor, token = (x[use] for x in (doc, first, count, anchor, token))
@@ -153,7 +178,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         columns = ["block", "bucket", "data"]
         if not len(texts) or not len(passed):
             return pd.DataFrame([], columns=columns)
-        block = _block_of(texts)
+        block, _ = _block_of(texts)
         doc, _, count, token, offset, content, pick, number = kept_regions(block, passed)
         owner = block.ids[doc]
         low, high = np.full(len(pick), _LAST), np.full(len(pick), np.iinfo(np.int64).min)
@@ -161,15 +186,16 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         np.maximum.at(high, number, owner)
         token, offset, count, content = token[pick], offset[pick].astype(np.uint8), count[pick].astype(np.uint8), content[pick]
         name = int(texts["block"].iloc[0])
-        return pd.DataFrame([(name, k, _pack(token=_short(token[a:b]), offset=offset[a:b], count=count[a:b], low=low[a:b],
-                                             high=high[a:b], index=np.arange(a, b, dtype=np.int32),
-                                             content=content[a:b]))
+        return pd.DataFrame([(name, k, _pack(offset=offset[a:b], count=count[a:b], low=low[a:b], high=high[a:b],
+                                             first=np.array([a]), content=content[a:b]))
                              for k, a, b in _deal(token, splitters)], columns=columns)
 
     def least_of(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [_unpack(d) for d in pdf["data"]]
-        token, offset, count = _long(_join(rows, "token")), _join(rows, "offset").astype(np.int64), _join(rows, "count").astype(np.int64)
-        content, low, high, index = (_join(rows, n) for n in ("content", "low", "high", "index"))
+        offset, count = (_join(rows, n).astype(np.int64) for n in ("offset", "count"))
+        content, low, high = (_join(rows, n) for n in ("content", "low", "high"))
+        token = S.tokens_in(content, offset)
+        index = np.concatenate([r["first"][0] + np.arange(len(r["low"]), dtype=np.int32) for r in rows])
         source = np.repeat(np.arange(len(rows)), [len(r["low"]) for r in rows])
         row, start, stop, least = S.least_documents(token, offset, count, content, low)
         use = least < high[row]
@@ -184,7 +210,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         columns = ["doc_id", "text_hash", "n_bytes", "spans", "kept"]
         if not len(texts):
             return pd.DataFrame([], columns=columns)
-        block = _block_of(texts)
+        block, hashes = _block_of(texts)
         edges = np.zeros(block.size + 1, np.int32)
         passed, runs = found[found["part"] == 0], found[found["part"] == 1]
         if len(passed) and len(runs):
@@ -203,7 +229,6 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
             np.add.at(edges, first[seen] + stop[at] + S.LENGTH, -1)
         gone = np.cumsum(edges[:-1]) > 0
         out = []
-        hashes = texts["text_hash"].to_numpy(np.int64)[block.order]
         for i, h, a, b in zip(block.ids, hashes, block.starts, block.ends):
             part = gone[a:b]
             turns = np.flatnonzero(np.diff(np.concatenate(([0], part.view(np.int8), [0]))))

@@ -43,6 +43,21 @@ def grams(data: np.ndarray, n: int) -> np.ndarray:
         return _mix((word[:n] ^ (word[:n] >> _U(31))) * _ODD[0] + _mix(word[8:8 + n]) * _ODD[2])
 
 
+def _token(hashes: np.ndarray) -> np.ndarray:
+    """48-bit codes of anchors."""
+    with np.errstate(over="ignore"):
+        return _mix(hashes * _ODD[2]) >> _U(16)
+
+
+def tokens_in(content: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """The tokens of regions, from their bytes and the places of their anchors."""
+    flat = np.concatenate((content.reshape(-1), np.zeros(GRAM, np.uint8)))
+    at = np.arange(len(content)) * content.shape[1] + offset
+    gram = np.ascontiguousarray(flat[at[:, None] + np.arange(GRAM)]).view("<u8").astype(_U)
+    with np.errstate(over="ignore"):
+        return _token(_mix((gram[:, 0] ^ (gram[:, 0] >> _U(31))) * _ODD[0] + _mix(gram[:, 1]) * _ODD[2]))
+
+
 class Block:
     """Documents of one block, end to end in the order of id and text."""
 
@@ -83,7 +98,7 @@ class Block:
         run = np.cumsum(opens) - 1
         count = np.bincount(run[inside], minlength=len(first))
         at = anchor[first]
-        return doc[first], first + start, count, at + start, _mix(hashes[at] * _ODD[2]) >> _U(16)
+        return doc[first], first + start, count, at + start, _token(hashes[at])
 
     def bytes_of(self, first: np.ndarray, count: np.ndarray) -> np.ndarray:
         """(regions, WIDE) bytes, zero behind a region's end."""
