@@ -130,12 +130,15 @@ def near_links(classes: DataFrame, cosine: float = COSINE, slice_rows: int = SLI
                 v = np.array(part["vector"].tolist(), np.float64)
                 label = part["label"].to_numpy(np.int64)
                 cells = Tables(v.shape[1], **settings).cells(_unit(v), label)
-                data = [x.tobytes() for x in v]
+                places = [x.tobytes() for x in cells.reshape(len(v), -1)]
+                data = [_packed(x) for x in v]
                 for t in range(cells.shape[1]):
                     for p in range(cells.shape[2]):
                         yield pd.DataFrame({"cell": cells[:, t, p], "class_id": part["class_id"].to_numpy(),
-                                            "copies": part["copies"].to_numpy(), "label": label, "data": data})
-    rows = classes.mapInPandas(deal, "cell bigint, class_id bigint, copies bigint, label bigint, data binary")
+                                            "copies": part["copies"].to_numpy(), "label": label, "dims": v.shape[1],
+                                            "data": data, "places": places})
+    rows = classes.mapInPandas(deal, "cell bigint, class_id bigint, copies bigint, label bigint, dims int, "
+                                     "data binary, places binary")
     rows = rows.withColumns({"own": F.lit(0), "lo": F.lit(0), "hi": F.lit(0)})
     hot = cut_lineage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > slice_rows))
     if hot.limit(1).count():
@@ -147,70 +150,88 @@ def near_links(classes: DataFrame, cosine: float = COSINE, slice_rows: int = SLI
                 .drop("parts", "other", "rows"))
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, rows = [], 0
         for cell in _whole_cells(batches):
-            if len(cell) > 1:
-                yield from _links(cell, cosine, slice_rows, settings)
+            for part in _links(cell, cosine, tables):
+                out.append(part)
+                rows += len(part[0])
+            if rows > 50_000:
+                yield _frame(out)
+                out, rows = [], 0
+        yield _frame(out)
+    tables = settings.get("tables", TABLES)
     cell = ["cell", "lo", "hi"]
     return (rows.repartition(*cell).sortWithinPartitions(*cell)
             .mapInPandas(meet, "class_id bigint, other bigint, n bigint"))
 
 
-def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each cell with two rows or more."""
     held = None
     for b in batches:
-        pdf = b if held is None else pd.concat([held, b], ignore_index=True)
-        keys = pdf[["cell", "lo", "hi"]].to_numpy(np.int64)
-        change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        for start, end in zip(np.concatenate(([0], change[:-1])) if len(change) else [], change):
-            yield pdf.iloc[start:end]
-        held = pdf.iloc[change[-1]:] if len(change) else pdf
-    if held is not None and len(held):
+        new = {c: b[c].to_numpy() for c in b.columns}
+        now = new if held is None else {c: np.concatenate((held[c], new[c])) for c in new}
+        keys = np.stack([now[c] for c in ("cell", "lo", "hi")], axis=1).astype(np.int64)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        starts = np.concatenate(([0], cuts))
+        for start, end in zip(starts[:-1], cuts):
+            if end - start > 1:
+                yield {c: v[start:end] for c, v in now.items()}
+        held = {c: v[starts[-1]:] for c, v in now.items()}
+    if held is not None and len(held["cell"]) > 1:
         yield held
 
 
-def _links(cell: pd.DataFrame, cosine: float, slice_rows: int, settings: dict) -> Iterator[pd.DataFrame]:
-    key, lo, hi = (int(cell[c].iloc[0]) for c in ("cell", "lo", "hi"))
-    own = cell["own"].to_numpy()
-    ids, copies = cell["class_id"].to_numpy(np.int64), cell["copies"].to_numpy(np.int64)
-    labels = cell["label"].to_numpy(np.int64)
-    size = cell["data"].map(len).to_numpy()
-    forest, counts = Forest(len(cell)), np.zeros(len(cell), np.int64)
-    for length in np.unique(size):
-        members = np.flatnonzero(size == length)
+def _packed(vector: np.ndarray) -> bytes:
+    """The components in four bytes each where that loses nothing, else in eight."""
+    short = vector.astype("<f4")
+    return short.tobytes() if (short == vector).all() else vector.astype("<f8").tobytes()
+
+
+def _unpacked(rows: np.ndarray, dims: int) -> np.ndarray:
+    return np.stack([np.frombuffer(r, "<f4" if len(r) == 4 * dims else "<f8") for r in rows]).astype(np.float64)
+
+
+def _frame(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+    columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 3
+    return pd.DataFrame(dict(zip(("class_id", "other", "n"), columns)))
+
+
+def _links(cell: dict[str, np.ndarray], cosine: float, tables: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """class_id, other and n of the rows of one cell that have a link."""
+    key, lo, hi = (int(cell[c][0]) for c in ("cell", "lo", "hi"))
+    own, ids, copies, labels = cell["own"], cell["class_id"], cell["copies"], cell["label"]
+    forest, counts = Forest(len(ids)), np.zeros(len(ids), np.int64)
+    for dims in np.unique(cell["dims"]):
+        members = np.flatnonzero(cell["dims"] == dims)
         if len(members) < 2:
             continue
-        unit = _unit(np.frombuffer(b"".join(cell["data"].iloc[members]), np.float64).reshape(len(members), -1))
-        tables, places = Tables(unit.shape[1], **settings), {}
+        unit = _unit(_unpacked(cell["data"][members], int(dims)))
         for start in range(0, len(members), 1024):
             block = unit[start:start + 1024]
             i, j = np.nonzero(block @ unit[start:].T >= cosine)
-            i, j = i + start, j + start
-            keep = (j > i) & (labels[members[i]] == labels[members[j]]) & (ids[members[i]] != ids[members[j]])
+            keep = j > i
+            i, j = members[i[keep] + start], members[j[keep] + start]
+            keep = (labels[i] == labels[j]) & (ids[i] != ids[j])
             if lo != hi:  # rows of one slice meet in the task of that slice alone
-                keep &= own[members[i]] != own[members[j]]
+                keep &= own[i] != own[j]
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            forest.link(members[i], members[j])
-            for at in range(0, len(i), 65536):
-                a, b = i[at:at + 65536], j[at:at + 65536]
-                for x in np.setdiff1d(np.union1d(a, b), list(places)):
-                    places[x] = None
-                missing = [x for x, p in places.items() if p is None]
-                if missing:
-                    found = tables.cells(unit[missing], labels[members[missing]])
-                    places.update(zip(missing, found))
-                first = _first_meeting([places[x] for x in a], [places[x] for x in b]) == key
-                np.add.at(counts, members[a[first]], copies[members[b[first]]])
-                np.add.at(counts, members[b[first]], copies[members[a[first]]])
-    used = np.flatnonzero((counts > 0) | (forest.label != np.arange(len(cell))))
+            forest.link(i, j)
+            for at in range(0, len(i), 16384):
+                a, b = i[at:at + 16384], j[at:at + 16384]
+                first = _first_meeting(*(np.frombuffer(b"".join(cell["places"][x]), np.int64)
+                                         .reshape(len(x), tables, -1) for x in (a, b))) == key
+                np.add.at(counts, a[first], copies[b[first]])
+                np.add.at(counts, b[first], copies[a[first]])
+    used = np.flatnonzero((counts > 0) | (forest.label != np.arange(len(ids))))
     if len(used):
-        yield pd.DataFrame({"class_id": ids[used], "other": ids[forest.label[used]], "n": counts[used]})
+        yield ids[used], ids[forest.label[used]], counts[used]
 
 
-def _first_meeting(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+def _first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The cell two vectors share in the first table in which they share one; the smallest if there are several."""
-    a, b = np.array(a), np.array(b)
     shared = (a[:, :, :, None] == b[:, :, None, :]).any(axis=3)
     lowest = np.where(shared, a, np.iinfo(np.int64).max).min(axis=2)
     table = shared.any(axis=2).argmax(axis=1)
