@@ -27,6 +27,7 @@ class Diff:
     conflicts: DataFrame
     counts: DataFrame
     matches: DataFrame
+    over_limit: DataFrame | None = None
 
 
 def lookback(meta: DataFrame, max_weeks: int = fixed.MAX_LOOKBACK_WEEKS) -> DataFrame:
@@ -140,23 +141,23 @@ def diff_counts(prev: DataFrame, cur: DataFrame, pairs: DataFrame, review: DataF
 def diff_pair(prev: DataFrame, cur: DataFrame,
               fields: tuple[str, ...] = fixed.TRACKED_FIELDS,
               threshold: float = fixed.SIMILARITY_THRESHOLD,
-              limit: int = fixed.PAIR_LIMIT) -> Diff:
+              limit: int | None = None) -> Diff:
     """Compare two snapshots per source. Both sides carry the current week in ``week``."""
     matches = match.layered_match(prev, cur)
     left_cur = unmatched(cur, matches, "cur_pos")
     left_prev = unmatched(prev, matches, "prev_pos")
-    in_review = cut_lineage(
-        similarity.review(similarity.candidates(left_cur, left_prev, threshold, limit)))
+    in_review = cut_lineage(similarity.review(left_cur, left_prev, threshold, limit))
     added = unmatched(left_cur, in_review, "cur_pos")
     removed = unmatched(left_prev, in_review, "prev_pos")
 
     columns = tuple(dict.fromkeys([*fields, "name", "alt_ids"]))
-    pairs = attach(matches, prev, cur, columns)
+    pairs = cut_lineage(attach(matches, prev, cur, columns))
     changed_ = changed(pairs, fields)
     conflicts = key_conflicts(pairs)
-    review = attach(in_review, prev, cur, columns)
+    review = attach(in_review, prev, cur, columns).withColumn("fields", _differences(fields))
     counts = diff_counts(prev, cur, pairs, in_review, fields)
-    return Diff(added, removed, changed_, review, conflicts, counts, matches)
+    over_limit = similarity.pair_limit(left_cur, left_prev).filter("skipped").drop("skipped")
+    return Diff(added, removed, changed_, review, conflicts, counts, matches, over_limit)
 
 
 def baseline_weeks(meta: DataFrame, looked_back: DataFrame) -> DataFrame:
@@ -168,7 +169,7 @@ def baseline_weeks(meta: DataFrame, looked_back: DataFrame) -> DataFrame:
 
 def diff(items: DataFrame, meta: DataFrame, max_weeks: int = fixed.MAX_LOOKBACK_WEEKS,
          threshold: float = fixed.SIMILARITY_THRESHOLD,
-         limit: int = fixed.PAIR_LIMIT) -> Diff:
+         limit: int | None = None) -> Diff:
     """All source-weeks of ``items`` at once, each against its lookback snapshot.
 
     ``counts`` carries ``previous_week``, ``gap_weeks`` and ``baseline``; baseline weeks occur

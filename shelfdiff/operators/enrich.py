@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
@@ -33,22 +33,28 @@ def detail_worklist(added: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def detail_cap(worklist: DataFrame,
-               limit: int = fixed.MAX_DETAIL_ROWS) -> tuple[DataFrame, DataFrame]:
+               limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows to look up, source-weeks over the limit)``.
 
-    Beyond the limit nothing of the source-week is looked up: so many new items mean a broken
-    match, and a partial lookup could not be explained.
+    So many new items mean a broken match, hence the second table, for a report. With a ``limit``
+    nothing of such a source-week is looked up, as a partial lookup could not be explained; without
+    one everything is, and the report goes by ``fixed_values.MAX_DETAIL_ROWS``.
     """
     over = (worklist.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("rows") > limit))
+            .filter(F.col("rows") > (fixed.MAX_DETAIL_ROWS if limit is None else limit)))
+    if limit is None:
+        return worklist, over
     return worklist.join(over.select(*PAIR), PAIR, "left_anti"), over
 
 
 def merge_details(worklist: DataFrame, details: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(enriched, failures)``; a missing detail or another name on it is a failure.
 
-    Tags come from the detail, or from the list where the detail has none.
+    Tags come from the detail, or from the list where the detail has none. Of several details of
+    one item the first by name, description and tags counts.
     """
+    first = Window.partitionBy(*KEY).orderBy("name", "description", "tags")
+    details = details.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
     found = details.select(*KEY, F.lit(True).alias("_found"), F.col("name").alias("_name"),
                            F.col("description").alias("_description"), F.col("tags").alias("_tags"))
     joined = worklist.join(found, KEY, "left")
@@ -62,10 +68,12 @@ def merge_details(worklist: DataFrame, details: DataFrame) -> tuple[DataFrame, D
 
 
 def enrich(added: DataFrame, details: DataFrame, dim: DataFrame,
-           limit: int = fixed.MAX_DETAIL_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(enriched, failures, source-weeks over the limit)``."""
+           limit: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(enriched, failures, source-weeks over the limit)``; see ``detail_cap`` for the limit."""
     todo, over = detail_cap(detail_worklist(added, dim), limit)
     looked_up, failures = merge_details(todo, details)
+    if limit is None:
+        return from_list(added).unionByName(looked_up), failures, over
     stopped = over.select(*PAIR)
     taken = from_list(added).join(stopped, PAIR, "left_anti")
     return taken.unionByName(looked_up), failures, over

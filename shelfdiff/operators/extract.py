@@ -5,8 +5,11 @@ A response with a wrong envelope is rejected as a whole; it never turns into zer
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfdiff.functions import text, values
 
@@ -17,8 +20,10 @@ def json_rows(responses: DataFrame, item_schema: str, list_path: str = "$",
     """``(rows, rejected)`` of responses that carry a JSON list at ``list_path``.
 
     Rejected are bodies that are no JSON, whose success field at ``ok_path`` is not
-    ``ok_value``, that have no list there, or an empty one unless ``allow_empty``. Rows keep
-    the response's other columns, their place as ``index``, and the item as ``row``.
+    ``ok_value``, that have no list there, an empty one unless ``allow_empty``, or one with a
+    ``bad element``: one that is no object, or whose field has a value that does not fit its type.
+    Rows keep the response's other columns, their place as ``index``, and the item as ``row``;
+    rows and rejected together account for every response but empty lists that are allowed.
     """
     parsed = F.try_parse_json(F.col(body))
     found = F.try_variant_get(parsed, list_path, "variant")
@@ -31,13 +36,23 @@ def json_rows(responses: DataFrame, item_schema: str, list_path: str = "$",
     if not allow_empty:
         size = F.size(F.try_variant_get(found, "$", "array<variant>"))
         reason = reason.when(size == 0, "empty list")
-    judged = (responses.withColumn("_list", F.to_json(found)).withColumn("reason", reason))
+    elements = F.try_variant_get(found, "$", "array<variant>")
+    typed = F.transform(elements, lambda e: F.try_variant_get(e, "$", item_schema))
+    fields = T.DataType.fromDDL(item_schema).fields
+
+    def fits(e: Column) -> Column:
+        row = F.try_variant_get(e, "$", item_schema)
+        given = [F.try_variant_get(e, f"$['{f.name}']", "variant") for f in fields]
+        lost = [row[f.name].isNull() & (F.coalesce(F.schema_of_variant(v), F.lit("VOID")) != "VOID")
+                for f, v in zip(fields, given)]
+        return (F.schema_of_variant(e).startswith("OBJECT") & row.isNotNull()
+                & ~reduce(lambda a, b: a | b, lost, F.lit(False)))
+    reason = reason.when(~F.forall(elements, fits), "bad element")
+    judged = responses.withColumn("_list", typed).withColumn("reason", reason)
     rejected = judged.filter("reason IS NOT NULL").drop("_list", body)
     kept = judged.filter("reason IS NULL").drop("reason", body)
     columns = [c for c in kept.columns if c != "_list"]
-    rows = kept.select(*columns, F.posexplode(
-        F.from_json("_list", f"array<{item_schema}>")).alias("index", "row"))
-    return rows, rejected
+    return kept.select(*columns, F.posexplode("_list").alias("index", "row")), rejected
 
 
 def double_json(c: Column) -> Column:

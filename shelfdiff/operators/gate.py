@@ -207,7 +207,3 @@ def paged(rows: DataFrame, by: list[str], pos: str, page_size: int) -> DataFrame
     """Number the rows of each list and cut the lists into pages (1-based)."""
     numbered = number_in_group(rows, by, pos)
     return numbered.withColumn("page", (F.floor((F.col("rn") - 1) / page_size) + 1).cast("bigint"))
-
-
-def count_nameless(name: Column) -> Column:
-    return F.count_if(name.isNull() | (name == ""))

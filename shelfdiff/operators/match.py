@@ -260,8 +260,3 @@ def _propose_in_rounds(wanted: DataFrame, offered: DataFrame,
                  .filter("broken IS NULL OR rn < broken").select(*PAIR, "prev_pos", "cur_pos"))
         held = cut_lineage(held.unionByName(calls).groupBy(*PAIR, "prev_pos")
                            .agg(F.min("cur_pos").alias("cur_pos")))
-
-
-def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Join condition where null equals null."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])

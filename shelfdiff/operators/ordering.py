@@ -22,7 +22,8 @@ def number_in_group(df: DataFrame, group: list[str], pos: str = "pos", out: str
                .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
                .drop("_n"))
     inside = Window.partitionBy(*group, "_range").orderBy(pos)
-    return (ranged.withColumn("_in_range", F.row_number().over(inside))
+    # dealt anew, else rows that arrive partitioned by the group alone would stay together
+    return (ranged.repartition(*group, "_range").withColumn("_in_range", F.row_number().over(inside))
             .join(offsets, [*group, "_range"])
             .withColumn(out, (F.col("_in_range") + F.col("_before")).cast("bigint"))
             .drop("_range", "_in_range", "_before"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +56,15 @@ def publish(added: DataFrame, edits: DataFrame, enriched: DataFrame, previous_pu
     """Published rows of the added items that are in scope.
 
     ``edits`` is the result of ``apply_edits``, ``previous_pub`` that of
-    ``compared_publication``. The registry is small and inside the plan, so Spark broadcasts it.
+    ``compared_publication``. The registry is small and inside the plan, so Spark broadcasts it. Items
+    of a source that is not in it have no brand and channel, which ``validate`` reports.
     """
     kept, _ = drop_out_of_scope(added, edits)
     edit = edits.select(*KEY, F.col("category").alias("_category"), F.col("tags").alias("_edit_tags"),
                         F.col("blurb").alias("_blurb"))
     facts = enriched.select(*KEY, F.col("tags").alias("_facts_tags"))
     rows = (carry_forward_ids(kept, previous_pub).join(edit, KEY, "left")
-            .join(facts, KEY, "left").join(dim, "source_id"))
+            .join(facts, KEY, "left").join(dim, "source_id", "left"))
     return rows.select(
         "id", "week", "brand", "channel", "name", "price",
         F.coalesce(F.when(F.col("_category") != "", F.col("_category")), F.col("category_raw"))
@@ -101,12 +104,9 @@ def validate(publication: DataFrame, week: Column | None = None,
     return form.unionByName(doubled).unionByName(lacking).unionByName(foreign)
 
 
-def merge(parts: list[DataFrame]) -> DataFrame:
-    """One table of all source parts; ids have to be checked again over it with ``validate``."""
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+def merge(parts: list[DataFrame]) -> DataFrame | None:
+    """One table of all source parts, None if there is no part; ``validate`` checks ids over it."""
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def publication_counts(publication: DataFrame, by: tuple[str, ...] = ("week",)) -> DataFrame:

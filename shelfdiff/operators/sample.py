@@ -69,8 +69,12 @@ def allocate(sizes: DataFrame, total: int, weights: dict[str, int] | None = None
 
 def sample_allocated(df: DataFrame, plan: DataFrame, total: int, seed: int = 0,
                      value: str = "external_id") -> DataFrame:
-    """Draw the planned number of rows per source; no plan of ``allocate`` exceeds ``total``."""
-    drawn = sample_per_group(df, ["source_id"], total, seed, value, keep_rank="_rank")
+    """Draw the planned number of rows per source.
+
+    A weighted source may be planned with more than ``total``, so ranks go as far as the plan does.
+    """
+    most = plan.agg(F.max("n")).first()[0] or total
+    drawn = sample_per_group(df, ["source_id"], most, seed, value, keep_rank="_rank")
     return (drawn.join(plan.select("source_id", "n"), "source_id")
             .filter(F.col("_rank") <= F.col("n")).drop("n", "_rank"))
 

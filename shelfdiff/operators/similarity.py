@@ -5,22 +5,26 @@ These are never merged or split by themselves; they go to review.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
 from shelfdiff.functions import text
+from shelfdiff.operators.ordering import number_in_group
+from shelfdiff.session import cut_lineage
 
 PAIR = ["source_id", "week"]
 
 
 def pair_limit(left_cur: DataFrame, left_prev: DataFrame,
                limit: int = fixed.PAIR_LIMIT) -> DataFrame:
-    """Leftover pairs per source-week, and whether comparing names is skipped there.
+    """Leftover pairs per source-week, and whether they are more than ``limit``: a report.
 
     Counted before categories are looked at: too many leftovers mean that the layers above
-    failed, not that there is much to review.
+    failed, not that there is much to review. Names are compared all the same, unless a caller
+    passes the limit on.
     """
     sides = (left_cur.select(*PAIR, F.lit(1).alias("c"), F.lit(0).alias("p"))
              .unionByName(left_prev.select(*PAIR, F.lit(0).alias("c"), F.lit(1).alias("p"))))
@@ -82,69 +86,143 @@ def _shared_characters(a: Column, b: Column) -> Column:
         ch == "", F.lit(0)).otherwise(F.least(times(a, ch), times(b, ch))))
 
 
-def candidates(left_cur: DataFrame, left_prev: DataFrame,
-               threshold: float = fixed.SIMILARITY_THRESHOLD,
-               limit: int = fixed.PAIR_LIMIT) -> DataFrame:
-    """Pairs of leftovers in the same category with a name ratio of at least ``threshold``.
-
-    Names meet on shared pieces, an exact filter (nothing similar enough is missed), then
-    native bounds on length and characters thin the pairs out before the ratio is computed in
-    Arrow batches. Source-weeks beyond ``limit`` pairs are left out whole, so the pairs of one
-    source-week are bounded whatever the data.
-    """
-    if threshold <= 2 / 3:
-        raise ValueError("pieces need a threshold above 2/3")
-    in_range = (pair_limit(left_cur, left_prev, limit)
-                .filter(~F.col("skipped") & (F.col("n_cur") > 0) & (F.col("n_prev") > 0))
-                .select(*PAIR))
-
+def _leftovers(left_cur: DataFrame, left_prev: DataFrame,
+               limit: int | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides as (pair, cat, pos, name), without source-weeks over a limit."""
     def slim(side: DataFrame) -> DataFrame:
-        return side.join(in_range, PAIR, "left_semi").select(
+        if limit is not None:
+            over = pair_limit(left_cur, left_prev, limit).filter("skipped").select(*PAIR)
+            side = side.join(over, PAIR, "left_anti")
+        return side.select(
             *PAIR, F.coalesce(F.concat(F.lit("="), "category_raw"), F.lit("")).alias("cat"),
             "pos", text.normalize_name(F.col("name")).alias("name"))
+    return slim(left_cur), slim(left_prev)
+
 
-    cur = _substrings(slim(left_cur), threshold).alias("c")
-    prev = _pieces(slim(left_prev), threshold).alias("p")
-    la, lb = F.length("c.name"), F.length("p.name")
-    slack = _slack(la + lb, threshold)
-    only_cur = (slack + la - lb) / 2
-    only_prev = (slack - la + lb) / 2
-    moved = F.col("c.at") - F.col("p.at")
-    meeting = (
-        (F.col("c.source_id") == F.col("p.source_id")) & (F.col("c.week") == F.col("p.week"))
-        & (F.col("c.cat") == F.col("p.cat")) & (F.col("c.piece") == F.col("p.piece"))
-        & (only_cur >= 0) & (only_prev >= 0) & (moved <= only_cur) & (-moved <= only_prev))
-    met = cur.join(prev, meeting).select(
-        F.col("c.source_id"), F.col("c.week"), F.col("c.pos").alias("cur_pos"),
-        F.col("p.pos").alias("prev_pos"), F.col("c.name").alias("cur_name"),
-        F.col("p.name").alias("prev_name")).distinct()
+def name_pairs(cur: DataFrame, prev: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different names (pair, cat, cur_name, prev_name, similarity) that are close enough.
+
+    Each name of a category is compared once, however many rows bear it. Names meet on shared
+    pieces at places their lengths allow, an exact filter (nothing similar enough is missed); the
+    join key holds the previous name's length and the piece's place, so a syllable that is
+    everywhere does not bring everything together. Native bounds on characters thin the pairs out
+    before the ratio is computed in Arrow batches.
+    """
+    if threshold <= 2 / 3:
+        raise ValueError("pieces need a threshold above 2/3")
+    names = [*PAIR, "cat", "name"]
+    p = (_pieces(prev.select(*names).distinct(), threshold)
+         .withColumn("length", F.length("name")))
+    c = _substrings(cur.select(*names).distinct(), threshold)
+    la = F.length("name")
+    shortest = F.ceil(la * threshold / (2.0 - threshold) - F.lit(1e-9)).cast("int")
+    longest = F.floor(la * (2.0 - threshold) / threshold + F.lit(1e-9)).cast("int")
+    c = c.withColumn("length", F.explode(F.sequence(shortest, F.greatest(shortest, longest))))
+    slack = _slack(la + F.col("length"), threshold)
+    before, behind = (slack + la - F.col("length")) / 2, (slack - la + F.col("length")) / 2
+    first = F.greatest(F.lit(0), F.ceil(F.col("at") - before).cast("int"))
+    last = F.least(F.floor(F.col("at") + behind).cast("int"), F.col("length"))
+    c = (c.filter((before >= 0) & (behind >= 0)).withColumn("first", first).withColumn("last", last)
+         .filter("first <= last")
+         .withColumn("at", F.explode(F.sequence("first", "last"))).drop("first", "last"))
+    key = [*PAIR, "cat", "length", "at", "piece"]
+    met = (c.withColumnRenamed("name", "cur_name").join(p.withColumnRenamed("name", "prev_name"), key)
+           .filter("cur_name <> prev_name").select(*PAIR, "cat", "cur_name", "prev_name").distinct())
     total = F.length("cur_name") + F.length("prev_name")
     needed = total - _slack(total, threshold)
     close = met.filter(2 * _shared_characters(F.col("cur_name"), F.col("prev_name")) >= needed)
     return (close.withColumn("similarity", text.similarity(F.col("cur_name"), F.col("prev_name")))
-            .filter(F.col("similarity") >= threshold)
-            .select(*PAIR, "cur_pos", "prev_pos", "similarity"))
-
+            .filter(F.col("similarity") >= threshold))
 
-def _best_first(pairs: pd.DataFrame) -> pd.DataFrame:
-    pairs = pairs.sort_values(["similarity", "cur_pos", "prev_pos"], ascending=[False, True, True])
-    used_cur, used_prev, keep = set(), set(), []
-    for c, p in zip(pairs["cur_pos"], pairs["prev_pos"]):
-        free = c not in used_cur and p not in used_prev
-        keep.append(free)
-        if free:
-            used_cur.add(c)
-            used_prev.add(p)
-    chosen = pairs[keep].copy()
-    chosen["similarity"] = [round(s, 4) for s in chosen["similarity"]]
-    return chosen
 
+def candidates(left_cur: DataFrame, left_prev: DataFrame,
+               threshold: float = fixed.SIMILARITY_THRESHOLD,
+               limit: int | None = None) -> DataFrame:
+    """Pairs of leftover rows in the same category with a name ratio of at least ``threshold``.
 
-def review(found: DataFrame) -> DataFrame:
-    """One-to-one pairs, best ratio first, ties in list order.
-
-    A group holds the candidate pairs of one source-week, which ``candidates`` bounds by its
-    pair limit.
+    For looking at: every row of a name is paired with every row of a close one. ``review`` works
+    on names and never makes these pairs.
+    """
+    cur, prev = _leftovers(left_cur, left_prev, limit)
+    close = name_pairs(cur, prev, threshold)
+    cur = cur.withColumnRenamed("name", "cur_name").withColumnRenamed("pos", "cur_pos")
+    prev = prev.withColumnRenamed("name", "prev_name").withColumnRenamed("pos", "prev_pos")
+    same = cur.join(prev.withColumn("cur_name", F.col("prev_name")), [*PAIR, "cat", "cur_name"])
+    near = cur.join(close, [*PAIR, "cat", "cur_name"]).join(prev, [*PAIR, "cat", "prev_name"])
+    columns = [*PAIR, "cur_pos", "prev_pos", "similarity"]
+    return near.select(*columns).unionByName(
+        same.withColumn("similarity", F.lit(1.0)).select(*columns))
+
+
+def review(left_cur: DataFrame, left_prev: DataFrame, threshold: float = fixed.SIMILARITY_THRESHOLD,
+           limit: int | None = None) -> DataFrame:
+    """One-to-one pairs of leftovers, best ratio first, ties in list order.
+
+    Rows that share category and name stand in a queue: whoever pairs with the name takes its
+    first free row. Equal names have the highest ratio there is, so their queues are paired off
+    first, the k-th with the k-th. Then rounds over pairs of names: the pair that comes first for
+    both its names, by ratio and then by the first free rows, is taken; if neither name has another
+    partner of that ratio, the shorter queue is used up at once, else one row. This is the result
+    of going through all pairs of rows in order, without a task that holds a source-week.
     """
-    columns = found.select(*PAIR, "cur_pos", "prev_pos", "similarity")
-    return columns.groupBy(*PAIR).applyInPandas(_best_first, columns.schema)
+    pool = [*PAIR, "cat", "name"]
+    cur, prev = _leftovers(left_cur, left_prev, limit)
+    cur, prev = (cut_lineage(number_in_group(side, pool)) for side in (cur, prev))
+
+    def sizes(side: DataFrame, mark: str) -> DataFrame:
+        return side.groupBy(*pool).agg(F.max("rn").alias(f"{mark}_n"))
+
+    def named(df: DataFrame, mark: str) -> DataFrame:
+        return df.withColumnRenamed("name", f"{mark}_name")
+    queues = cut_lineage(sizes(cur, "cur").join(sizes(prev, "prev"), pool, "outer")
+                         .withColumn("done", F.coalesce(F.least("cur_n", "prev_n"), F.lit(0)))
+                         .na.fill(0, ["cur_n", "prev_n"]))
+    # done counts skip nulls: a queue with one side only has paired nothing
+    queues = queues.withColumn("done", F.when((F.col("cur_n") > 0) & (F.col("prev_n") > 0),
+                                              F.col("done")).otherwise(F.lit(0)))
+    taken = [queues.filter("done > 0").select(
+        *PAIR, "cat", F.col("name").alias("cur_name"), F.col("name").alias("prev_name"),
+        F.lit(0).cast("bigint").alias("cur_done"), F.lit(0).cast("bigint").alias("prev_done"),
+        F.col("done").cast("bigint").alias("take"), F.lit(1.0).alias("similarity"))]
+
+    def state(mark: str) -> DataFrame:
+        return named(queues.filter(f"{mark}_n > done").select(
+            *pool, F.col(f"{mark}_n").cast("bigint").alias(f"{mark}_n"),
+            F.col("done").cast("bigint").alias(f"{mark}_done")), mark)
+    edges = cut_lineage(name_pairs(cur, prev, threshold)
+                        .join(state("cur"), [*PAIR, "cat", "cur_name"])
+                        .join(state("prev"), [*PAIR, "cat", "prev_name"]))
+    heads = {mark: named(side.select(*pool, (F.col("rn") - 1).alias(f"{mark}_done"),
+                                     F.col("pos").alias(f"{mark}_head")), mark)
+             for mark, side in (("cur", cur), ("prev", prev))}
+    while edges.limit(1).count():
+        live = (edges.join(heads["cur"], [*PAIR, "cat", "cur_name", "cur_done"])
+                .join(heads["prev"], [*PAIR, "cat", "prev_name", "prev_done"]))
+        by = {m: Window.partitionBy(*PAIR, "cat", f"{m}_name") for m in ("cur", "prev")}
+        tied = {m: Window.partitionBy(*PAIR, "cat", f"{m}_name", "similarity") for m in ("cur", "prev")}
+        order = [F.desc("similarity"), F.asc("cur_head"), F.asc("prev_head")]
+        first = (live.withColumns({
+            "cur_rank": F.row_number().over(by["cur"].orderBy(*order)),
+            "prev_rank": F.row_number().over(by["prev"].orderBy(*order)),
+            "rivals": F.greatest(F.count(F.lit(1)).over(tied["cur"]),
+                                 F.count(F.lit(1)).over(tied["prev"]))})
+                 .filter("cur_rank = 1 AND prev_rank = 1"))
+        free = F.least(F.col("cur_n") - F.col("cur_done"), F.col("prev_n") - F.col("prev_done"))
+        won = cut_lineage(first.withColumn("take", F.when(F.col("rivals") == 1, free).otherwise(1))
+                          .select(*taken[0].columns))
+        taken.append(won)
+        if len(taken) > 16:
+            taken = [cut_lineage(reduce(DataFrame.unionByName, taken))]
+        for mark in ("cur", "prev"):
+            step = won.select(*PAIR, "cat", f"{mark}_name", F.col("take").alias("_take"))
+            edges = (edges.join(step, [*PAIR, "cat", f"{mark}_name"], "left")
+                     .withColumn(f"{mark}_done", F.col(f"{mark}_done") + F.coalesce("_take", F.lit(0)))
+                     .drop("_take"))
+        edges = cut_lineage(edges.filter("cur_done < cur_n AND prev_done < prev_n"))
+    runs = reduce(DataFrame.unionByName, taken)
+    rows = (runs.join(named(cur, "cur").withColumnRenamed("pos", "cur_pos"), [*PAIR, "cat", "cur_name"])
+            .filter("rn > cur_done AND rn <= cur_done + take")
+            .withColumn("prev_rn", F.col("rn") - F.col("cur_done") + F.col("prev_done")).drop("rn"))
+    rows = rows.join(named(prev, "prev").withColumnRenamed("pos", "prev_pos")
+                     .withColumnRenamed("rn", "prev_rn"), [*PAIR, "cat", "prev_name", "prev_rn"])
+    return rows.select(*PAIR, "cur_pos", "prev_pos", F.bround("similarity", 4).alias("similarity"))

@@ -99,7 +99,7 @@ def _pair_limit(t):
 @query("greedy_best_pairs", _with("SELECT * FROM review"))
 def _review(t):
     cur, prev = _leftovers(t)
-    return similarity.review(similarity.candidates(cur, prev)).drop("week")
+    return similarity.review(cur, prev).drop("week")
 
 
 @query("added", _with("SELECT source_id, external_id, name FROM added"))
@@ -275,7 +275,7 @@ def _failures(t):
 
 def enriched(t):
     """(enriched, failures) of the whole current catalog, without a limit on details."""
-    ready, failures, _over = enrich.enrich(cur_items(t), details(t), registry.source_dim(t.spark), 10**9)
+    ready, failures, _over = enrich.enrich(cur_items(t), details(t), registry.source_dim(t.spark))
     return ready, failures
 
 

@@ -63,12 +63,10 @@ _DUCK_CLEAN = "nullif(trim(regexp_replace(" + _DUCK_UNESCAPE + ", '\\s+', ' ', '
 
 
 @query("clean_text", f"""
-SELECT page_id, md5({_DUCK_CLEAN.format("regexp_extract(html, '<footer>(.*)</footer>', 1)")}) AS digest
-FROM pages
+SELECT page_id, md5({_DUCK_CLEAN.format("html")}) AS digest FROM pages
 """)
 def _clean_text(t):
-    footer = F.regexp_extract("html", "<footer>(.*)</footer>", 1)
-    return t.pages.select("page_id", F.md5(text.clean_text(footer)).alias("digest"))
+    return t.pages.select("page_id", F.md5(text.clean_text(_("html"))).alias("digest"))
 
 
 @query("strip_markup", f"""

@@ -341,7 +341,10 @@ def _allocation(t):
 
 @query("sample_allocated", """
 WITH sizes AS (SELECT p_type AS source_id, count(*) AS size FROM part GROUP BY ALL),
-plan AS (SELECT source_id, least(size, greatest(1, round_even(60.0 * size / sum(size) OVER (), 0))) AS n FROM sizes)
+f AS (SELECT *, CASE WHEN source_id = 'PROMO' THEN least(size, 80) END AS fixed FROM sizes),
+r AS (SELECT *, 60 - sum(fixed) OVER () AS remaining, sum(size) FILTER (fixed IS NULL) OVER () AS pool FROM f),
+plan AS (SELECT source_id, coalesce(fixed, least(size, greatest(1, round_even(remaining * size / pool, 0)))) AS n
+         FROM r WHERE fixed IS NOT NULL OR remaining > 0)
 SELECT source_id, external_id FROM (
   SELECT p_type AS source_id, CAST(p_partkey AS STRING) AS external_id, row_number() OVER (PARTITION BY p_type
     ORDER BY md5('3|' || CAST(p_partkey AS STRING) || '|' || CAST(p_partkey AS STRING)), CAST(p_partkey AS STRING)) AS rn
@@ -349,7 +352,8 @@ SELECT source_id, external_id FROM (
 """)
 def _allocated(t):
     rows = t.part.select(_("p_type").alias("source_id"), _("p_partkey").cast("string").alias("external_id"))
-    plan = sample.allocate(rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("size")), 60)
+    plan = sample.allocate(rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("size")), 60,
+                           {"PROMO": 80})
     return sample.sample_allocated(rows, plan, 60, seed=3).select("source_id", "external_id")
 
 

@@ -39,19 +39,14 @@ FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """
 
 
-def monthly_raw(t):
-    """The archive with a coarser partitioning, so that a test write stays small."""
-    return raw_responses(t).withColumn("week", F.concat(F.substring("week", 1, 6), F.lit("01")))
-
-
 @query("raw_archive_write", f"""
 WITH raw AS ({_RAW_KEYS})
-SELECT source_id, substr(week, 1, 6) || '01' AS week, count(*) AS responses,
+SELECT source_id, week, count(*) AS responses,
        count(*) FILTER (o_orderstatus = 'F') AS failures FROM raw GROUP BY ALL
 """)
 def _raw_write(t):
     path = scratch_path(t.spark, "raw")
-    tables.write_raw(monthly_raw(t), path)
+    tables.write_raw(raw_responses(t), path)
     back = tables.read_table(t.spark, path, schemas.RAW_RESPONSE)
     return back.groupBy("source_id", "week").agg(
         F.count(F.lit(1)).alias("responses"),
@@ -160,12 +155,17 @@ def _source_subset(t):
 
 
 @query("jsonl_read_skip_malformed", """
-SELECT event_type, count(*) AS n, sum(CAST(props->>'k' AS BIGINT)) AS k FROM events
+SELECT event_type, count(*) AS n,
+       sum(CASE WHEN event_id % 3 > 0 THEN CAST(props->>'k' AS BIGINT) END) AS k FROM events
 WHERE value <= 100 GROUP BY ALL
 """)
 def _jsonl(t):
     path = scratch_path(t.spark, "jsonl")
-    line = F.to_json(F.struct("event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k")))
+    """Broken lines are dropped; a line whose k is a word stays, without k."""
+    k = F.get_json_object("props", "$.k")
+    number = F.to_json(F.struct("event_type", k.cast("bigint").alias("k")))
+    word = F.to_json(F.struct("event_type", F.concat(F.lit("no "), k).alias("k")))
+    line = F.when(_("event_id") % 3 > 0, number).otherwise(word)
     broken = F.when(_("value") > 100, F.concat(line, F.lit("}{,"))).otherwise(line)
     broken = F.when(_("value") > 100, F.concat(F.lit("{"), broken)).otherwise(broken)
     t.events.select(broken.alias("value")).write.text(path)
@@ -175,14 +175,14 @@ def _jsonl(t):
 
 @query("published_part_sink", f"""
 WITH {PAIR_CTE} SELECT source_id, count(*) AS n, sum(price) AS price FROM (
-  SELECT source_id, price FROM cur WHERE source_id <> 'cu'
+  SELECT source_id, price FROM cur WHERE source_id = 'starbucks'
   UNION ALL SELECT source_id, price FROM prev WHERE source_id = 'cu') x GROUP BY ALL
 """)
 def _part_sink(t):
-    """Two writes: the second replaces one source and leaves the others."""
+    """Two writes: the second answers for two sources, replaces one, empties one, leaves the third."""
     path = scratch_path(t.spark, "parts")
     tables.write_table(cur_items(t), path)
-    tables.write_table(prev_items(t).filter("source_id = 'cu'"), path)
+    tables.write_table(prev_items(t).filter("source_id = 'cu'"), path, None, "2026-W36", ["cu", "orion"])
     back = tables.read_table(t.spark, path, schemas.SNAPSHOT_ITEM)
     return back.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
@@ -267,11 +267,17 @@ def _json_rows(t):
 
 @query("json_envelope_rejected", f"""
 WITH raw AS ({_RAW_KEYS})
-SELECT request_id, CASE o_orderstatus WHEN 'F' THEN 'failure flag' ELSE 'no list' END AS reason
-FROM raw WHERE o_orderstatus <> 'O'
+SELECT request_id, CASE o_orderstatus WHEN 'F' THEN 'failure flag' WHEN 'O' THEN 'bad element' ELSE 'no list' END
+       AS reason
+FROM raw WHERE o_orderstatus <> 'O' OR CAST(request_id AS BIGINT) % 4 < 2
 """)
 def _json_rejected(t):
-    _rows, rejected = extract.json_rows(raw_responses(t), _ITEM, "$.list", "$.returnCode", "SUCCESS")
+    """Of four good lists one gets a number among its elements and one a word for a price."""
+    turn = _("request_id").cast("bigint") % 4
+    other = F.when(turn == 0, F.regexp_replace("body", r'"list":\[', '"list":[7,')).when(
+        turn == 1, F.regexp_replace("body", r'"list":\[\{', '"list":[{"line":"first"},{')).otherwise(_("body"))
+    raw = raw_responses(t).withColumn("body", other)
+    _rows, rejected = extract.json_rows(raw, _ITEM, "$.list", "$.returnCode", "SUCCESS")
     return rejected.select("request_id", "reason")
 
 

@@ -50,8 +50,7 @@ class Store:
                                  [week])
 
     def counts(self, week: str) -> DataFrame:
-        path = f"{self.path}/diff/counts"
-        return self.spark.read.parquet(path).filter(F.col("week") == week)
+        return tables.read_table(self.spark, f"{self.path}/diff/counts", schemas.DIFF_COUNTS, [week])
 
     def enriched(self, week: str) -> DataFrame:
         return tables.read_table(self.spark, f"{self.path}/enriched", schemas.ENRICHED, [week])
@@ -59,8 +58,9 @@ class Store:
     def publication(self, weeks: list[str] | None = None) -> DataFrame:
         return tables.read_table(self.spark, f"{self.path}/published", schemas.PUBLISHED_ITEM, weeks)
 
-    def save(self, df: DataFrame, name: str, by: list[str] | None = None) -> None:
-        tables.write_table(df, f"{self.path}/{name}", by)
+    def save(self, df: DataFrame, name: str, week: str, by: list[str] | None = None) -> None:
+        """Write a table of the whole week: what an earlier run left of the week is gone."""
+        tables.write_table(df, f"{self.path}/{name}", by, week)
 
 
 def _window_of(week: str, spark: SparkSession, n: int = fixed.MAX_LOOKBACK_WEEKS) -> list[str]:
@@ -101,8 +101,10 @@ def take_snapshots(store: Store, week: str, collected: DataFrame, category_dim:
         earlier.unionByName(fresh.select(*earlier.columns)), both, category_dim, looked_back)
         .join(fresh.select(*PAIR), PAIR, "left_semi"))
 
+    # one name a source, as many as the registry has
+    judged = [r.source_id for r in verdict.select("source_id").collect()]
     tables.write_snapshot(items.join(verdict.filter("ok"), PAIR, "left_semi"),
-                          f"{store.path}/snapshot")
+                          f"{store.path}/snapshot", week, judged)
     held_meta, held_items, held_control = gate.hold_previous(
         verdict.filter("NOT ok"), stored, store.items(span), store.control(span), looked_back)
     # Held rows are read from the very tables they go to: fix them before writing.
@@ -124,19 +126,21 @@ def diff_week(store: Store, week: str) -> None:
     first = diff.baseline_weeks(now, looked_back).withColumn("baseline", F.lit(True))
     counts = diff.gap_weeks(result.counts.withColumn("baseline", F.lit(False)).unionByName(first)
                             .join(looked_back, PAIR, "left"))
-    store.save(result.added, "diff/added")
-    store.save(result.removed, "diff/removed")
-    store.save(result.changed, "diff/changed")
-    store.save(result.review, "diff/review")
-    store.save(result.conflicts, "diff/conflicts")
-    store.save(counts, "diff/counts")
+    store.save(result.added, "diff/added", week)
+    store.save(result.removed, "diff/removed", week)
+    store.save(result.changed, "diff/changed", week)
+    store.save(result.review, "diff/review", week)
+    store.save(result.conflicts, "diff/conflicts", week)
+    store.save(counts, "diff/counts", week)
+    store.save(result.over_limit, "diff/over_limit", week)
 
 
 def enrich_week(store: Store, week: str, details: DataFrame, dim: DataFrame) -> DataFrame:
     """Store descriptions and tags of the added items; returns the stats per source."""
     added = store.added(week)
-    ready, failures, _over = enrich.enrich(added, details, dim)
-    store.save(ready, "enriched")
+    ready, failures, over = enrich.enrich(added, details, dim)
+    store.save(ready, "enriched", week)
+    store.save(over, "detail_over_limit", week)
     return enrich.enrich_stats(added, store.enriched(week), failures)
 
 
@@ -167,7 +171,7 @@ def publish_week(store: Store, week: str, responses: DataFrame | None,
     if problems:
         raise PublicationStopped("; ".join(
             f"{p.problem} {p.id or ''} {p.detail or ''}".strip() for p in problems))
-    store.save(rows, "published")
+    store.save(rows, "published", week)
 
     dropped = publish.drop_out_of_scope(added, applied)[1]
     metas = store.meta(span)
@@ -175,9 +179,9 @@ def publish_week(store: Store, week: str, responses: DataFrame | None,
     prev, _cur = diff.pair_snapshots(store.items(span), compared.select(*PAIR, "previous_week"))
     reports = report.source_report(counts, store.control([week]), prev, added, store.removed(week),
                                    earlier, dropped, rows, metas, dim)
-    store.save(report.week_report(reports, rows), "report", ["week"])
-    store.save(report.scope_names(dropped), "report_names/out_of_scope")
-    store.save(report.gone_names(earlier, store.removed(week)), "report_names/gone")
-    store.save(publish.week_publication(rows), "week", ["week"])
+    store.save(report.week_report(reports, rows), "report", week, ["week"])
+    store.save(report.scope_names(dropped), "report_names/out_of_scope", week)
+    store.save(report.gone_names(earlier, store.removed(week)), "report_names/gone", week)
+    store.save(publish.week_publication(rows), "week", week, ["week"])
     return store.publication([week]), store.spark.read.parquet(f"{store.path}/report").filter(
         F.col("week") == week)

@@ -26,6 +26,11 @@ SNAPSHOT_META = _fields(
 LABELS = _fields(("new", B), ("best", B), ("limited", B), ("sold_out", B), ("badges", TAGS),
                  ("new_start_date", S))
 
+DIFF_COUNTS = _fields(
+    ("source_id", S), ("week", S), ("previous", L), ("current", L), ("matched", L), ("added", L),
+    ("removed", L), ("changed", L), ("review", L), ("conflicts", L), ("baseline", B),
+    ("previous_week", S), ("gap_weeks", T.IntegerType()))
+
 CONTROL = _fields(("week", S), ("source_id", S), ("external_id", S), ("labels", LABELS))
 
 ENRICHED = _fields(("week", S), ("source_id", S), ("external_id", S), ("description", S),

@@ -1,14 +1,16 @@
 """Parquet tables by (week, source_id): snapshots, diffs, parts, publications, raw responses.
 
 A write replaces only the partitions it carries (dynamic overwrite), so one source never
-overwrites another and a repeated run leaves the same table. Items and control land before
+overwrites another; a step also drops partitions it answers for and has no rows for, so a repeated
+run leaves the same table. Items and control land before
 ``snapshot_meta``; a partition without a meta row counts as absent.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +21,59 @@ from shelfdiff.functions import weeks as W
 PARTITION = ["week", "source_id"]
 
 
-def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, by: list[str] | None = None, week: str | None = None,
+                sources: list[str] | None = None) -> None:
     """Replace the partitions that ``df`` carries and leave the others alone.
 
+    A step that is responsible for a whole ``week``, or for some ``sources`` of it, says so: their
+    partitions that got no rows this time are dropped after the write, so a second run with fewer
+    rows leaves what it found and nothing older.
+
     The rebalance hint lets AQE split a source with a third of all rows over many writers and
     merge the small sources, so file sizes stay even on both ends.
     """
     by = PARTITION if by is None else by
-    (df.hint("rebalance", *by).write.mode("overwrite")
+    written = Observation()
+    named = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+    (df.observe(written, F.collect_set(named).alias("partitions"))
+     .hint("rebalance", *by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    if week is not None:
+        drop_partitions(df.sparkSession, path, week, sources, _partitions(written, df), by)
+
+
+def _partitions(written: Observation, df: DataFrame) -> set[str]:
+    """Partitions of a write; a plan that is known to be empty is never run and observes nothing."""
+    try:
+        return set(written.get["partitions"])
+    except Py4JJavaError:
+        if not df.isEmpty():
+            raise
+        return set()
+
+
+def drop_partitions(spark: SparkSession, path: str, week: str, sources: list[str] | None = None,
+                    but: set[str] = frozenset(), by: list[str] | None = None) -> None:
+    """Delete the folders of a week's partitions, or of some sources', except those in ``but``.
+
+    The folders of one week are as many as there are sources, so the driver may list them.
+    """
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{path}/week={week}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return
+    if by == ["week"]:
+        if week not in but:
+            files.delete(place, True)
+        return
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for folder in files.listStatus(place):
+        name = folder.getPath().getName()
+        if name.startswith("source_id="):
+            source = unescape(name.removeprefix("source_id="))
+            if f"{week}/{source}" not in but and (sources is None or source in sources):
+                files.delete(folder.getPath(), True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -97,12 +143,19 @@ def split_control_map(attributes: Column) -> tuple[Column, Column]:
     return public, private
 
 
-def write_snapshot(items: DataFrame, path: str) -> None:
-    """Items and control first, meta last: readers trust only partitions that have a meta row."""
+def write_snapshot(items: DataFrame, path: str, week: str | None = None,
+                   sources: list[str] | None = None) -> None:
+    """Items and control first, meta last: readers trust only partitions that have a meta row.
+
+    With ``week`` (and ``sources``) the step answers for all of their partitions: their meta rows
+    go first, so that a half-written snapshot is not vouched for by an older row.
+    """
     clean, control = split_control(items)
-    write_table(clean, f"{path}/items")
-    write_table(control, f"{path}/control")
-    write_table(snapshot_meta(clean), f"{path}/meta")
+    if week is not None:
+        drop_partitions(items.sparkSession, f"{path}/meta", week, sources)
+    write_table(clean, f"{path}/items", None, week, sources)
+    write_table(control, f"{path}/control", None, week, sources)
+    write_table(snapshot_meta(clean), f"{path}/meta", None, week, sources)
 
 
 def read_snapshot(spark: SparkSession, path: str, weeks: list[str] | None = None,
@@ -129,5 +182,10 @@ def read_week(publication: DataFrame, week: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """JSON lines; a line that does not parse is dropped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """JSON lines; a line that is no JSON is dropped, a value of another type than asked is null.
+
+    Whether a line is kept does not depend on the columns that are read.
+    """
+    lines = spark.read.text(path)
+    good = lines.filter(F.try_parse_json("value").isNotNull())
+    return good.select(F.from_json("value", schema).alias("row")).select("row.*")

@@ -128,9 +128,9 @@ def test_review_equals_all_pairs(spark):
     cur["long"] = [(0, None, "ab " * 88), (1, None, prev["long"][1][2][:210])]
     prev["long"] = [(i, c, " ".join(n.split())) for i, c, n in prev["long"]]
     cur["long"] = [(i, c, " ".join(n.split())) for i, c, n in cur["long"]]
-    found = similarity.candidates(leftovers(spark, cur), leftovers(spark, prev))
+    found = similarity.review(leftovers(spark, cur), leftovers(spark, prev))
     got = {}
-    for r in similarity.review(found).collect():
+    for r in found.collect():
         got.setdefault(r.source_id, {})[r.cur_pos] = (r.prev_pos, r.similarity)
     for trial in prev:
         assert got.get(trial, {}) == serial_review(prev[trial], cur[trial], 0.85, 10**6), trial

@@ -264,3 +264,36 @@ def test_log_blocks_of_every_kind(spark):
     assert row.transcript.startswith("# 세션 1\n\n## 나\n\nhi\n\n> **생각**\n> \n> a\n> b\n\n```\n▶ ls(")
     parts = convlog.render_transcript(blocks, turns_per_part=1).orderBy("part").collect()
     assert "\n".join(p.transcript for p in parts) == row.transcript
+
+
+def test_every_response_is_a_row_or_rejected(spark):
+    bodies = ['{"list":[{"a":1,"b":"x"},{"a":2}]}', '{"list":[1,2]}', '{"list":["s"]}', '{"list":[{"a":1},5]}',
+              '{"list":[{"a":"word"}]}', '{"list":[]}', "no json", '{"list":3}', '{"list":[{"c":1}]}', '{"list":[{"a":null}]}',
+              None]
+    responses = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+    rows, rejected = extract.json_rows(responses, "struct<a:bigint,b:string>", "$.list")
+    assert [(r.id, r["index"], r.row.a, r.row.b) for r in rows.orderBy("id", "index").collect()] == [
+        (0, 0, 1, "x"), (0, 1, 2, None), (8, 0, None, None), (9, 0, None, None)]
+    assert {r.id: r.reason for r in rejected.collect()} == {
+        1: "bad element", 2: "bad element", 3: "bad element", 4: "bad element", 6: "not json", 7: "no list",
+        10: "not json"}
+
+
+def test_json_lines_do_not_depend_on_the_columns_read(spark, tmp_path):
+    (tmp_path / "lines").write_text('{"event_type":"a","n":1}\n{"event_type":5,"n":"x"}\nbad{\n{"n":2}\n')
+    rows = tables.read_jsonl(spark, str(tmp_path / "lines"), "event_type string, n int")
+    assert rows.count() == len(rows.collect()) == len(rows.select("event_type").collect()) == 3
+    assert [(r.event_type, r.n) for r in rows.collect()] == [("a", 1), ("5", None), (None, 2)]
+
+
+def test_merge_of_no_parts():
+    assert publish.merge([]) is None
+
+
+def test_a_doubled_detail_does_not_double_the_item(spark):
+    added = spark.createDataFrame([("cu", "W", "1", "n", None, [])],
+                                  "source_id string, week string, external_id string, name string, description string, "
+                                  "tags array<string>")
+    details = spark.createDataFrame([("cu", "W", "1", "n", d, []) for d in ("b", "a")], added.schema)
+    ready, failures = enrich.merge_details(added, details)
+    assert [r.description for r in ready.collect()] == ["a"] and failures.count() == 0

@@ -117,3 +117,24 @@ def test_report_tells_absent_from_zero(run):
     assert orion.snapshot.held_from == "2026-W35" and cu.snapshot.held_from is None
     assert orion.source_new_label.labelled_total == 0  # its label sits on the first row of all
     assert (orion.published.total, cu.source_new_label.labelled_total) == (0, 1)
+
+
+def test_a_rerun_leaves_no_older_rows(spark, tmp_path):
+    """Every step run again with fewer rows, and with none, leaves what it found and nothing older."""
+    store, dim = weekly.Store(spark, str(tmp_path / "store")), registry.source_dim(spark)
+    categories = spark.createDataFrame([("cu", "60", "음료", 0, None)], schemas.CATEGORY_DIM)
+    base = [("cu", str(k), f"name {k}", 100, None) for k in range(4)]
+    weekly.take_snapshots(store, "2026-W35", items(spark, "2026-W35", base), categories)
+    details = spark.createDataFrame([], "source_id string, week string, external_id string, name string, "
+                                        "description string, tags array<string>")
+    for extra, want in ([("cu", "8", "eight", 1, "sweet"), ("cu", "9", "nine", 1, "sour")], ["8", "9"]), (
+            [("cu", "9", "nine", 1, "sour")], ["9"]), ([], []):
+        weekly.take_snapshots(store, "2026-W36", items(spark, "2026-W36", base + extra), categories, refresh=True)
+        weekly.diff_week(store, "2026-W36")
+        weekly.enrich_week(store, "2026-W36", details, dim)
+        published, _report = weekly.publish_week(store, "2026-W36", None, dim)
+        for table in (store.added("2026-W36"), store.enriched("2026-W36"), published):
+            assert sorted(r.external_id for r in table.collect()) == want
+        (counts,) = store.counts("2026-W36").collect()
+        assert (counts.added, counts.current) == (len(want), 4 + len(want))
+        assert store.items(["2026-W36"]).count() == 4 + len(want)
