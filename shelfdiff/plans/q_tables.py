@@ -27,13 +27,13 @@ def raw_responses(t):
         F.when(_("o_orderstatus") != "P", _("list")).alias("list")))
     return (t.orders.join(lines, _("o_orderkey") == _("l_orderkey"))
             .select(W.week_of(_("o_orderdate")).alias("week"),
-                    F.concat(F.lit("cust"), (_("o_custkey") % 10).cast("string")).alias("source_id"),
+                    F.concat(F.lit("cust"), (_("o_custkey") % 3).cast("string")).alias("source_id"),
                     _("o_orderkey").cast("string").alias("request_id"), F.lit("json").alias("ext"),
                     body.alias("body"), "o_orderstatus"))
 
 
 _RAW_KEYS = f"""
-SELECT {DUCK_WEEK.format('o_orderdate')} AS week, 'cust' || CAST(o_custkey % 10 AS STRING) AS source_id,
+SELECT {DUCK_WEEK.format('o_orderdate')} AS week, 'cust' || CAST(o_custkey % 3 AS STRING) AS source_id,
        CAST(o_orderkey AS STRING) AS request_id, o_orderkey, o_orderstatus
 FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """
