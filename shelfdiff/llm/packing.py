@@ -116,8 +116,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Sequence ids have gaps between the classes; the order of pieces depends on their hashes alone. An empty table
     gives an empty result.
     """
-    rows = (pieces.withColumn("_class", size_class(F.col("length"), capacity))
-            .withColumn("_spread", F.xxhash64("doc_id", "start", "length")))
+    rows = cut_lineage(pieces.withColumn("_class", size_class(F.col("length"), capacity))
+                       .withColumn("_spread", F.xxhash64("doc_id", "start", "length")))
     extra = [c for c in pieces.columns if c not in ("doc_id", "start", "length")]
     ties = [c for c, kind in pieces.select("doc_id", "start", *extra).dtypes if not kind.startswith(("map", "variant"))]
     rows = cut_lineage(running_total(rows, ["_class"], "_spread", ties=ties, before="_number", total="_all"))
