@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfdiff.llm.parts import hashed_sample
+
 #: Longest n-gram, bits of the feature hash, characters of a text taken at a time.
 GRAMS = 3
 BITS = 14
@@ -134,7 +136,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` (doc_id, text, lang); rows without lang or without a letter teach nothing.
 
     Document frequencies are counted over all rows. Weights are fitted on at most ``sample`` rows of each language,
-    those whose ids hash lowest; their sparse vectors come to the driver, whole texts do not. Without any row to
+    those whose ids hash lowest (rows without id are not among them); their sparse vectors come to the driver, whole
+    texts do not, and the table of their ids is broadcast to find them. Without any row to
     learn from the model has no language.
     """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("lang IS NOT NULL")
@@ -173,9 +176,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                 at = np.flatnonzero(counts)
                 out.append(at.astype("<u2").tobytes() + counts[at].astype("<f4").tobytes())
         return pd.Series(out)
-    order = Window.partitionBy("lang").orderBy("spread", "doc_id")
-    chosen = (rows.withColumn("spread", F.xxhash64("doc_id", F.lit(3))).withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= sample).select("lang", "spread", "doc_id", counted("text").alias("x")).collect())
+    spread = F.xxhash64("doc_id", F.lit(3))
+    some = (hashed_sample(rows.select("doc_id", "lang", spread.alias("spread")), "lang", "spread", sample)
+            .filter("doc_id IS NOT NULL").select("doc_id", "lang").distinct())
+    # ``sample`` ids of each language: a bound of the table that is broadcast
+    chosen = (rows.join(F.broadcast(some), ["doc_id", "lang"])
+              .select("lang", spread.alias("spread"), "doc_id", counted("text").alias("x")).collect())
     chosen = sorted((r for r in chosen if r.x is not None), key=lambda r: (r.spread, str(r.doc_id), r.lang))
     if not chosen:
         return empty

@@ -47,3 +47,18 @@ def running_total(df: DataFrame, group: list[str], spread: str, value: Column |
             .join(offsets, same)
             .withColumn(before, F.col("_earlier") + F.col("_upto") - F.col("_value"))
             .drop("_range", "_value", "_upto", "_earlier", "_g_range", *[f"_g_{c}" for c in group]))
+
+
+def hashed_sample(df: DataFrame, by: str, spread: str, size: int) -> DataFrame:
+    """At most ``size`` rows of each ``by``, those with the lowest ``spread``, a uniform 64-bit hash.
+
+    Rows are counted first, and only those whose hash lies in the part of its range where four times ``size`` are
+    to be expected are ranked, so a value with a third of all rows ranks no more rows than a rare one. Pass narrow
+    rows. Rows with a null ``by`` are left out.
+    """
+    rows = df.filter(F.col(by).isNotNull())
+    counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.shiftrightunsigned(F.col(spread), 11) / F.lit(float(1 << 53))
+    few = (rows.join(counts, F.col(by) == F.col("_by")).filter(share * F.col("_n") <= 4 * size))
+    order = Window.partitionBy(by).orderBy(F.shiftrightunsigned(F.col(spread), 1), spread)
+    return few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= size).drop("_by", "_n", "_rank")

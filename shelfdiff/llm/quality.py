@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfdiff.llm.parts import hashed_sample
+
 #: Labelled documents of each label the field is fitted on, the bound of the sample; steps, step length, L2 penalty.
 SAMPLE = 1500
 STEPS = 150
@@ -221,9 +223,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | N
     """
     one = (labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
            .agg(F.min("quality").cast("int").alias("quality")))
-    order = Window.partitionBy("quality").orderBy("spread", "doc_id")
-    chosen = (one.withColumn("spread", F.xxhash64("doc_id", F.lit(5))).withColumn("rank", F.row_number().over(order))
-              .filter(F.col("rank") <= sample).select("doc_id", "quality"))
+    chosen = hashed_sample(one.withColumn("spread", F.xxhash64("doc_id", F.lit(5))), "quality", "spread",
+                           sample).select("doc_id", "quality")
 
     @F.pandas_udf("lines int, x binary")
     def features(texts: pd.Series) -> pd.DataFrame:
