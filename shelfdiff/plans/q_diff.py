@@ -141,23 +141,29 @@ def _diff_sink(t):
         F.count(F.lit(1)).alias("added"))
 
 
-@query("contested_match")
+@query("contested_match", """
+WITH items AS (
+  SELECT CASE p_size % 3 WHEN 0 THEN 'cu' WHEN 1 THEN 'orion' ELSE 'starbucks' END AS source_id,
+         p_partkey AS pos, lower(p_name) AS name, CASE WHEN p_size % 2 = 0 THEN p_size END AS price FROM part),
+prev AS (SELECT *, row_number() OVER (PARTITION BY source_id, name, price ORDER BY pos) AS rn FROM items),
+cur AS (SELECT * REPLACE (price + 6 AS price) FROM prev)
+SELECT c.source_id, c.pos AS cur_pos, p.pos AS prev_pos, 'name_price' AS matched_by FROM cur c JOIN prev p
+ON c.source_id = p.source_id AND c.name = p.name AND c.price IS NOT DISTINCT FROM p.price AND c.rn = p.rn
+""")
 def _contested(t):
     """All parts under their 64 names, half of them without a price: fat pools of name and price.
 
-    No SQL twin: the result is a serial rule, checked against brute force in the tests.
+    Rows have no other key, so of every pool the k-th meets the k-th; tangled pools are compared
+    with brute force in the tests.
     """
-    def side(week_day):
-        price = F.when(_("p_size") % 2 == 0, _("p_size").cast("bigint") + week_day)
+    def side(more):
+        price = F.when(_("p_size") % 2 == 0, _("p_size").cast("bigint") + more)
+        source = F.when(_("p_size") % 3 == 0, "cu").when(_("p_size") % 3 == 1, "orion").otherwise("starbucks")
         return t.part.select(
-            F.lit("cu").alias("source_id"), F.lit("2026-W36").alias("week"), _("p_partkey").alias("pos"),
-            F.lit("").alias("external_id"),
-            F.create_map(F.lit("barcode"), F.when(_("p_size") > 40, _("p_brand")).otherwise("")).alias("alt_ids"),
+            source.alias("source_id"), F.lit("2026-W36").alias("week"), _("p_partkey").alias("pos"),
+            F.lit("").alias("external_id"), F.create_map(F.lit("barcode"), F.lit("")).alias("alt_ids"),
             _("p_name").alias("name"), price.alias("price"))
-    prev, cur = side(0), side(2)
-    return match.layered_match(prev, cur).groupBy("matched_by").agg(
-        F.count(F.lit(1)).alias("pairs"), F.countDistinct("cur_pos").alias("cur_rows"),
-        F.countDistinct("prev_pos").alias("prev_rows"))
+    return match.layered_match(side(0), side(6)).select("source_id", "cur_pos", "prev_pos", "matched_by")
 
 
 @query("baseline_week", f"""

@@ -54,7 +54,7 @@ def test_category_check_first_week_and_later(spark):
 def test_numbering_is_exact_over_range_borders(spark):
     rows = [(g, p) for g, step in (("a", 1), ("b", 7)) for p in range(0, 100 * step, step)]
     df = spark.createDataFrame(rows, "g string, pos bigint")
-    out = ordering.number_in_group(df, ["g"], width=16).collect()
+    out = ordering.number_in_group(df, ["g"]).collect()
     assert {(r.g, r.pos): r.rn for r in out} == {(g, p): p // (1 if g == "a" else 7) + 1 for g, p in rows}
 
 
@@ -112,8 +112,10 @@ def test_detail_cap_stops_everything_or_nothing(spark):
     beyond = added_rows(spark, [(f"k{i}", "n", None, None) for i in range(501)] + [("d", "n", "text", None)])
     details = spark.createDataFrame([], "source_id string, week string, external_id string, name string, "
                                         "description string, tags array<string>")
-    ready, failures, over = enrich.enrich(beyond, details, dim)
+    ready, failures, over = enrich.enrich(beyond, details, dim, 500)
     assert (ready.count(), failures.count(), over.first().rows) == (0, 0, 501)
+    ready, failures, over = enrich.enrich(beyond, details, dim)  # no limit: looked up, and reported
+    assert (ready.count(), failures.count(), over.first().rows) == (1, 501, 501)
     assert enrich.detail_worklist(added_rows(spark, [("k", "n", None, None)], "starbucks"), dim).count() == 0
 
 

@@ -11,12 +11,6 @@ from tools.compare import rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
 
-# Chained queries that repeat the match several times; run them all with SHELFDIFF_ALL_QUERIES=1.
-SLOW = {"weekly_diff", "source_report", "week_report", "scope_of_new_items", "new_label_cross_check",
-        "published_then_gone", "published_then_gone_names", "publish_projection", "out_of_scope_drop",
-        "out_of_scope_report", "out_of_scope_names", "response_missing", "response_rekey", "diff_sink",
-        "added", "removed", "contested_match"}
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -31,8 +25,6 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_its_twin(spark, duck, name):
-    if name in SLOW and not os.environ.get("SHELFDIFF_ALL_QUERIES"):
-        pytest.skip("slow")
     df = entry.queries()[name](spark, SF_DIR)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name in entry.oracle_sql():
