@@ -17,6 +17,9 @@ STEPS = 150
 RATE = 0.1
 L2 = 0.02
 
+#: Bytes whose features are computed at a time.
+PART = 1 << 20
+
 #: Edges that the shares and numbers of a line are binned by.
 SHARE_EDGES = (1e-9, 0.02, 0.06, 0.15, 0.35, 0.7)
 SIZE_EDGES = (0.5, 3.5, 6.5, 12.5, 40.5, 120.5)
@@ -134,8 +137,10 @@ class Chains:
 
 
 def _scores(field: Field, x: np.ndarray, chains: Chains) -> np.ndarray:
-    before, after = x @ field.before, x @ field.after
-    return x @ field.own + chains.neighbours(before)[0] + chains.neighbours(after)[1]
+    weights = np.stack([field.own, field.before, field.after], axis=1)
+    parts = [x[k:k + 16384] @ weights for k in range(0, len(x), 16384)]
+    own, before, after = np.concatenate(parts).T if parts else np.zeros((3, 0))
+    return own + chains.neighbours(before)[0] + chains.neighbours(after)[1]
 
 
 def marginals(field: Field, x: np.ndarray, chains: Chains) -> tuple[np.ndarray, np.ndarray, float]:
@@ -194,15 +199,48 @@ def fit(x: np.ndarray, per_text: np.ndarray, good: np.ndarray, steps: int = STEP
     return field
 
 
-def document_scores(field: Field, texts: list[bytes], part: int = 1 << 24) -> np.ndarray:
-    """Mean probability of ``good`` over a text's lines, weighted by their length; about ``part`` bytes at a time."""
+def _segments(text: bytes, part: int) -> list[bytes]:
+    """A text in runs of whole lines of about ``part`` bytes."""
+    out, start = [], 0
+    while len(text) - start > part:
+        cut = text.rfind(b"\n", start, start + part)
+        cut = text.find(b"\n", start + part) if cut < 0 else cut
+        if cut < 0:
+            break
+        out.append(text[start:cut])
+        start = cut + 1
+    return [*out, text[start:]]
+
+
+def many_features(texts: list[bytes], part: int = PART) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_features`` of any amount of text, about ``part`` bytes at a time."""
+    found, held, size = [], [], 0
+    per_text = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+    for text in texts:
+        for segment in _segments(text, part):
+            if held and size + len(segment) > part:
+                found.append(line_features(held)[:2])
+                held, size = [], 0
+            held.append(segment)
+            size += len(segment)
+    if held:
+        found.append(line_features(held)[:2])
+    return np.concatenate([x for x, _ in found]), np.concatenate([w for _, w in found]), per_text
+
+
+def document_scores(field: Field, texts: list[bytes], part: int = PART) -> np.ndarray:
+    """Mean probability of ``good`` over a text's lines, weighted by their length.
+
+    Bytes are looked at about ``part`` at a time, and texts scored in groups of about 16 times that, so only a single
+    longer text has more than that in memory: its line features.
+    """
     out, start = [], 0
     while start < len(texts):
         stop, size = start, 0
-        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= part):
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= 16 * part):
             size += len(texts[stop])
             stop += 1
-        x, weight, per_text = line_features(texts[start:stop])
+        x, weight, per_text = many_features(texts[start:stop], part)
         p, _, _ = marginals(field, x, Chains(per_text))
         at = np.concatenate(([0], np.cumsum(per_text)[:-1]))
         out.append(np.add.reduceat(p * weight, at) / np.add.reduceat(weight, at))
@@ -230,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | N
     def features(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in _bytes(texts):
-            x, _, per_text = line_features([t])
+            x, _, per_text = many_features([t])
             out.append((int(per_text[0]), np.packbits(x, axis=1).tobytes()))
         return pd.DataFrame(out, columns=["lines", "x"])
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

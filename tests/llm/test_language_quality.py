@@ -125,6 +125,13 @@ def test_line_features_of_empty_and_odd_texts():
     assert len(quality.document_scores(quality.Field.zero(), [])) == 0
 
 
+def test_features_in_parts():
+    texts = [b"One line.\nAnother line !!\n\n| a | b |", b"", b"long " * 50, b"x\n" * 40]
+    whole = quality.line_features(texts)
+    for part in (1, 10, 1000):
+        assert all((a == b).all() for a, b in zip(whole, quality.many_features(texts, part)))
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(3, 1), (5, 1), (8, 0), (13, 0), (8, 1), (None, 1), (77, 0), (9, None)],
                                    "doc_id bigint, quality int")

@@ -241,3 +241,15 @@ def test_packing_query(spark):
     texts = {r.doc_id: r.text for r in documents(spark).collect()}
     got, want, padding = check_packed(queries.QUERIES["op9_harmonic"](spark, SF_DIR).collect(), texts)
     assert got == want and padding < 0.02
+
+
+def test_hashed_sample_takes_the_lowest_hashes_of_each_value(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 50 == 0, "rare").when(F.col("id") % 7 > 0, "hot")
+                                    .alias("g"), F.xxhash64("id").alias("h"))
+    rows = df.collect()
+    got = parts.hashed_sample(df, "g", "h", 100).collect()
+    for g in ("rare", "hot"):
+        want = sorted((r.h % 2 ** 64) >> 1 for r in rows if r.g == g)[:100]
+        assert sorted((r.h % 2 ** 64) >> 1 for r in got if r.g == g) == want
+    assert {r.g for r in got} == {"rare", "hot"}
+    assert parts.hashed_sample(df.limit(0), "g", "h", 100).count() == 0
