@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +18,13 @@ BLOCK_BYTES = 8 << 20
 LARGEST_BLOCK = 256 << 20
 MOST_BUCKETS = 1 << 18
 
-#: Documents whose tokens are sampled for the splitters, and tokens taken from each.
+#: Documents (about) whose tokens are sampled for the splitters, and tokens taken from each.
 SPLITTER_DOCS = 1024
 SPLITTER_TOKENS = 64
 
+#: Documents packed at a time.
+PACKED_ROWS = 1000
+
 _LAST = 2 ** 63 - 1
 
 
@@ -47,16 +51,22 @@ def _join(rows: list[dict[str, np.ndarray]], name: str) -> np.ndarray:
     return np.concatenate([r[name] for r in rows])
 
 
-def _packed_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of a batch that go to one block as one compressed row."""
-    for b in batches:
-        out = []
-        for name, part in b.groupby("block", sort=False):
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in part["text"]]
-            out.append((name, _pack(ids=part["doc_id"].to_numpy(np.int64), hashes=part["text_hash"].to_numpy(np.int64),
-                                    sizes=np.array([len(t) for t in texts], np.int64),
-                                    bytes=np.frombuffer(b"".join(texts), np.uint8))))
-        yield pd.DataFrame(out, columns=["block", "data"])
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that go to one block as one compressed row, a few hundred documents at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PACKED_ROWS):
+            part = batch.slice(start, PACKED_ROWS)
+            name, ids, hashes = (part.column(c).to_numpy(zero_copy_only=False) for c in ("block", "doc_id", "text_hash"))
+            texts = part.column("text").to_pylist()
+            rows = []
+            for block in np.unique(name):
+                at = np.flatnonzero(name == block)
+                some = [(texts[i] or "").encode("utf-8", "surrogatepass") for i in at]
+                rows.append(_pack(ids=ids[at].astype(np.int64), hashes=hashes[at].astype(np.int64),
+                                  sizes=np.array([len(t) for t in some], np.int64),
+                                  bytes=np.frombuffer(b"".join(some), np.uint8)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(name), pa.int32()), pa.array(rows, pa.binary())],
+                                             ["block", "data"])
 
 
 def _block_of(pdf: pd.DataFrame) -> tuple[S.Block, np.ndarray]:
@@ -91,8 +101,12 @@ def _deal(tokens: np.ndarray, splitters: np.ndarray) -> list[tuple[int, int, int
     return [(k, int(a), int(b)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
 
 
-def _splitters(docs: DataFrame, buckets: int) -> np.ndarray:
-    """``buckets`` - 1 tokens that cut the tokens of a bounded sample of documents into equal parts."""
+def _splitters(docs: DataFrame, buckets: int, n_docs: int) -> np.ndarray:
+    """``buckets`` - 1 tokens that cut the tokens of a sample of documents into equal parts.
+
+    The sample is the share of the hash range that holds about ``SPLITTER_DOCS`` documents; a few tokens of each come
+    to the driver.
+    """
     @F.pandas_udf("array<bigint>")
     def sample(texts: pd.Series) -> pd.Series:
         out = []
@@ -100,7 +114,8 @@ def _splitters(docs: DataFrame, buckets: int) -> np.ndarray:
             token = S.Block(np.zeros(1), [(t or "").encode("utf-8", "surrogatepass")]).regions()[4]
             out.append(token[::max(1, len(token) // SPLITTER_TOKENS)][:SPLITTER_TOKENS].astype(np.int64))
         return pd.Series(out)
-    chosen = (docs.orderBy(F.xxhash64("doc_id")).limit(SPLITTER_DOCS).select(sample("text").alias("tokens")))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(9)), 11) / F.lit(float(1 << 53))
+    chosen = docs.filter(share * F.lit(n_docs) <= SPLITTER_DOCS).select(sample("text").alias("tokens"))
     tokens = [t for row in chosen.collect() for t in row.tokens or []]
     if not tokens:
         return np.zeros(0, np.uint64)
@@ -128,13 +143,13 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"), "text",
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, n_docs = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(1, min(-(-total // BLOCK_BYTES), MOST_BUCKETS))
     block_bytes = min(max(BLOCK_BYTES, 16 * (S.SPAN + 1) // 2 * buckets), LARGEST_BLOCK)
     blocks = max(1, -(-total // block_bytes))
-    splitters = _splitters(docs, buckets)
+    splitters = _splitters(docs, buckets, n_docs)
     dealt = (docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-             .mapInPandas(_packed_texts, "block int, data binary"))
+             .mapInArrow(_packed_texts, "block int, data binary"))
 
     def tokens_of(pdf: pd.DataFrame) -> pd.DataFrame:
         block, _ = _block_of(pdf)
@@ -227,7 +242,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
             seen, at = seen[later], at[later]
             np.add.at(edges, first[seen] + start[at], 1)
             np.add.at(edges, first[seen] + stop[at] + S.LENGTH, -1)
-        gone = np.cumsum(edges[:-1]) > 0
+        gone = np.cumsum(edges[:-1], dtype=np.int32) > 0
         out = []
         for i, h, a, b in zip(block.ids, hashes, block.starts, block.ends):
             part = gone[a:b]

@@ -17,7 +17,7 @@ SPAN = LENGTH - GRAM + 1
 WORDS = (SPAN - 1 + LENGTH + 7) // 8
 WIDE = 8 * WORDS
 
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -152,7 +152,7 @@ def distinct_regions(token, offset, count, content) -> tuple[np.ndarray, np.ndar
     return order[np.r_[True, group[1:] != group[:-1]]], number
 
 
-def least_documents(token, offset, count, content, doc, rows: int = 1 << 16) -> tuple[np.ndarray, ...]:
+def least_documents(token, offset, count, content, doc, rows: int = 1 << 13) -> tuple[np.ndarray, ...]:
     """For each row the runs (row, from, to, least) of windows and the smallest document that has them.
 
     Equal regions are settled together. Where a token has one region only, its windows all have the smallest
