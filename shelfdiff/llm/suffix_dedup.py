@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfdiff.llm import suffixes as S
 
 #: Text bytes of a block of documents and of a bucket of suffixes, and what a large corpus may raise them to.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 LARGEST_BLOCK = 256 << 20
 MOST_BUCKETS = 1 << 18
 
