@@ -57,6 +57,11 @@ def shingle_hashes(text: str | None, width: int, size: int = 1 << 20) -> Iterato
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def set_hash(hashes: np.ndarray) -> int:
+    """XXH64 (seed 42) of sorted different hashes, as a name of the set."""
+    return xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 42)
+
+
 def majority_bits(blocks: Iterator[np.ndarray]) -> int:
     """Bits that are set in over half of the hashes; no hash gives zero."""
     counts, n = np.zeros(64, np.int64), 0

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates through a Gray-order hierarchical index."""
+"""SimHash near-duplicates through a Gray-order hierarchical index; near-copies by exact similarity of shingles."""
 
 from __future__ import annotations
 
@@ -20,12 +20,14 @@ RADIUS = 3
 LEAD = 16
 SLICE = 100_000
 
-#: For near-copies of similarity 0.8 on five words: tables, radius of the index, words of the deciding print.
+#: For near-copies: words of a shingle, similarity, nodes of a token that are compared with all others of it first.
 NEAR_WIDTH = 5
 NEAR_SIMILARITY = 0.8
-NEAR_TABLES = 16
-NEAR_RADIUS = 8
-NEAR_WORDS = 4
+LEADERS = 4
+
+#: Documents (about) whose shingles are counted to put common ones last, and how many common ones are told apart.
+ORDER_DOCS = 8192
+ORDER_SHINGLES = 1 << 16
 
 
 def shingle_prints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -164,51 +166,117 @@ def as_text(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def wide_radius(similarity: float, words: int = NEAR_WORDS) -> int:
-    """Bits in which wide prints of texts with a share ``similarity`` of common shingles differ, and a margin.
-
-    The margin of 1.5 standard deviations keeps more than nine in ten pairs that lie exactly on the boundary.
-    """
-    bits_, p = 64 * words, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits_ * p + 1.5 * math.sqrt(bits_ * p * (1 - p)))
-
-
-def _wide_print(text: str | None, words: int) -> tuple[int, bytes]:
-    """The key print over distinct words, and a print of ``words`` times 64 bits over five-word shingles."""
-    single = [np.unique(h) for h in bits.shingle_hashes(text, 1)]
-    key = bits.majority_bits(iter([np.unique(np.concatenate(single))] if single else []))
+def _shingle_set(text: str | None) -> np.ndarray:
+    """The different five-word shingles of a text as sorted 64-bit hashes."""
     runs = list(bits.shingle_hashes(text, NEAR_WIDTH))
-    wide, salt = [], np.uint64(0x9E3779B97F4A7C15)
-    with np.errstate(over="ignore"):
-        for k in range(words):
-            wide.append(bits.majority_bits((h ^ (h >> np.uint64(29))) * salt ^ (h >> np.uint64(32)) if k else h
-                                           for h in runs))
-            runs = [(h + np.uint64(k + 1)) * salt ^ (h >> np.uint64(31)) for h in runs]
-    return key, np.array(wide, np.uint64).tobytes()
+    return np.unique(np.concatenate(runs)) if runs else np.zeros(0, np.uint64)
+
+
+def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, sorted, and how many have them; they only set an order."""
+    @F.pandas_udf("array<bigint>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([_shingle_set(t).view(np.int64) for t in texts])
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(9)), 11) / F.lit(float(1 << 53))
+    chosen = docs.filter(share * F.lit(docs.count()) <= ORDER_DOCS).select(F.explode(shingles("text")).alias("token"))
+    found = (chosen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+             .orderBy(F.desc("n"), "token").limit(ORDER_SHINGLES).collect())
+    token = np.array([r.token for r in found], np.int64).view(np.uint64)
+    order = np.argsort(token)
+    return token[order], np.array([r.n for r in found], np.int64)[order]
+
+
+def _prefix(found: np.ndarray, common: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles, rarest first, of which a set of that similarity must share one."""
+    level = np.zeros(len(found), np.int64)
+    if len(common) and len(found):
+        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+        level = np.where(common[at] == found, often[at], 0)
+    size = len(found) - math.ceil(similarity * len(found) - 1e-9) + 1 if len(found) else 0
+    return found[np.lexsort((found, level))[:size]]
+
+
+def _mixed(rows: DataFrame, name: str, more_than: int) -> DataFrame:
+    """Tokens of more than so many rows that differ in ``name``."""
+    return (rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min(name).alias("_low"), F.max(name).alias("_high"))
+            .filter((F.col("_low") < F.col("_high")) & (F.col("_n") > more_than)).select("token"))
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose different shingles are similar: counted, not estimated."""
+    @F.pandas_udf("array<bigint>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([_shingle_set(t).view(np.int64) for t in texts])
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    sets = (docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").join(texts, "text_hash")
+            .dropDuplicates(["node"]).select("node", shingles("text").alias("shingles")))
+    sets = cut_lineage(sets)
+    met = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
+           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
+           .select("a", "b", F.size("_a").alias("m"), F.size("_b").alias("n"),
+                   F.size(F.array_intersect("_a", "_b")).alias("both")))
+    return met.filter(F.col("both") / (F.col("m") + F.col("n") - F.col("both")) >= similarity).select("a", "b")
+
+
+def _similar_roots(rows: DataFrame, docs: DataFrame, similarity: float, leaders: int = LEADERS) -> DataFrame:
+    """node, root for the nodes that links of similar nodes join to others.
+
+    ``rows`` has text_hash, node, size and tokens (the prefix). Nodes with a token in common are compared, the first
+    ``leaders`` of each token with all others of it, then more and more of them, until all nodes of a token are in
+    one component or all its pairs were compared. So the components are those of all similar pairs, and a group of n
+    copies of each other asks for some n comparisons and not n squared.
+    """
+    every = rows.select("node", "size", F.posexplode("tokens").alias("pos", "token"))
+    left = cut_lineage(every.join(_mixed(every, "node", 1), "token").distinct().withColumn("root", F.col("node")))
+    links = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    roots, done, upto = links.select(F.col("a").alias("node"), F.col("b").alias("root")), 0, leaders
+    first = Window.partitionBy("token").orderBy("node")
+    while left.limit(1).count():
+        lead = (left.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= upto)
+                .filter(F.col("_rank") > done)
+                .select("token", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"),
+                        F.col("pos").alias("_pos")))
+        # the pair is met at its first common token: no more than what stands from there on is shared
+        shared = F.least(F.col("_size") - F.col("_pos"), F.col("size") - F.col("pos"))
+        pairs = (lead.join(left, "token").filter((F.col("a") < F.col("node")) & (F.col("_root") != F.col("root")))
+                 .filter(shared * (1 + similarity) >= similarity * (F.col("size") + F.col("_size")) - 1e-6)
+                 .select("a", F.col("node").alias("b")).distinct())
+        pairs = cut_lineage(pairs)
+        links = cut_lineage(links.unionByName(_similar(pairs, rows.select("node", "text_hash"), docs, similarity)))
+        roots = connected_components(links)
+        named = (left.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        left = cut_lineage(named.join(_mixed(named, "root", upto), "token", "left_semi"))
+        done, upto = upto, upto * 8
+    return roots
 
 
 def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """doc_id, low: for documents in a group of near-copies that are not its smallest id, the smallest id.
 
-    Two documents are near-copies if prints of 256 bits over their five-word shingles are as close as those of texts
-    that share ``similarity`` of their shingles. Candidates come from the Gray-order index over prints of their
-    distinct words, which changed words move less, in 16 tables; at the boundary a pair meets in some table with
-    about 0.97, closer pairs almost surely. Null ids come after all others.
+    Two documents are near-copies if their different five-word shingles have a similarity (common ones by all) of at
+    least ``similarity``; groups are joined by such pairs. All of them are found: of two such sets each has a
+    shingle of the other among its first ``n - ceil(similarity n) + 1`` in any common order, and the order puts
+    shingles that a sample finds common last, so few documents meet there. Texts without words are copies of each
+    other. Null ids come after all others.
     """
-    @F.pandas_udf("print bigint, wide binary")
-    def prints(texts: pd.Series) -> pd.DataFrame:
-        both = [_wide_print(t, NEAR_WORDS) for t in texts]
-        return pd.DataFrame({"print": np.array([b[0] for b in both], np.uint64).view(np.int64),
-                             "wide": [b[1] for b in both]})
+    common, often = _common_shingles(docs)
+
+    @F.pandas_udf("node bigint, size int, tokens array<bigint>")
+    def prefixes(texts: pd.Series) -> pd.DataFrame:
+        sets = [_shingle_set(t) for t in texts]
+        return pd.DataFrame({"node": np.array([bits.set_hash(s) for s in sets], np.uint64).view(np.int64),
+                             "size": np.array([len(s) for s in sets], np.int32),
+                             "tokens": [_prefix(s, common, often, similarity).view(np.int64) for s in sets]})
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2 ** 63 - 1)).alias("doc_id"),
-                       prints("text").alias("p")).select("doc_id", "p.print", "p.wide")
-    rows = cut_lineage(rows)
-    classes = rows.groupBy("print", "wide").agg(F.min("doc_id").alias("node"))
-    links = near_links(classes, NEAR_TABLES, NEAR_RADIUS, wide_radius(similarity))
-    roots = connected_components(links)
-    named = (classes.join(roots, "node", "left")
-             .select("print", "wide", F.coalesce("root", "node").alias("low")))
-    return rows.join(named, ["print", "wide"]).filter("doc_id <> low").select("doc_id", "low").distinct()
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), prefixes("text").alias("p"))
+    rows = cut_lineage(rows.select("doc_id", "text_hash", "p.*"))
+    roots = _similar_roots(rows, docs, similarity)
+    classes = (rows.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left")
+               .withColumn("root", F.coalesce("root", "node")))
+    least = classes.groupBy("root").agg(F.min("low").alias("low"))
+    named = classes.select("node", "root").join(least, "root").select("node", "low")
+    return rows.join(named, "node").filter("doc_id <> low").select("doc_id", "low").distinct()
 
 
 def one_of_each_group(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
