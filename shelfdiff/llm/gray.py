@@ -53,7 +53,7 @@ def _arrange(prints: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _in_tables(nodes: DataFrame, tables: int) -> DataFrame:
-    """A row per table: node, wide, table, lead (the first bits in the table's order), pattern (all of them)."""
+    """A row per table: node, table, lead (the first bits in the table's order), pattern (all of them)."""
     orders = _orders(tables)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,21 +61,18 @@ def _in_tables(nodes: DataFrame, tables: int) -> DataFrame:
             prints = b["print"].to_numpy(np.int64).view(np.uint64)
             for t, order in enumerate(orders):
                 p = _arrange(prints, order)
-                yield pd.DataFrame({"node": b["node"], "wide": b["wide"], "table": t,
+                yield pd.DataFrame({"node": b["node"], "table": t,
                                     "lead": (p >> np.uint64(64 - LEAD)).astype(np.int32), "pattern": p.view(np.int64)})
-    return nodes.select("node", "print", "wide").mapInPandas(
-        deal, "node bigint, wide binary, table int, lead int, pattern bigint")
+    return nodes.select("node", "print").mapInPandas(deal, "node bigint, table int, lead int, pattern bigint")
 
 
-def near_links(nodes: DataFrame, tables: int, radius: int, wide_radius: int | None = None,
-               slice_rows: int = SLICE) -> DataFrame:
+def near_links(nodes: DataFrame, tables: int, radius: int, slice_rows: int = SLICE) -> DataFrame:
     """Links a, b that span the groups of near nodes: near ones reach each other, not every pair is a row.
 
-    ``nodes`` has node, print (64 bits) and wide (binary, may be null); each node is one row. In every table nodes
+    ``nodes`` has node and print (64 bits); each node is one row. In every table nodes
     with the same leading bits share a top node of the index; top nodes are dealt to tasks, searched in Gray order
     and joined up inside the task, so a group of n near nodes leaves n - 1 links a table and not n squared. With
-    four tables and a radius of three the search is exact: one quarter of two such prints is equal. With
-    ``wide_radius`` two nodes are linked if their wide prints are that close as well.
+    four tables and a radius of three the search is exact: one quarter of two such prints is equal.
 
     A top node with more than ``slice_rows`` rows is cut into slices and every two slices are searched in a task of
     their own, so no task holds more than two slices of one node.
@@ -91,11 +88,11 @@ def near_links(nodes: DataFrame, tables: int, radius: int, wide_radius: int | No
                 .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                 .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}))
     cell = ["table", "lead", "lo", "hi"]
-    rows = rows.select("node", "wide", "pattern", *cell)
+    rows = rows.select("node", "pattern", *cell)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_cells(batches, cell, slice_rows):
-            yield _search(group, radius, wide_radius)
+            yield _search(group, radius)
     return rows.repartition(*cell).sortWithinPartitions(*cell).mapInPandas(search, "a bigint, b bigint")
 
 
@@ -122,22 +119,13 @@ def _by_table(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield part
 
 
-def _search(group: pd.DataFrame, radius: int, wide_radius: int | None) -> pd.DataFrame:
+def _search(group: pd.DataFrame, radius: int) -> pd.DataFrame:
     patterns = group["pattern"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(bits.gray_rank(patterns), kind="stable")
     patterns, node = patterns[order], group["node"].to_numpy(np.int64)[order]
-    wide = None
-    if wide_radius is not None:
-        wide = np.frombuffer(b"".join(group["wide"].iloc[order]), np.uint64).reshape(len(node), -1)
     forest = bits.Forest(len(node))
     for i, j in bits.close_pairs(patterns, radius, LEAD):
-        if wide is not None:
-            for part in np.array_split(np.arange(len(i)), max(1, len(i) // 65536)):
-                a, b = i[part], j[part]
-                near = np.bitwise_count(wide[a] ^ wide[b]).sum(axis=1, dtype=np.int64) <= wide_radius
-                forest.link(a[near], b[near])
-        else:
-            forest.link(i, j)
+        forest.link(i, j)
     hung = np.flatnonzero(forest.label != np.arange(len(node)))
     return pd.DataFrame({"a": node[hung], "b": node[forest.label[hung]]})
 
@@ -151,7 +139,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     rows each get a row. An empty table gives an empty result.
     """
     prints = cut_lineage(shingle_prints(docs))
-    nodes = prints.select(F.col("print").alias("node"), "print", F.lit(None).cast("binary").alias("wide")).distinct()
+    nodes = prints.select(F.col("print").alias("node"), "print").distinct()
     roots = connected_components(near_links(nodes, 4, RADIUS))
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("low"))
     rooted = (classes.join(roots, F.col("print") == F.col("node"), "left")

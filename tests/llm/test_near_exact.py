@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 from shelfdiff.llm import gray
+from tests.llm.tables import HAS_TABLES, documents
 from tests.llm.test_near import groups
 
 DOCS = "doc_id bigint, text string"
@@ -61,3 +64,38 @@ def test_every_near_copy_is_found(spark):
     assert 200 < len(want) < 540
     got = found(spark, rows)
     assert not set(want) - set(got)
+
+
+def test_nothing_else_is_linked(spark):
+    """Pairs a little below 0.8, and lines that a text repeats."""
+    rows = planted("appended", 80, 150, 3) + [(1000 + i, t) for i, t in planted("block", 80, 150, 4)]
+    rng = random.Random(5)
+    for k in range(40):
+        line = " ".join(rng.choice("abcdefgh") + str(rng.randrange(10 ** 6)) for _ in range(30))
+        own = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(12)) for _ in range(2)]
+        rows += [(2000 + 2 * k + i, " ".join([line] * 20 + [o])) for i, o in enumerate(own)]
+    sets = [shingles(t) for _, t in rows]
+    below = sum(0.6 <= similarity(a, b) < 0.8 for a, b in zip(sets[::2], sets[1::2]))
+    assert below > 20
+    assert found(spark, rows) == slow_lows(rows)
+
+
+@pytest.mark.parametrize("leaders", [1, 4])
+def test_chains_and_shared_lines(spark, leaders, monkeypatch):
+    """A line that all have, groups joined only by chains: more are compared than the first ones of a token."""
+    monkeypatch.setattr(gray._similar_roots, "__defaults__", (leaders,))
+    rng = random.Random(8)
+    line, rows = " ".join(f"common{k}" for k in range(60)), []
+    for g in range(12):
+        text = [f"g{g}x{k}" for k in range(12)]
+        for c in range(15):
+            rows.append((100 * g + c, line + " " + " ".join(text)))
+            text[rng.randrange(12)] = f"new{g}x{c}"
+    rng.shuffle(rows)
+    assert found(spark, rows) == slow_lows(rows)
+
+
+@pytest.mark.skipif(not HAS_TABLES, reason="no test tables")
+def test_given_documents(spark):
+    rows = [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").collect()]
+    assert found(spark, rows) == slow_lows(rows)
