@@ -25,6 +25,9 @@ SPLITTER_TOKENS = 64
 #: Documents packed at a time.
 PACKED_ROWS = 1000
 
+#: Regions with one token, in all blocks, from which its windows are dealt one by one.
+HOT_REGIONS = 1 << 13
+
 _LAST = 2 ** 63 - 1
 
 
@@ -136,9 +139,12 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     has it. A bucket holds all suffixes whose leading token lies between two splitters; it sorts them by multikey
     quicksort on eight-byte characters, and equal neighbours share their smallest document. The splitters are
     tokens, so equal suffixes never lie on both sides of a boundary. 3. Blocks mark the bytes. The three passes read
-    one shuffle of the texts. A string that very many documents have reaches its bucket once a block.
+    one shuffle of the texts. A string that very many documents have reaches its bucket once a block. Tokens with more
+    than ``HOT_REGIONS`` regions in all blocks together are split: blocks send their different windows, each by a
+    128-bit hash of its ``suffixes.LENGTH`` bytes, to buckets between equal steps of the hash, so a run of 16 bytes
+    that stands in many different surroundings is shared out and equal windows still meet.
 
-    Null texts are empty. Null ids stand behind all others and come back as null. Rows that repeat an id never remove
+    Null texts are empty. Null ids stand behind all others and come back as null; they are dealt by their texts. Rows that repeat an id never remove
     from each other. An empty table gives an empty result.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"), "text",
@@ -148,9 +154,13 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     block_bytes = min(max(BLOCK_BYTES, 16 * (S.SPAN + 1) // 2 * buckets), LARGEST_BLOCK)
     blocks = max(1, -(-total // block_bytes))
     splitters = _splitters(docs, buckets, n_docs)
-    dealt = (docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    place = F.xxhash64(F.when(F.col("doc_id") == _LAST, F.col("text_hash")).otherwise(F.col("doc_id")))
+    dealt = (docs.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int"))
              .mapInArrow(_packed_texts, "block int, data binary"))
 
+    hot_regions = HOT_REGIONS
+    hash_steps = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+
     def tokens_of(pdf: pd.DataFrame) -> pd.DataFrame:
         block, _ = _block_of(pdf)
         doc, _, _, _, token = block.regions()
@@ -159,9 +169,10 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         opens = np.r_[True, token[1:] != token[:-1]] if len(token) else np.zeros(0, bool)
         head = np.flatnonzero(opens)
         several = (np.maximum.reduceat(owner, head) != np.minimum.reduceat(owner, head)) if len(head) else opens
+        times = np.minimum(np.diff(np.append(head, len(token))), hot_regions + 1).astype(np.int32)
         token = token[head]
         name = int(pdf["block"].iloc[0])
-        return pd.DataFrame([(name, k, _pack(token=_short(token[a:b]), several=several[a:b]))
+        return pd.DataFrame([(name, k, _pack(token=_short(token[a:b]), several=several[a:b], times=times[a:b]))
                              for k, a, b in _deal(token, splitters)], columns=["block", "bucket", "data"])
 
     def shared_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -173,39 +184,71 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         group[order] = np.cumsum(opens) - 1
         shared = (np.bincount(group) > 1) | (np.bincount(group, weights=_join(rows, "several")) > 0)
         keep = shared[group]
+        hot = (np.bincount(group, weights=_join(rows, "times")) > hot_regions)[group]
         ends = np.cumsum([len(r["several"]) for r in rows])
-        out = [(int(b), _pack(token=_short(token[a:e][keep[a:e]])))
+        out = [(int(b), _pack(token=_short(token[a:e][keep[a:e]]), hot=hot[a:e][keep[a:e]]))
                for b, a, e in zip(pdf["block"], np.concatenate(([0], ends[:-1])), ends) if keep[a:e].any()]
         return pd.DataFrame(out, columns=["block", "data"])
 
     def kept_regions(block: S.Block, passed: pd.DataFrame):
-        """Regions whose token passed: their occurrences, and the different ones in a fixed order."""
+        """Regions whose token passed: their occurrences, and the different ones in a fixed order, hot or not."""
         doc, first, count, anchor, token = block.regions()
-        allowed = np.sort(np.concatenate([_long(_unpack(d)["token"]) for d in passed["data"]]))
+        rows = [_unpack(d) for d in passed["data"]]
+        allowed = np.concatenate([_long(r["token"]) for r in rows])
+        order = np.argsort(allowed, kind="stable")
+        allowed, is_hot = allowed[order], _join(rows, "hot")[order]
         at = np.minimum(np.searchsorted(allowed, token), len(allowed) - 1)
         use = allowed[at] == token
-        doc, first, count, anchor, token = (x[use] for x in (doc, first, count, anchor, token))
+        doc, first, count, anchor, token, hot = (x[use] for x in (doc, first, count, anchor, token, is_hot[at]))
         content, offset = block.bytes_of(first, count), anchor - first
         pick, number = S.distinct_regions(token, offset, count, content)
-        return doc, first, count, token, offset, content, pick, number
+        return doc, first, count, token, offset, content, pick, number, hot[pick]
+
+    def hot_windows(pick: np.ndarray, hot: np.ndarray, count: np.ndarray, content: np.ndarray):
+        """The windows of different hot regions: number of the region, step, hashes, and their order and groups."""
+        region = np.flatnonzero(hot)
+        of, step, one, two = S.windows_of(region, count[pick[region]], content[pick[region]])
+        return of, step, one, two, *S.groups_of(one, two)
 
     def regions_of(texts: pd.DataFrame, passed: pd.DataFrame) -> pd.DataFrame:
         columns = ["block", "bucket", "data"]
         if not len(texts) or not len(passed):
             return pd.DataFrame([], columns=columns)
         block, _ = _block_of(texts)
-        doc, _, count, token, offset, content, pick, number = kept_regions(block, passed)
+        doc, _, count, token, offset, content, pick, number, hot = kept_regions(block, passed)
         owner = block.ids[doc]
         low, high = np.full(len(pick), _LAST), np.full(len(pick), np.iinfo(np.int64).min)
         np.minimum.at(low, number, owner)
         np.maximum.at(high, number, owner)
+        name, out = int(texts["block"].iloc[0]), []
+        if hot.any():
+            of, _, one, two, order, opens, _ = hot_windows(pick, hot, count, content)
+            w_low, w_high = np.minimum.reduceat(low[of][order], opens), np.maximum.reduceat(high[of][order], opens)
+            one, two = one[order][opens], two[order][opens]
+            out = [(name, buckets + k, _pack(one=one[a:b], two=two[a:b], low=w_low[a:b], high=w_high[a:b],
+                                             first=np.array([a])))
+                   for k, a, b in _deal(one, hash_steps)]
+        pick, low, high = pick[~hot], low[~hot], high[~hot]
         token, offset, count, content = token[pick], offset[pick].astype(np.uint8), count[pick].astype(np.uint8), content[pick]
-        name = int(texts["block"].iloc[0])
-        return pd.DataFrame([(name, k, _pack(offset=offset[a:b], count=count[a:b], low=low[a:b], high=high[a:b],
-                                             first=np.array([a]), content=content[a:b]))
-                             for k, a, b in _deal(token, splitters)], columns=columns)
+        out += [(name, k, _pack(offset=offset[a:b], count=count[a:b], low=low[a:b], high=high[a:b],
+                                first=np.array([a]), content=content[a:b])) for k, a, b in _deal(token, splitters)]
+        return pd.DataFrame(out, columns=columns)
+
+    def least_of_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = [_unpack(d) for d in pdf["data"]]
+        low, high = _join(rows, "low"), _join(rows, "high")
+        order, opens, number = S.groups_of(_join(rows, "one"), _join(rows, "two"))
+        least = np.minimum.reduceat(low[order], opens)[number]
+        use = least < high
+        index = np.concatenate([r["first"][0] + np.arange(len(r["low"]), dtype=np.int32) for r in rows])
+        ends = np.cumsum([len(r["low"]) for r in rows])
+        out = [(int(n), 2, _pack(index=index[a:e][use[a:e]], least=least[a:e][use[a:e]]))
+               for n, a, e in zip(pdf["block"], np.concatenate(([0], ends[:-1])), ends) if use[a:e].any()]
+        return pd.DataFrame(out, columns=["block", "part", "data"])
 
     def least_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["bucket"].iloc[0] >= buckets:
+            return least_of_windows(pdf)
         rows = [_unpack(d) for d in pdf["data"]]
         offset, count = (_join(rows, n).astype(np.int64) for n in ("offset", "count"))
         content, low, high = (_join(rows, n) for n in ("content", "low", "high"))
@@ -217,9 +260,29 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         row, start, stop, least = row[use], start[use], stop[use], least[use]
         cuts = np.searchsorted(source[row], np.arange(len(rows) + 1))
         names = pdf["block"].to_numpy()
-        return pd.DataFrame([(int(names[k]), _pack(index=index[row[a:b]], start=start[a:b].astype(np.uint8),
-                                                   stop=stop[a:b].astype(np.uint8), least=least[a:b]))
-                             for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a], columns=["block", "data"])
+        return pd.DataFrame([(int(names[k]), 1, _pack(index=index[row[a:b]], start=start[a:b].astype(np.uint8),
+                                                      stop=stop[a:b].astype(np.uint8), least=least[a:b]))
+                             for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a], columns=["block", "part", "data"])
+
+    def found_runs(found: pd.DataFrame, pick: np.ndarray, hot: np.ndarray, count: np.ndarray, content: np.ndarray):
+        """Number of the region, first and last window and smallest document of all runs found."""
+        out = []
+        rows = [_unpack(d) for d in found.loc[found["part"] == 1, "data"]]
+        if rows:
+            index, start, stop, least = (_join(rows, n) for n in ("index", "start", "stop", "least"))
+            out.append((np.flatnonzero(~hot)[index], start.astype(np.int64), stop.astype(np.int64), least))
+        rows = [_unpack(d) for d in found.loc[found["part"] == 2, "data"]]
+        if rows:
+            of, step, _, _, _, opens, number = hot_windows(pick, hot, count, content)
+            least = np.full(len(opens), _LAST)
+            least[_join(rows, "index")] = _join(rows, "least")
+            least = least[number]
+            seen = np.flatnonzero(least < _LAST)
+            of, step, least = of[seen], step[seen], least[seen]
+            follows = (of[1:] == of[:-1]) & (step[1:] == step[:-1] + 1) & (least[1:] == least[:-1])
+            head = np.flatnonzero(np.r_[True, ~follows])
+            out.append((of[head], step[head], step[np.r_[head[1:], len(of)] - 1], least[head]))
+        return (np.concatenate(x) for x in zip(*out))
 
     def marked(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         columns = ["doc_id", "text_hash", "n_bytes", "spans", "kept"]
@@ -227,13 +290,12 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
             return pd.DataFrame([], columns=columns)
         block, hashes = _block_of(texts)
         edges = np.zeros(block.size + 1, np.int32)
-        passed, runs = found[found["part"] == 0], found[found["part"] == 1]
+        passed, runs = found[found["part"] == 0], found[found["part"] > 0]
         if len(passed) and len(runs):
-            doc, first, _, _, _, _, _, number = kept_regions(block, passed)
-            rows = [_unpack(d) for d in runs["data"]]
-            index, start, stop, least = (_join(rows, n) for n in ("index", "start", "stop", "least"))
+            doc, first, count, _, _, content, pick, number, hot = kept_regions(block, passed)
+            index, start, stop, least = found_runs(runs, pick, hot, count, content)
             order = np.argsort(index, kind="stable")
-            index, start, stop, least = index[order], start[order].astype(np.int64), stop[order].astype(np.int64), least[order]
+            index, start, stop, least = index[order], start[order], stop[order], least[order]
             begin, end = np.searchsorted(index, number), np.searchsorted(index, number, side="right")
             n = end - begin
             seen = np.repeat(np.arange(len(number)), n)
@@ -255,8 +317,8 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     passed = tokens.groupBy("bucket").applyInPandas(shared_tokens, "block int, data binary")
     regions = (dealt.groupBy("block").cogroup(passed.groupBy("block"))
                .applyInPandas(regions_of, "block int, bucket int, data binary"))
-    runs = regions.groupBy("bucket").applyInPandas(least_of, "block int, data binary")
-    found = (passed.withColumn("part", F.lit(0)).unionByName(runs.withColumn("part", F.lit(1))))
+    runs = regions.groupBy("bucket").applyInPandas(least_of, "block int, part int, data binary")
+    found = passed.withColumn("part", F.lit(0)).unionByName(runs)
     return (dealt.groupBy("block").cogroup(found.groupBy("block"))
             .applyInPandas(marked, "doc_id bigint, text_hash bigint, n_bytes bigint, "
                            "spans array<struct<start:bigint,end:bigint>>, kept binary")

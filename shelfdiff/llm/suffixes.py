@@ -207,3 +207,30 @@ def _least_windows(token, offset, content, row, step, doc) -> np.ndarray:
     out = np.empty(len(row), np.int64)
     out[order] = least[group]
     return out
+
+
+def windows_of(region: np.ndarray, count: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Region, step and 128-bit hash (two numbers) of every window of the regions."""
+    row = np.repeat(np.arange(len(region)), count)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    one, two = np.empty(len(row), _U), np.empty(len(row), _U)
+    padded = np.concatenate((content.reshape(-1), np.zeros(64, np.uint8)))
+    for a in range(0, len(row), _CHUNK):
+        base = row[a:a + _CHUNK] * content.shape[1] + step[a:a + _CHUNK]
+        h, g = np.full(len(base), _ODD[0]), np.full(len(base), _ODD[3])
+        with np.errstate(over="ignore"):
+            for k in range(0, LENGTH, 8):
+                value = np.zeros(len(base), _U)
+                for byte in range(k, min(k + 8, LENGTH)):
+                    value = (value << _U(8)) | padded[base + byte].astype(_U)
+                h, g = _mix((h ^ value) * _ODD[2]), _mix((g + value) * _ODD[0] ^ (g >> _U(29)))
+        one[a:a + _CHUNK], two[a:a + _CHUNK] = h, g
+    return region[row], step, one, two
+
+
+def groups_of(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the windows by hash, where each different one begins in that order, and the number of each window's."""
+    order, group = multikey_sort([one, two])
+    number = np.empty(len(order), np.int64)
+    number[order] = group
+    return order, np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(order) else order, number
