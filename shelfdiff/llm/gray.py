@@ -239,8 +239,8 @@ def _similar_roots(rows: DataFrame, docs: DataFrame, similarity: float, leaders:
     return roots
 
 
-def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
-    """doc_id, low: for documents in a group of near-copies that are not its smallest id, the smallest id.
+def near_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
+    """doc_id, text_hash, root, low: the group of near-copies of each different document, and its smallest id.
 
     Two documents are near-copies if their different five-word shingles have a similarity (common ones by all) of at
     least ``similarity``; groups are joined by such pairs. All of them are found: of two such sets each has a
@@ -263,22 +263,33 @@ def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFra
     classes = (rows.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left")
                .withColumn("root", F.coalesce("root", "node")))
     least = classes.groupBy("root").agg(F.min("low").alias("low"))
-    named = classes.select("node", "root").join(least, "root").select("node", "low")
-    return rows.join(named, "node").filter("doc_id <> low").select("doc_id", "low").distinct()
+    named = classes.select("node", "root").join(least, "root").select("node", "root", "low")
+    return rows.join(named, "node").select("doc_id", "text_hash", "root", "low").distinct()
+
+
+def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
+    """doc_id, low: for documents in a group of near-copies that are not its smallest id, the smallest id."""
+    return near_groups(docs, similarity).filter("doc_id <> low").select("doc_id", "low").distinct()
 
 
 def one_of_each_group(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without near-copies: of each group the document with the smallest id stays.
 
-    Rows that repeat an id are one document and one of them stays, that whose text hashes lowest. Rows without an id
-    cannot be named in a group and stay. All columns are kept.
+    Rows that repeat an id are one document and one of them stands for it: one that is the smallest id of its group if
+    there is any, of these that whose text hashes lowest. Only rows that stand for their id are the one that stays of a
+    group, so a text goes only with its id or for a near-copy that stays. Rows without an id cannot be named in a group
+    and stay. All columns are kept.
     """
     named = docs.filter("doc_id IS NOT NULL")
-    copies = near_copies(named, similarity).select(F.col("doc_id").alias("_copy_id"))
+    groups = cut_lineage(near_groups(named, similarity))
+    own = Window.partitionBy("doc_id").orderBy(F.col("doc_id") != F.col("low"), "text_hash")
+    standing = groups.withColumn("_rank", F.row_number().over(own)).filter("_rank = 1")
+    kept = (standing.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("_kept"))
+            .select(F.col("_kept.doc_id").alias("_kept_id"), F.col("_kept.text_hash").alias("_kept_hash")))
     columns = docs.columns
-    rows = named.select(F.struct(*columns).alias("_doc"), F.col("doc_id").alias("_id"),
-                        F.xxhash64("text").alias("_hash"))
-    rows = rows.join(copies, F.col("_id") == F.col("_copy_id"), "left_anti")
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("_hash"))
-    kept = rows.withColumn("_rank", first).filter("_rank = 1").select("_doc.*")
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    rows = named.select(F.struct(*columns).alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    rows = rows.join(kept, (F.col("_id") == F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")))
+    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
+    rows = rows.withColumn("_rank", first).filter("_rank = 1").select("_doc.*")
+    return rows.unionByName(docs.filter("doc_id IS NULL"))

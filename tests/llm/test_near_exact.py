@@ -99,3 +99,15 @@ def test_chains_and_shared_lines(spark, leaders, monkeypatch):
 def test_given_documents(spark):
     rows = [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").collect()]
     assert found(spark, rows) == slow_lows(rows)
+
+
+def test_repeated_ids_lose_no_text(spark):
+    x, y, z = ("x%d y%d z%d " % (k, k, k) * 3 + " ".join(f"{k}t{j}" for j in range(20)) for k in range(3))
+
+    def kept(rows):
+        return sorted((r.doc_id, r.text) for r in gray.one_of_each_group(spark.createDataFrame(rows, DOCS)).collect())
+    assert kept([(3, x), (7, x), (7, y)]) == [(3, x), (7, y)]
+    assert kept([(3, x), (7, x), (7, y), (9, y), (9, z), (9, z)]) == [(3, x), (7, y), (9, z)]
+    # of the texts of 7 one stands for it; the other is kept by 8 or 9
+    both = kept([(7, x), (7, y), (8, x), (9, y)])
+    assert [t for _, t in both if t == x] == [x] and [t for _, t in both if t == y] == [y] and both[0][0] == 7
