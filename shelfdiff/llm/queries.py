@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import (chat, gray, langid, lattice, mixing, packing, quality, sharding, simhash,
-                           suffix_dedup)
+from shelfdiff.llm import (chat, gray, langid, lattice, mixing, packing, quality, repair, sharding, simhash,
+                           suffix_dedup, toxicity, trie)
 from shelfdiff.session import cut_lineage
 
 
@@ -171,7 +171,26 @@ FROM embeddings e JOIN least USING (vec_id)
 """
 
 
+def op11_min_plus_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digests(repair.damage(turns), turns)
+
+
+def op12_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train(docs, _read(spark, sf_dir, "labels").filter(fold(5) != 0))
+    return (toxicity.score(docs, machine)
+            .select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")))
+
+
+def op13_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.prefix_nodes(trie.rebuilt(turns))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_windows, op3_ftrl_language, op4_jump_shards,
                                    op5_sainte_lague, op6_crf_quality, op7_suffix_array, op8_gray_index, op9_harmonic,
-                                   op10_e8_lattice)}
+                                   op10_e8_lattice, op11_min_plus_repair, op12_factorization_machine,
+                                   op13_burst_trie)}
 ORACLE_SQL = {"op2_chat_windows": OP2_SQL, "op10_e8_lattice": OP10_SQL}
