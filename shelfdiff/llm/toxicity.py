@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words of half a window; bytes of a word's stems; bytes of text looked at a time.
-HALF = 32
+HALF = 128
 STEMS = (4, 5)
 PART = 1 << 20
 
@@ -18,10 +18,10 @@ PART = 1 << 20
 TOXIC, CLEAN, LONGEST = 1200, 2400, 16_384
 
 #: Terms that fewer documents of the sample have are not in the model; factors of a term; passes, documents a step,
-#: step length, L2 penalties of weights and factors.
+#: rates of weights and factors, L1 and L2 penalties of weights, L2 penalty of factors.
 LEAST_DOCS = 3
 FACTORS = 8
-EPOCHS, STEP_DOCS, RATE, L2, L2_FACTORS = 8, 64, 0.05, 1e-4, 1e-3
+EPOCHS, STEP_DOCS, RATE, RATE_FACTORS, L1, L2, L2_FACTORS = 6, 32, 0.3, 0.05, 4.0, 1.0, 0.1
 SEED = 13
 FOLDS = 5
 
@@ -55,7 +55,8 @@ def terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(half window, term key) of all different terms of half windows, and the half windows of every text.
 
     Texts are in small letters. A word is a run of a-z and of bytes beyond ASCII; its terms are the word and its first
-    ``STEMS`` bytes where it is longer, as 64-bit hashes. A half window is ``HALF`` words; a text has one at least.
+    ``STEMS`` bytes where it is longer, as 64-bit hashes. A term that a half window has twice is one more term (its
+    hash inverted). A half window is ``HALF`` words; a text has one at least.
     """
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
@@ -85,7 +86,8 @@ def terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     half, key = half[order], key[order]
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (half[1:] != half[:-1])
-    return half[fresh], key[fresh], halves
+    again = np.flatnonzero(~fresh & np.r_[False, fresh[:-1]])
+    return np.concatenate((half[fresh], half[again])), np.concatenate((key[fresh], ~key[again])), halves
 
 
 def windows(half: np.ndarray, term: np.ndarray, halves: np.ndarray, width: int
@@ -193,7 +195,12 @@ def gradient(machine: Machine, window: np.ndarray, term: np.ndarray, first: np.n
 
 
 def fit(found: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, epochs: int = EPOCHS) -> Machine:
-    """A machine from texts as (half window, term key, half windows) and their labels, by steps of Adam."""
+    """A machine from texts as (half window, term key, half windows) and their labels.
+
+    Weights follow the regularised leader: the L1 penalty keeps terms without a say at zero, however often they are
+    met. Factors take steps of adapted length, and only terms with a weight have any, so a window of ordinary words
+    has no noise of pairs. Terms without a weight are left out in the end.
+    """
     docs = np.concatenate([np.unique(key) for _, key, _ in found]) if found else np.zeros(0, _U)
     keys, n = np.unique(docs, return_counts=True)
     keys = keys[n >= LEAST_DOCS]
@@ -208,8 +215,8 @@ def fit(found: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, epoc
         known = keys[at] == key
         window, term, count = windows(half[known], at[known], np.array([halves]), len(keys))
         rows.append((window.astype(np.int32), term.astype(np.int32), int(count[0])))
-    moments = {k: [0.0, 0.0] for k in ("weight", "factor", "bias")}
-    at_step = 0
+    pulled, squares = np.zeros(len(keys)), np.zeros(len(keys))
+    bias_squares, factor_squares = 1.0, np.ones(len(keys))
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for a in range(0, len(order), STEP_DOCS):
@@ -217,19 +224,21 @@ def fit(found: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, epoc
             first = np.concatenate(([0], np.cumsum([rows[i][2] for i in some])))
             window = np.concatenate([rows[i][0] + f for i, f in zip(some, first)])
             term = np.concatenate([rows[i][1] for i in some])
-            by_weight, by_factor, by_bias, _ = gradient(machine, window, term, first, toxic[some])
-            at_step += 1
-            slopes = {"weight": by_weight / len(some) + L2 * machine.weight,
-                      "factor": by_factor / len(some) + L2_FACTORS * machine.factor, "bias": by_bias / len(some)}
-            new = {}
-            for name, g in slopes.items():
-                m, v = moments[name]
-                m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-                moments[name] = [m, v]
-                new[name] = getattr(machine, name) - RATE * (m / (1 - 0.9 ** at_step)) / (
-                    np.sqrt(v / (1 - 0.99 ** at_step)) + 1e-6)
-            machine = Machine(keys, new["weight"], new["factor"], float(new["bias"]))
-    return machine
+            live = machine.weight != 0
+            seen = Machine(keys, machine.weight, machine.factor * live[:, None], machine.bias)
+            by_weight, by_factor, by_bias, _ = gradient(seen, window, term, first, toxic[some])
+            rise = (np.sqrt(squares + by_weight ** 2) - np.sqrt(squares)) / RATE
+            pulled += by_weight - rise * machine.weight
+            squares += by_weight ** 2
+            weight = np.where(np.abs(pulled) <= L1, 0.0, -(pulled - np.sign(pulled) * L1)
+                              / ((1.0 + np.sqrt(squares)) / RATE + L2))
+            by_factor = live[:, None] * (by_factor + L2_FACTORS * machine.factor)
+            factor_squares += (by_factor ** 2).sum(axis=1)
+            bias_squares += by_bias ** 2
+            machine = Machine(keys, weight, machine.factor - RATE_FACTORS * by_factor / np.sqrt(factor_squares)[:, None],
+                              machine.bias - RATE * by_bias / np.sqrt(bias_squares))
+    live = machine.weight != 0
+    return Machine(keys[live], machine.weight[live], machine.factor[live], machine.bias)
 
 
 def calibrated(machine: Machine, scores: np.ndarray, toxic: np.ndarray, steps: int = 200) -> Machine:

