@@ -15,12 +15,18 @@ from shelfdiff.operators.ordering import number_in_group
 PAIR = ["source_id", "week"]
 
 
-def category_counts(items: DataFrame, dim: DataFrame) -> DataFrame:
+def name_counts(items: DataFrame) -> DataFrame:
+    """Rows per category name: what is kept with a snapshot, so that later weeks need not read its items."""
+    return items.groupBy(*PAIR, "category_raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_counts(rows: DataFrame, dim: DataFrame) -> DataFrame:
     """Rows per category code; names that are not in ``dim`` are left out.
 
-    Counted by name first, so the join sees one row per category and not one per item.
+    ``rows`` are items or their ``name_counts``. Items are counted by name first, so the join sees one row per category
+    and not one per item.
     """
-    by_name = items.groupBy(*PAIR, "category_raw").agg(F.count(F.lit(1)).alias("n"))
+    by_name = rows if "n" in rows.columns else name_counts(rows)
     return (by_name.join(dim.select("source_id", F.col("name").alias("category_raw"), "code"),
                          ["source_id", "category_raw"])
             .groupBy(*PAIR, "code").agg(F.sum("n").alias("n")))
@@ -45,8 +51,8 @@ def check_categories(items: DataFrame, dim: DataFrame, looked_back: DataFrame,
                      tolerance: float = fixed.BOOTSTRAP_TOLERANCE) -> DataFrame:
     """Categories whose count left its range; an absent category counts as 0.
 
-    ``items`` holds the weeks under test and the weeks they look back to, ``looked_back`` one
-    row ``(source_id, week, previous_week)`` per source-week under test.
+    ``items`` (or their ``name_counts``) holds the weeks under test and the weeks they look back to,
+    ``looked_back`` one row ``(source_id, week, previous_week)`` per source-week under test.
     """
     counts = category_counts(items, dim)
     expected = _expected(counts, dim, looked_back, low, high, tolerance)
@@ -90,13 +96,19 @@ def check_duplicates(items: DataFrame) -> DataFrame:
 
 def gate_verdict(meta: DataFrame, items: DataFrame, dim: DataFrame, looked_back: DataFrame,
                  drop: float = fixed.DROP_RATIO, spike: float = fixed.SPIKE_RATIO,
-                 tolerance: float = fixed.BOOTSTRAP_TOLERANCE) -> DataFrame:
-    """``(source_id, week, ok, reason)``: categories, then volume, then duplicate keys."""
+                 tolerance: float = fixed.BOOTSTRAP_TOLERANCE,
+                 duplicates: DataFrame | None = None) -> DataFrame:
+    """``(source_id, week, ok, reason)``: categories, then volume, then duplicate keys.
+
+    ``items`` may be ``name_counts`` kept with the snapshots; ``duplicates`` is then the result of
+    ``check_duplicates`` for the source-weeks under test.
+    """
+    duplicates = check_duplicates(items) if duplicates is None else duplicates
     broken = (check_categories(items, dim, looked_back, drop, spike, tolerance)
               .groupBy(*PAIR).agg(F.lit("categories").alias("by_category")))
     volume = (check_volume(meta, looked_back, drop, spike).filter("verdict <> 'ok'")
               .select(*PAIR, F.col("verdict").alias("by_volume")))
-    twice = check_duplicates(items).select(*PAIR, F.lit("duplicates").alias("by_key"))
+    twice = duplicates.select(*PAIR, F.lit("duplicates").alias("by_key"))
     reason = F.coalesce("by_category", "by_volume", "by_key")
     return (looked_back.select(*PAIR).join(broken, PAIR, "left").join(volume, PAIR, "left")
             .join(twice, PAIR, "left")
@@ -115,28 +127,20 @@ def accept_new(candidates: DataFrame, existing: DataFrame, refresh: bool = False
     return candidates.join(existing.filter("held_from IS NULL").select(*PAIR), PAIR, "left_anti")
 
 
-def hold_previous(failed: DataFrame, meta: DataFrame, items: DataFrame, control: DataFrame,
-                  looked_back: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fill failed source-weeks with their lookback snapshot: ``(meta, items, control)``.
+def hold_previous(failed: DataFrame, meta: DataFrame, looked_back: DataFrame) -> DataFrame:
+    """Rows of ``meta`` that let failed source-weeks stand on their lookback snapshot.
 
-    A good snapshot that is already stored for the week is never replaced. ``held_from`` keeps
-    the first origin over repeated holds, and times stay those of the held week.
+    A good snapshot that is already stored for the week is never replaced. ``held_from`` keeps the first origin over
+    repeated holds, and times, counts and the place of the data (``run``, ``data_week``, where ``meta`` has them) stay
+    those of the held week: a held week is a reference, no item is read or copied.
     """
     good = meta.filter("held_from IS NULL").select(*PAIR)
     fill = (failed.select(*PAIR).distinct().join(good, PAIR, "left_anti")
             .join(looked_back.filter("previous_week IS NOT NULL"), PAIR)
-            .select("source_id", F.col("week").alias("_into"),
-                    F.col("previous_week").alias("week")))
-
-    def copied(table: DataFrame) -> DataFrame:
-        columns = table.columns
-        return (table.join(fill, PAIR)
-                .withColumn("_from", F.col("week")).withColumn("week", F.col("_into"))
-                .select(*columns, "_from"))
-
-    held_meta = (copied(meta).withColumn("held_from", F.coalesce("held_from", "_from"))
-                 .drop("_from"))
-    return held_meta, copied(items).drop("_from"), copied(control).drop("_from")
+            .select("source_id", F.col("week").alias("_into"), F.col("previous_week").alias("week")))
+    rows = meta.join(fill, PAIR)
+    return (rows.withColumn("held_from", F.coalesce("held_from", "week")).withColumn("week", F.col("_into"))
+            .select(*meta.columns))
 
 
 def check_declared_total(rows: DataFrame, totals: DataFrame, by: list[str],

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfdiff import schemas
 from shelfdiff.operators import dedupe, diff, filters, gate
-from shelfdiff.plans.catalog import (CATEGORY_CTE, PAIR_CTE, WEEKLY_CTE, category_dim, cur_items, query,
+from shelfdiff.plans import weekly
+from shelfdiff.plans.catalog import (CATEGORY_CTE, PAIR_CTE, WEEKLY_CTE, category_dim, cur_items, prev_items, query,
                                      weekly_items, weekly_rows)
-from shelfdiff.sources import tables
+from shelfdiff.session import cut_lineage, scratch_path
+from shelfdiff.sources import snapshots, tables
 
 _ = F.col
 
@@ -226,9 +229,10 @@ off_range AS (
 
 
 def _gate_inputs(t):
-    items = weekly_items(t)
-    meta = tables.snapshot_meta(items)
-    return items, meta, diff.lookback(meta), category_dim(t)
+    """What a store keeps with its snapshots: counts by category name, and from them one row a source-week."""
+    counts = cut_lineage(gate.name_counts(weekly_items(t)))
+    meta = counts.groupBy("week", "source_id").agg(F.sum("n").alias("count"))
+    return counts, meta, diff.lookback(meta), category_dim(t)
 
 
 @query("category_count_check", _EXPECTED + "SELECT * FROM off_range")
@@ -287,24 +291,23 @@ judged AS (
 SELECT source_id, week, reason IS NULL AS ok, reason FROM judged
 """)
 def _gate_verdict(t):
-    items, meta, look, dim = _gate_inputs(t)
-    keys = weekly_rows(t).select("source_id", "week", "external_id")
-    first = gate.check_duplicates(keys)
-    verdict = gate.gate_verdict(meta, items, dim, look)
-    again = verdict.join(first.select("source_id", "week", F.lit("duplicates").alias("_twice")),
-                         ["source_id", "week"], "left")
-    reason = F.coalesce("reason", "_twice")
-    return again.select("source_id", "week", reason.isNull().alias("ok"), reason.alias("reason"))
-
-
-@query("source_isolation", f"""
-WITH {WEEKLY_CTE}, volume AS ({_VOLUME})
-SELECT week, source_id, verdict AS reason FROM volume WHERE verdict <> 'ok'
+    counts, meta, look, dim = _gate_inputs(t)
+    return gate.gate_verdict(meta, counts, dim, look, duplicates=gate.check_duplicates(weekly_rows(t)))
+
+
+@query("source_isolation", _EXPECTED + f""",
+volume AS ({_VOLUME}), dup AS (
+  SELECT source_id, week FROM rows GROUP BY ALL HAVING count(*) > count(DISTINCT external_id))
+SELECT l.week, l.source_id, CASE WHEN o.week IS NOT NULL THEN 'categories' WHEN v.verdict <> 'ok' THEN v.verdict
+       ELSE 'duplicates' END AS reason
+FROM look l LEFT JOIN (SELECT DISTINCT source_id, week FROM off_range) o
+  ON o.source_id = l.source_id AND o.week = l.week
+JOIN volume v ON v.source_id = l.source_id AND v.week = l.week
+LEFT JOIN dup d ON d.source_id = l.source_id AND d.week = l.week
+WHERE o.week IS NOT NULL OR v.verdict <> 'ok' OR d.week IS NOT NULL
 """)
 def _isolation(t):
-    meta = tables.snapshot_meta(weekly_items(t))
-    verdict = gate.check_volume(meta, diff.lookback(meta)).withColumn("ok", _("verdict") == "ok")
-    return gate.failed_sources(verdict.withColumnRenamed("verdict", "reason"))
+    return gate.failed_sources(_gate_verdict(t))
 
 
 def _stored_meta(t):
@@ -336,14 +339,10 @@ SELECT f.source_id, f.week, coalesce(s.held_from, f.previous_week) AS held_from,
 FROM fill f JOIN stored s ON s.source_id = f.source_id AND s.week = f.previous_week
 """)
 def _hold(t):
-    items, meta = weekly_items(t), _stored_meta(t)
-    failed = meta.filter("held_from IS NOT NULL")
-    control = items.select("source_id", "week", "external_id", "is_new")
-    held_meta, held_items, _held_control = gate.hold_previous(failed, meta, items, control,
-                                                              diff.lookback(meta))
-    counts = held_items.groupBy("source_id", "week").agg(F.count(F.lit(1)).alias("items"))
-    return held_meta.join(counts, ["source_id", "week"]).select(
-        "source_id", "week", "held_from", "count", "items")
+    items, meta = weekly_items(t), cut_lineage(_stored_meta(t).withColumn("data_week", _("week")))
+    held = gate.hold_previous(meta.filter("held_from IS NOT NULL"), meta, diff.lookback(meta))
+    counts = snapshots.follow(items, held).groupBy("source_id", "week").agg(F.count(F.lit(1)).alias("items"))
+    return held.join(counts, ["source_id", "week"]).select("source_id", "week", "held_from", "count", "items")
 
 
 _LISTS_SQL = """
@@ -441,3 +440,25 @@ def _pair_gate(t):
         found, ["source_id", "week"], "left").select(
         "source_id", "week", F.coalesce("duplicates", F.lit(0)).cast("bigint").alias("duplicates"),
         _("count").alias("n"))
+
+
+@query("refused_refresh", f"""
+WITH {PAIR_CTE},
+counted AS (SELECT source_id, count(*) AS items, count(*) FILTER (pos % 10 = 0) AS again, min(pos) AS first_pos
+            FROM cur GROUP BY ALL)
+SELECT source_id, CASE WHEN again < 0.3 * before THEN 'drop' END AS reason, items, items AS count,
+       CAST(NULL AS STRING) AS held_from
+FROM counted JOIN (SELECT source_id, count(*) AS before FROM prev GROUP BY ALL) USING (source_id)
+""")
+def _refused(t):
+    store = weekly.Store(t.spark, scratch_path(t.spark, "refused"))
+    dim = t.spark.createDataFrame([], schemas.CATEGORY_DIM)
+    stamp = F.timestamp_seconds(1_790_000_000 + _("pos"))
+    weekly.take_snapshots(store, "2026-W35", prev_items(t).withColumns(
+        {"week": F.lit("2026-W35"), "scraped_at": stamp}), dim)
+    cur = cur_items(t).withColumn("scraped_at", stamp)
+    weekly.take_snapshots(store, "2026-W36", cur, dim)
+    verdict = weekly.take_snapshots(store, "2026-W36", cur.filter("pos % 10 = 0"), dim, refresh=True)
+    items = store.items(["2026-W36"]).groupBy("source_id").agg(F.count(F.lit(1)).alias("items"))
+    return (verdict.select("source_id", "reason").join(items, "source_id")
+            .join(store.meta(["2026-W36"]).select("source_id", "count", "held_from"), "source_id"))

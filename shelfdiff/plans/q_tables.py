@@ -12,7 +12,7 @@ from shelfdiff.operators import enrich, extract, publish
 from shelfdiff.plans.catalog import (DUCK_MONDAY, DUCK_WEEK, PAIR_CTE, cur_items, duck, prev_items,
                                      query)
 from shelfdiff.session import scratch_path
-from shelfdiff.sources import registry, tables
+from shelfdiff.sources import registry, snapshots, tables
 
 _ = F.col
 
@@ -68,8 +68,8 @@ WHERE source_id = 'cu' GROUP BY ALL
 """))
 def _snapshot_read(t):
     path = scratch_path(t.spark, "snapshot")
-    tables.write_snapshot(with_labels(t), path)
-    got = tables.read_snapshot(t.spark, path, ["2026-W36"], ["cu"])
+    snapshots.write(with_labels(t), path)
+    got = snapshots.read(t.spark, path, "items", ["2026-W36"], ["cu"])
     return got.groupBy("week", "source_id").agg(F.count(F.lit(1)).alias("items"),
                                                 F.sum("price").alias("price"))
 
@@ -92,8 +92,8 @@ FROM cur GROUP BY ALL
 """)
 def _snapshot_write(t):
     path = scratch_path(t.spark, "snapshot")
-    tables.write_snapshot(with_labels(t), path)
-    meta = tables.read_table(t.spark, f"{path}/meta", schemas.SNAPSHOT_META)
+    snapshots.write(with_labels(t), path)
+    meta = snapshots.manifest(t.spark, path)
     return meta.select("week", "source_id", "count", F.unix_seconds("scraped_at").alias("first_second"))
 
 

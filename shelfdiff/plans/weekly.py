@@ -16,7 +16,7 @@ from shelfdiff import schemas
 from shelfdiff.functions import weeks as W
 from shelfdiff.operators import curate, diff, enrich, gate, publish, report
 from shelfdiff.session import cut_lineage
-from shelfdiff.sources import tables
+from shelfdiff.sources import snapshots, tables
 
 PAIR = ["source_id", "week"]
 
@@ -32,15 +32,18 @@ class Store:
     spark: SparkSession
     path: str
 
+    @property
+    def snapshots(self) -> str:
+        return f"{self.path}/snapshot"
+
     def items(self, weeks: list[str] | None = None) -> DataFrame:
-        return tables.read_snapshot(self.spark, f"{self.path}/snapshot", weeks)
+        return snapshots.read(self.spark, self.snapshots, "items", weeks)
 
     def control(self, weeks: list[str] | None = None) -> DataFrame:
-        return tables.read_table(self.spark, f"{self.path}/snapshot/control", schemas.CONTROL, weeks)
+        return snapshots.read(self.spark, self.snapshots, "control", weeks)
 
     def meta(self, weeks: list[str] | None = None) -> DataFrame:
-        return tables.read_table(self.spark, f"{self.path}/snapshot/meta", schemas.SNAPSHOT_META,
-                                 weeks)
+        return snapshots.manifest(self.spark, self.snapshots, weeks).select(*schemas.SNAPSHOT_META.names)
 
     def added(self, week: str) -> DataFrame:
         return tables.read_table(self.spark, f"{self.path}/diff/added", schemas.SNAPSHOT_ITEM, [week])
@@ -78,40 +81,37 @@ def take_snapshots(store: Store, week: str, collected: DataFrame, category_dim:
 
     ``collected`` are item rows of ``week`` with their ``_`` label columns, ``attempted`` the
     sources that were tried (a source without rows fails). Returns the verdicts.
+
+    What was collected is written under a run of its own and judged from there, against the category counts kept with
+    earlier snapshots. One commit then makes the passed sources and the holds stand; whatever ends the step before
+    it, and whatever the gate refuses, leaves the week as it was.
     """
-    span = _window_of(week, store.spark)
-    stored = cut_lineage(store.meta(span))
+    spark, root = store.spark, store.snapshots
+    span = _window_of(week, spark)
+    stored = snapshots.manifest(spark, root, span)
     collected = collected.filter(F.col("week") == week)
     sources = (collected.select("source_id") if attempted is None
                else attempted.select("source_id")).distinct()
-    wanted = gate.accept_new(sources.withColumn("week", F.lit(week)), stored.filter(
-        F.col("week") == week), refresh)
-    items = collected.join(wanted, PAIR, "left_semi")
-    fresh = (wanted.join(tables.snapshot_meta(items), PAIR, "left")
-             .withColumn("count", F.coalesce("count", F.lit(0))))
+    wanted = cut_lineage(gate.accept_new(sources.withColumn("week", F.lit(week)), stored.filter(
+        F.col("week") == week), refresh))
+    run = snapshots.stage(collected.join(wanted, PAIR, "left_semi"), root)
+    found = cut_lineage(snapshots.staged_rows(spark, root, run))
+    fresh = (wanted.join(found, PAIR, "left").withColumn("count", F.coalesce("count", F.lit(0)))
+             .select(*stored.columns))
 
     earlier = stored.filter(F.col("week") < week)
-    looked_back = (diff.lookback(earlier.unionByName(fresh.select(*earlier.columns)))
-                   .filter(F.col("week") == week))
-    public = [c for c in items.columns if not c.startswith("_")]
-    before = store.items(span[1:]).join(
-        looked_back.select("source_id", F.col("previous_week").alias("week")), PAIR, "left_semi")
-    both = items.select(*public).unionByName(before, allowMissingColumns=True)
+    both = earlier.unionByName(fresh)
+    looked_back = cut_lineage(diff.lookback(both).filter(F.col("week") == week))
+    compared = earlier.join(looked_back.select("source_id", F.col("previous_week").alias("week")), PAIR, "left_semi")
+    counts = snapshots.staged(spark, root, run, "categories").unionByName(
+        snapshots.read_rows(root, "categories", compared))
     verdict = cut_lineage(gate.gate_verdict(
-        earlier.unionByName(fresh.select(*earlier.columns)), both, category_dim, looked_back)
-        .join(fresh.select(*PAIR), PAIR, "left_semi"))
-
-    # one name a source, as many as the registry has
-    judged = [r.source_id for r in verdict.select("source_id").collect()]
-    tables.write_snapshot(items.join(verdict.filter("ok"), PAIR, "left_semi"),
-                          f"{store.path}/snapshot", week, judged)
-    held_meta, held_items, held_control = gate.hold_previous(
-        verdict.filter("NOT ok"), stored, store.items(span), store.control(span), looked_back)
-    # Held rows are read from the very tables they go to: fix them before writing.
-    held_meta, held_items, held_control = map(cut_lineage, (held_meta, held_items, held_control))
-    tables.write_table(held_items, f"{store.path}/snapshot/items")
-    tables.write_table(held_control, f"{store.path}/snapshot/control")
-    tables.write_table(held_meta, f"{store.path}/snapshot/meta")
+        both, counts, category_dim, looked_back,
+        duplicates=gate.check_duplicates(snapshots.staged(spark, root, run, "items")))
+        .join(wanted, PAIR, "left_semi"))
+    passed = found.join(verdict.filter("ok"), PAIR, "left_semi")
+    held = gate.hold_previous(verdict.filter("NOT ok"), stored, looked_back)
+    snapshots.commit(passed.unionByName(held), root)
     return verdict
 
 

@@ -23,6 +23,12 @@ SNAPSHOT_META = _fields(
     ("week", S), ("source_id", S), ("scraped_at", T.TimestampType()), ("count", L),
     ("held_from", S))
 
+SNAPSHOT_MANIFEST = _fields(
+    ("week", S), ("source_id", S), ("run", S), ("data_week", S), ("scraped_at", T.TimestampType()),
+    ("count", L), ("held_from", S))
+
+CATEGORY_COUNT = _fields(("week", S), ("source_id", S), ("category_raw", S), ("n", L))
+
 LABELS = _fields(("new", B), ("best", B), ("limited", B), ("sold_out", B), ("badges", TAGS),
                  ("new_start_date", S))
 

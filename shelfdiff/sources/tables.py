@@ -2,8 +2,7 @@
 
 A write replaces only the partitions it carries (dynamic overwrite), so one source never
 overwrites another; a step also drops partitions it answers for and has no rows for, so a repeated
-run leaves the same table. Items and control land before
-``snapshot_meta``; a partition without a meta row counts as absent.
+run leaves the same table. Snapshots are written and found by ``snapshots``.
 """
 
 from __future__ import annotations
@@ -143,29 +142,6 @@ def split_control_map(attributes: Column) -> tuple[Column, Column]:
     return public, private
 
 
-def write_snapshot(items: DataFrame, path: str, week: str | None = None,
-                   sources: list[str] | None = None) -> None:
-    """Items and control first, meta last: readers trust only partitions that have a meta row.
-
-    With ``week`` (and ``sources``) the step answers for all of their partitions: their meta rows
-    go first, so that a half-written snapshot is not vouched for by an older row.
-    """
-    clean, control = split_control(items)
-    if week is not None:
-        drop_partitions(items.sparkSession, f"{path}/meta", week, sources)
-    write_table(clean, f"{path}/items", None, week, sources)
-    write_table(control, f"{path}/control", None, week, sources)
-    write_table(snapshot_meta(clean), f"{path}/meta", None, week, sources)
-
-
-def read_snapshot(spark: SparkSession, path: str, weeks: list[str] | None = None,
-                  sources: list[str] | None = None) -> DataFrame:
-    """Items of the wanted partitions that were written to the end."""
-    items = read_table(spark, f"{path}/items", schemas.SNAPSHOT_ITEM, weeks, sources)
-    meta = read_table(spark, f"{path}/meta", schemas.SNAPSHOT_META, weeks, sources)
-    return items.join(meta.select(*PARTITION), PARTITION, "left_semi")
-
-
 def list_weeks(publication: DataFrame) -> DataFrame:
     """Published weeks, newest first; names that are not weeks are left out."""
     return (publication.select("week").distinct()
