@@ -37,7 +37,7 @@ def key_from_text(c: Column, pattern: str, group: int = 1) -> Column:
 
 def sequence_from_code(c: Column, prefix: str = "RPPZ") -> Column:
     """``RPPZ2275`` -> 2275; anything else -> null, never a guess."""
-    digits = F.substring(c, len(prefix) + 1, 1_000)
+    digits = F.substring(c, len(prefix) + 1, 2 ** 31 - 1)
     ok = c.startswith(prefix) & digits.rlike(r"\A[0-9]+\z")
     return F.when(ok, digits.try_cast("bigint"))
 

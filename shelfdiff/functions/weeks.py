@@ -59,15 +59,25 @@ def week_index(week: Column) -> Column:
         .cast("int")
 
 
-def now_kst() -> Column:
-    """Wall clock in Seoul, whole seconds, independent of the session time zone."""
-    local = F.convert_timezone(None, F.lit(SEOUL), F.current_timestamp())
+def in_seoul(moment: Column) -> Column:
+    """Wall clock in Seoul at a moment, whole seconds, independent of the session time zone."""
+    local = F.convert_timezone(None, F.lit(SEOUL), moment)
     return F.date_trunc("SECOND", local).cast("timestamp_ntz")
 
 
+def now_kst() -> Column:
+    """Wall clock in Seoul now."""
+    return in_seoul(F.current_timestamp())
+
+
+def seoul_text(local: Column) -> Column:
+    """Wall clock in Seoul as ISO-8601 text with its offset."""
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+09:00"))
+
+
 def scraped_at() -> Column:
-    """Seoul time as ISO-8601 text with its offset."""
-    return F.concat(F.date_format(now_kst(), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+09:00"))
+    """Seoul time now as ISO-8601 text."""
+    return seoul_text(now_kst())
 
 
 def current_week() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,17 +102,42 @@ def render_blocks(blocks: DataFrame) -> DataFrame:
             .withColumn("line", line))
 
 
-def render_transcript(blocks: DataFrame, turns_per_part: int = 1_000) -> DataFrame:
-    """``(conv_id, part, transcript)`` in record order.
+def transcript_lines(blocks: DataFrame) -> DataFrame:
+    """``(conv_id, turn, block, line)``: the transcripts as lines; the first line of a conversation has its title.
 
-    A conversation of any length stays whole: it is cut into parts of ``turns_per_part`` turns,
-    which joined by a newline in order are the transcript. Nearly all have the one part 0.
+    Joined by a newline in order of turn and block they are the transcript. No row holds more than a block, so a
+    conversation may have any length.
+    """
+    lines = render_blocks(blocks).select("conv_id", "turn", "block", "line")
+    first = lines.groupBy("conv_id").agg(F.min(F.struct("turn", "block")).alias("_first"))
+    title = F.concat(F.lit(fixed.TRANSCRIPT_TITLE), F.substring(F.col("conv_id").cast("string"), 1, 8), F.lit("\n\n"))
+    opens = F.struct("turn", "block") == F.col("_first")
+    return (lines.join(first, "conv_id")
+            .withColumn("line", F.when(opens, F.concat(title, "line")).otherwise(F.col("line"))).drop("_first"))
+
+
+def write_transcripts(blocks: DataFrame, path: str) -> None:
+    """Transcripts as files of sorted lines, written by ranges of (conv_id, turn, block).
+
+    A conversation of any length is shared out over as many files as it fills, and files read in order of their names
+    hold all conversations in order.
+    """
+    order = ["conv_id", "turn", "block"]
+    (transcript_lines(blocks).repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").parquet(path))
+
+
+def read_transcripts(spark: SparkSession, path: str, conv_id=None) -> DataFrame:
+    """The lines of all conversations or of one; the files' ranges prune the others."""
+    lines = spark.read.parquet(path)
+    return lines if conv_id is None else lines.filter(F.col("conv_id") == conv_id)
+
+
+def render_transcript(blocks: DataFrame) -> DataFrame:
+    """``(conv_id, transcript)``: each conversation as one text, for conversations that fit a row.
+
+    ``write_transcripts`` has no such bound.
     """
-    lines = render_blocks(blocks).withColumn("part", F.floor(F.col("turn") / turns_per_part))
     in_order = F.sort_array(F.collect_list(F.struct("turn", "block", "line")))
-    head = F.when(F.col("part") == 0, F.concat(
-        F.lit(fixed.TRANSCRIPT_TITLE), F.substring(F.col("conv_id").cast("string"), 1, 8), F.lit("\n\n"))
-    ).otherwise(F.lit(""))
-    return (lines.groupBy("conv_id", "part").agg(in_order.alias("_l"))
-            .select("conv_id", "part",
-                    F.concat(head, F.array_join("_l.line", "\n")).alias("transcript")))
+    return (transcript_lines(blocks).groupBy("conv_id").agg(in_order.alias("_l"))
+            .select("conv_id", F.array_join("_l.line", "\n").alias("transcript")))

@@ -120,6 +120,16 @@ def with_taxonomy(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return rows.join(lists, "channel", "left")
 
 
+def editable(added: DataFrame, dim: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Items of channels that have a category list: only these are sent to an editor.
+
+    An editor without the right list would sort items into a wrong one, so items of other channels, and of sources
+    without a channel, go out as their source has them.
+    """
+    listed = dim.join(taxonomy.select("channel").distinct(), "channel", "left_semi").select("source_id")
+    return added.join(listed, "source_id", "left_semi")
+
+
 def check_taxonomy(sources: DataFrame, taxonomy: DataFrame, labels: DataFrame) -> DataFrame:
     """Problems of the dimension tables: ``(channel, problem)``."""
     used = sources.select("channel").distinct()

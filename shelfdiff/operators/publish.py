@@ -104,9 +104,44 @@ def validate(publication: DataFrame, week: Column | None = None,
     return form.unionByName(doubled).unionByName(lacking).unionByName(foreign)
 
 
-def merge(parts: list[DataFrame]) -> DataFrame | None:
-    """One table of all source parts, None if there is no part; ``validate`` checks ids over it."""
-    return reduce(DataFrame.unionByName, parts) if parts else None
+def source_problems(rows: DataFrame, dim: DataFrame, week: Column | None = None,
+                    required: tuple[str, ...] = fixed.REQUIRED_FIELDS) -> DataFrame:
+    """All problems of published rows as ``(source_id, problem, id, name, detail)``.
+
+    Those of ``validate``, each with the source it belongs to, and sources that are not registered. A doubled id
+    concerns every source that has it, whether inside one source or across several.
+    """
+    expected = F.col("week") if week is None else week
+    none = F.lit(None).cast("string")
+
+    def problem(df: DataFrame, kind: str, detail: Column, id: Column = F.col("id"), name: Column = F.col("name")):
+        return df.select("source_id", F.lit(kind).alias("problem"), id.alias("id"), name.alias("name"),
+                         detail.cast("string").alias("detail"))
+    missing = F.array_compact(F.array(*[F.when(F.col(f).isNull() | (F.col(f) == ""), F.lit(f)) for f in required]))
+    # an id has as many sources as the registry at most
+    doubled = (rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.collect_set("source_id").alias("_in"))
+               .filter("n > 1").select("id", "n", F.explode("_in").alias("source_id")))
+    unknown = rows.select("source_id").distinct().join(dim.select("source_id"), "source_id", "left_anti")
+    lacking = rows.join(dim.select("source_id"), "source_id", "left_semi").filter(F.size(missing) > 0)
+    form = ~F.coalesce(W.has_week_format(expected), F.lit(False))
+    return reduce(DataFrame.unionByName, [
+        problem(unknown, "unknown_source", F.col("source_id"), none, none),
+        problem(doubled, "duplicate_id", F.col("n"), name=none),
+        problem(lacking, "missing_field", F.array_join(missing, ",")),
+        problem(rows.filter(form).select("source_id", expected.alias("_w")).distinct(), "week_format", F.col("_w"),
+                none, none),
+        problem(rows.filter(~F.col("week").eqNullSafe(expected)), "foreign_week", F.col("week"))])
+
+
+def merge(rows: DataFrame, dim: DataFrame, week: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(published, problems)``: the rows of the sources without a problem, and the problems of the others.
+
+    Sources stand or fall as a whole and by themselves: a broken or unregistered source, or sources that claim one
+    id, hold nobody else up.
+    """
+    problems = source_problems(rows, dim, week)
+    broken = problems.select("source_id").distinct()
+    return rows.filter("source_id IS NOT NULL").join(broken, "source_id", "left_anti"), problems
 
 
 def publication_counts(publication: DataFrame, by: tuple[str, ...] = ("week",)) -> DataFrame:

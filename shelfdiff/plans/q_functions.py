@@ -341,14 +341,15 @@ def _week_gap(t):
 
 
 @query("kst_now", """
-SELECT event_type, true AS whole_second, true AS week_matches, true AS offset_kept
-FROM events GROUP BY event_type
+SELECT event_id, strftime(date_trunc('second', ts + INTERVAL 9 HOUR), '%Y-%m-%dT%H:%M:%S') || '+09:00' AS seoul,
+       printf('%d-W%02d', isoyear(ts + INTERVAL 9 HOUR), weekofyear(ts + INTERVAL 9 HOUR)) AS week,
+       true AS now_is_in_week
+FROM events
 """)
 def _kst_now(t):
-    return t.events.groupBy("event_type").agg(F.max("ts").alias("_")).select(
-        "event_type", (F.date_trunc("SECOND", W.now_kst()) == W.now_kst()).alias("whole_second"),
-        (W.current_week() == W.week_of(W.now_kst())).alias("week_matches"),
-        W.scraped_at().endswith("+09:00").alias("offset_kept"))
+    local = W.in_seoul(_("ts").cast("timestamp"))
+    return t.events.select("event_id", W.seoul_text(local).alias("seoul"), W.week_of(local).alias("week"),
+                           (W.week_of(W.now_kst()) == W.current_week()).alias("now_is_in_week"))
 
 
 @query("format_week", """

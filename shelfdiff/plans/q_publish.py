@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfdiff.operators import browse, convlog, publish, report, sample
@@ -9,6 +12,7 @@ from shelfdiff.plans.catalog import PAIR_CTE, cur_items, prev_items, query
 from shelfdiff.plans.q_diff import APPLIED_CTE, applied_edits, pair_diff
 from shelfdiff.plans.q_gate import _pub, published_orders
 from shelfdiff.plans.q_tables import with_labels
+from shelfdiff.session import scratch_path
 from shelfdiff.sources import registry, tables
 
 _ = F.col
@@ -124,17 +128,32 @@ def _validate(t):
 
 
 @query("merge_sources", _with("""
-SELECT source_id, count(*) AS total, count(description) AS with_blurb FROM cur GROUP BY ALL
+SELECT 'cu' AS source_id, NULL AS problem, count(*) AS n FROM cur WHERE source_id = 'cu'
+UNION ALL SELECT 'gs25', 'missing_field', count(*) FROM cur JOIN part ON p_partkey = pos
+  WHERE source_id = 'orion' AND p_size < 9 HAVING count(*) > 0
+UNION ALL SELECT 'nowhere', 'unknown_source', 1
+UNION ALL SELECT s, 'duplicate_id', count(*) FROM cur, (VALUES ('kyochon'), ('crown')) v(s)
+  WHERE source_id = 'cu' AND pos % 15 = 0 GROUP BY s HAVING count(*) > 0
 """))
 def _merge(t):
-    rows = cur_items(t).join(registry.source_dim(t.spark), "source_id").select(
-        F.concat_ws("--", "source_id", "external_id").alias("id"), "week", "brand", "channel", "name",
-        "source_url", "source_id", _("week").alias("first_seen"), _("week").alias("last_seen"),
-        _("description").alias("blurb"))
-    merged = publish.merge([rows.filter(_("source_id") == s) for s in ("starbucks", "cu", "orion")])
-    problems = publish.validate(merged).select(
-        _("problem").alias("source_id"), F.lit(1).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("with_blurb"))
-    return publish.publication_counts(merged, ("source_id",)).unionByName(problems)
+    """Five sources: one is sound, one lacks fields, one is not registered, and two claim the same ids."""
+    cur = cur_items(t).join(t.part.select(_("p_partkey").alias("pos"), "p_size"), "pos")
+
+    def rows(source, of, id, url=_("source_url")):
+        return cur.filter(of).select(id.alias("id"), "week", F.lit("b").alias("brand"), F.lit("c").alias("channel"), "name",
+                                     url.alias("source_url"), F.lit(source).alias("source_id"),
+                                     _("week").alias("first_seen"), _("week").alias("last_seen"))
+    own, key = _("source_id"), _("external_id")
+    every = [rows("cu", own == "cu", F.concat(F.lit("cu--"), key)),
+             rows("gs25", own == "orion", F.concat(F.lit("gs25--"), key), F.when(_("p_size") >= 9, _("source_url"))),
+             rows("nowhere", own == "starbucks", F.concat(F.lit("no--"), key)),
+             rows("kyochon", (own == "cu") & (_("pos") % 5 == 0), F.concat(F.lit("k--"), key)),
+             rows("crown", (own == "cu") & (_("pos") % 15 == 0), F.concat(F.lit("k--"), key))]
+    published, problems = publish.merge(reduce(DataFrame.unionByName, every), registry.source_dim(t.spark),
+                                        F.lit("2026-W36"))
+    n = F.count(F.lit(1)).alias("n")
+    return (published.groupBy("source_id").agg(n).withColumn("problem", F.lit(None).cast("string"))
+            .unionByName(problems.groupBy("source_id", "problem").agg(n)))
 
 
 @query("publication_counts", f"""
@@ -171,10 +190,10 @@ def _label(t):
 SELECT 'cu' AS source_id, 'gd_idx' AS key, m AS previous_max,
        count(*) FILTER (CAST(gd_idx AS BIGINT) > m) AS added_above_previous_max,
        count(*) FILTER (CAST(gd_idx AS BIGINT) <= m) AS added_below_previous_max
-FROM cur, top WHERE source_id = 'cu' GROUP BY m
+FROM top LEFT JOIN (SELECT * FROM added WHERE source_id = 'cu') a ON true GROUP BY m
 """))
 def _monotonic(t):
-    return report.monotonic_metric(prev_items(t), cur_items(t), registry.source_dim(t.spark)).drop("week")
+    return report.monotonic_metric(prev_items(t), pair_diff(t).added, registry.source_dim(t.spark)).drop("week")
 
 
 @query("published_then_gone", _with(f"""
@@ -540,10 +559,13 @@ lines AS (SELECT conv_id, turn, block, CASE kind
   WHEN 'tool_use' THEN '```' || chr(10) || '▶ ' || {_CLIP.format('x', 400)} || chr(10) || '```' || chr(10)
   ELSE '```' || chr(10) || {_CLIP.format('x', 600)} || chr(10) || '```' || chr(10) END AS line
   FROM s WHERE x <> '')
-SELECT conv_id, CAST(0 AS BIGINT) AS part, md5('# 세션 ' || substr(CAST(conv_id AS STRING), 1, 8) || chr(10) || chr(10)
+SELECT conv_id, count(*) AS lines, md5('# 세션 ' || substr(CAST(conv_id AS STRING), 1, 8) || chr(10) || chr(10)
   || string_agg(line, chr(10) ORDER BY turn, block)) AS digest
 FROM lines GROUP BY conv_id
 """)
 def _transcript(t):
-    out = convlog.render_transcript(convlog.flatten_blocks(logged(t)))
-    return out.select("conv_id", "part", F.md5("transcript").alias("digest"))
+    path = scratch_path(t.spark, "transcripts")
+    convlog.write_transcripts(convlog.flatten_blocks(logged(t)), path)
+    said = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "block", "line"))), lambda x: x["line"]), "\n")
+    return convlog.read_transcripts(t.spark, path).groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.md5(said).alias("digest"))

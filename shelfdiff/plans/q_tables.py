@@ -59,7 +59,22 @@ SELECT DISTINCT week, source_id FROM raw
 WHERE {DUCK_MONDAY.format('week')} < DATE '2000-01-01' - 90
 """)
 def _raw_retention(t):
-    return tables.expired_raw(raw_responses(t), F.lit("2000-01-01").cast("date"))
+    path = scratch_path(t.spark, "raw")
+    tables.write_raw(raw_responses(t), path)
+    return tables.retain_raw(t.spark, path, F.lit("2000-01-01").cast("date"))
+
+
+@query("raw_retained", f"""
+WITH raw AS ({_RAW_KEYS})
+SELECT week, source_id, count(*) AS responses FROM raw
+WHERE {DUCK_MONDAY.format('week')} >= DATE '1996-01-01' - 90 GROUP BY ALL
+""")
+def _raw_retained(t):
+    path = scratch_path(t.spark, "raw")
+    tables.write_raw(raw_responses(t), path)
+    tables.retain_raw(t.spark, path, F.lit("1996-01-01").cast("date"))
+    left = tables.read_table(t.spark, path, schemas.RAW_RESPONSE)
+    return left.groupBy("week", "source_id").agg(F.count(F.lit(1)).alias("responses"))
 
 
 @query("snapshot_read", duck(f"""

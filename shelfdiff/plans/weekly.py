@@ -16,15 +16,11 @@ from shelfdiff import schemas
 from shelfdiff.functions import weeks as W
 from shelfdiff.operators import curate, diff, enrich, gate, publish, report
 from shelfdiff.session import cut_lineage
-from shelfdiff.sources import snapshots, tables
+from shelfdiff.sources import registry, snapshots, tables
 
 PAIR = ["source_id", "week"]
 
 
-class PublicationStopped(ValueError):
-    """The rows to publish break the schema; the message lists the first problems."""
-
-
 @dataclass
 class Store:
     """Where the tables live: a folder every executor can reach."""
@@ -61,9 +57,13 @@ class Store:
     def publication(self, weeks: list[str] | None = None) -> DataFrame:
         return tables.read_table(self.spark, f"{self.path}/published", schemas.PUBLISHED_ITEM, weeks)
 
-    def save(self, df: DataFrame, name: str, week: str, by: list[str] | None = None) -> None:
-        """Write a table of the whole week: what an earlier run left of the week is gone."""
-        tables.write_table(df, f"{self.path}/{name}", by, week)
+    def problems(self, week: str) -> DataFrame:
+        return tables.read_table(self.spark, f"{self.path}/problems", schemas.PROBLEM, [week])
+
+    def save(self, df: DataFrame, name: str, week: str, by: list[str] | None = None,
+             keep: list[str] | None = None) -> None:
+        """Write a table of the whole week: what an earlier run left of the week is gone, but for sources in ``keep``."""
+        tables.write_table(df, f"{self.path}/{name}", by, week, None, keep)
 
 
 def _window_of(week: str, spark: SparkSession, n: int = fixed.MAX_LOOKBACK_WEEKS) -> list[str]:
@@ -144,9 +144,11 @@ def enrich_week(store: Store, week: str, details: DataFrame, dim: DataFrame) ->
     return enrich.enrich_stats(added, store.enriched(week), failures)
 
 
-def edit_requests(store: Store, week: str) -> tuple[DataFrame, DataFrame]:
-    """``(ref_map, payload)`` for an editor of the added items."""
-    return curate.request_batches(store.added(week), store.enriched(week))
+def edit_requests(store: Store, week: str, dim: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(ref_map, payload)`` for an editor of the added items whose channel has a category list."""
+    dim = registry.source_dim(store.spark) if dim is None else dim
+    return curate.request_batches(curate.editable(store.added(week), dim, registry.taxonomy_dim(store.spark)),
+                                  store.enriched(week))
 
 
 def publish_week(store: Store, week: str, responses: DataFrame | None,
@@ -154,24 +156,28 @@ def publish_week(store: Store, week: str, responses: DataFrame | None,
     """Publish the week and store its report: ``(publication, week report)``.
 
     ``responses`` are the editor's answers ``(source_id, week, batch, response)``; without them
-    items go out with their own category. Any problem in the rows stops the publication.
+    items go out with their own category. Sources whose rows have a problem, are not registered, or claim an id of
+    another source are not published; their problems are stored (``problems``), what an earlier run published of
+    them stays, and all other sources go out.
     """
     counts, added, enriched = store.counts(week), store.added(week), store.enriched(week)
     if responses is None:
         edits = store.spark.createDataFrame([], schemas.EDIT)
     else:
-        refs, _payload = edit_requests(store, week)
+        refs, _payload = edit_requests(store, week, dim)
         entries, _failed = curate.parse_responses(responses)
         edits, _missing = curate.rekey(entries, refs)
     applied = cut_lineage(curate.apply_edits(added, edits, enriched))
     span = _window_of(week, store.spark)
     earlier = publish.compared_publication(store.publication(span[1:]), counts)
-    rows = cut_lineage(publish.publish(added, applied, enriched, earlier, dim))
-    problems = publish.validate(rows, F.lit(week)).limit(20).collect()
-    if problems:
-        raise PublicationStopped("; ".join(
-            f"{p.problem} {p.id or ''} {p.detail or ''}".strip() for p in problems))
-    store.save(rows, "published", week)
+    candidates = cut_lineage(publish.publish(added, applied, enriched, earlier, dim))
+    rows, problems = publish.merge(candidates, dim, F.lit(week))
+    problems = cut_lineage(problems.withColumn("week", F.lit(week)))
+    # one name a source
+    broken = [r.source_id for r in problems.select("source_id").distinct().collect()]
+    rows = cut_lineage(rows)
+    store.save(rows, "published", week, keep=broken)
+    store.save(problems, "problems", week)
 
     dropped = publish.drop_out_of_scope(added, applied)[1]
     metas = store.meta(span)

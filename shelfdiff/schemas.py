@@ -27,6 +27,8 @@ SNAPSHOT_MANIFEST = _fields(
     ("week", S), ("source_id", S), ("run", S), ("data_week", S), ("scraped_at", T.TimestampType()),
     ("count", L), ("held_from", S))
 
+PROBLEM = _fields(("week", S), ("source_id", S), ("problem", S), ("id", S), ("name", S), ("detail", S))
+
 CATEGORY_COUNT = _fields(("week", S), ("source_id", S), ("category_raw", S), ("n", L))
 
 LABELS = _fields(("new", B), ("best", B), ("limited", B), ("sold_out", B), ("badges", TAGS),

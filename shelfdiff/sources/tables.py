@@ -21,12 +21,12 @@ PARTITION = ["week", "source_id"]
 
 
 def write_table(df: DataFrame, path: str, by: list[str] | None = None, week: str | None = None,
-                sources: list[str] | None = None) -> None:
+                sources: list[str] | None = None, keep: list[str] | None = None) -> None:
     """Replace the partitions that ``df`` carries and leave the others alone.
 
     A step that is responsible for a whole ``week``, or for some ``sources`` of it, says so: their
     partitions that got no rows this time are dropped after the write, so a second run with fewer
-    rows leaves what it found and nothing older.
+    rows leaves what it found and nothing older. Sources in ``keep`` are left as they were.
 
     The rebalance hint lets AQE split a source with a third of all rows over many writers and
     merge the small sources, so file sizes stay even on both ends.
@@ -38,7 +38,8 @@ def write_table(df: DataFrame, path: str, by: list[str] | None = None, week: str
      .hint("rebalance", *by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
     if week is not None:
-        drop_partitions(df.sparkSession, path, week, sources, _partitions(written, df), by)
+        kept = {f"{week}/{source}" for source in keep or ()}
+        drop_partitions(df.sparkSession, path, week, sources, _partitions(written, df) | kept, by)
 
 
 def _partitions(written: Observation, df: DataFrame) -> set[str]:
@@ -96,18 +97,34 @@ def write_raw(responses: DataFrame, path: str) -> None:
     write_table(responses.select("week", "source_id", "request_id", "ext", "body"), path)
 
 
-def expired_raw(responses: DataFrame, today: Column,
-                days: int = fixed.RAW_RETENTION_DAYS) -> DataFrame:
-    """Archive partitions older than ``days``; reads partition columns only."""
-    old = W.monday_of(F.col("week")) < F.date_sub(today, days)
-    return responses.select("week", "source_id").distinct().filter(old)
+def partitions_of(spark: SparkSession, path: str) -> DataFrame:
+    """The (week, source_id) folders of a table, from their names: no file is opened.
 
-
-def retain_raw(responses: DataFrame, today: Column,
-               days: int = fixed.RAW_RETENTION_DAYS) -> DataFrame:
-    """The archive without its expired partitions."""
-    return responses.filter(~F.coalesce(
-        W.monday_of(F.col("week")) < F.date_sub(today, days), F.lit(False)))
+    They are as many as weeks times sources, and pass the driver; a table that was never written has none.
+    """
+    jvm = spark._jvm
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    place = jvm.org.apache.hadoop.fs.Path(f"{path}/week=*/source_id=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    rows = [(unescape(f.getPath().getParent().getName().removeprefix("week=")),
+             unescape(f.getPath().getName().removeprefix("source_id="))) for f in found]
+    return spark.createDataFrame(rows, "week string, source_id string")
+
+
+def expired_raw(partitions: DataFrame, today: Column, days: int = fixed.RAW_RETENTION_DAYS) -> DataFrame:
+    """Archive partitions older than ``days``; a name that is no week never expires."""
+    return partitions.filter(W.monday_of(F.col("week")) < F.date_sub(today, days))
+
+
+def retain_raw(spark: SparkSession, path: str, today: Column, days: int = fixed.RAW_RETENTION_DAYS) -> DataFrame:
+    """Delete the archive's expired partitions; returns which they were, (week, source_id)."""
+    gone = expired_raw(partitions_of(spark, path), today, days).collect()
+    by_week: dict[str, set[str]] = {}
+    for row in gone:
+        by_week.setdefault(row.week, set()).add(row.source_id)
+    for week, sources in by_week.items():
+        drop_partitions(spark, path, week, sorted(sources))
+    return spark.createDataFrame([tuple(r) for r in gone], "week string, source_id string")
 
 
 def snapshot_meta(items: DataFrame) -> DataFrame:

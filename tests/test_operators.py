@@ -264,8 +264,18 @@ def test_log_blocks_of_every_kind(spark):
     assert convlog.user_turns(blocks).first().user_turns == 1
     (row,) = convlog.render_transcript(blocks).collect()
     assert row.transcript.startswith("# 세션 1\n\n## 나\n\nhi\n\n> **생각**\n> \n> a\n> b\n\n```\n▶ ls(")
-    parts = convlog.render_transcript(blocks, turns_per_part=1).orderBy("part").collect()
-    assert "\n".join(p.transcript for p in parts) == row.transcript
+
+
+def test_a_long_conversation_is_lines_in_files(spark, tmp_path):
+    df = spark.range(3000).select(F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+                                  F.concat(F.lit('"turn '), F.col("id").cast("string"), F.lit('"')).alias("content"))
+    other = df.filter("turn < 3").withColumn("conv_id", F.lit(8))
+    blocks = convlog.flatten_blocks(df.unionByName(other))
+    convlog.write_transcripts(blocks, str(tmp_path / "t"))
+    lines = [r.line for r in convlog.read_transcripts(spark, str(tmp_path / "t"), 7).orderBy("turn", "block").collect()]
+    whole = {r.conv_id: r.transcript for r in convlog.render_transcript(blocks).collect()}
+    assert len(lines) == 3000 and "\n".join(lines) == whole[7]
+    assert whole[7].startswith("# 세션 7\n\n## 나\n\nturn 0\n\n## 나") and whole[7].count("# 세션") == 1
 
 
 def test_every_response_is_a_row_or_rejected(spark):
@@ -288,10 +298,6 @@ def test_json_lines_do_not_depend_on_the_columns_read(spark, tmp_path):
     assert [(r.event_type, r.n) for r in rows.collect()] == [("a", 1), ("5", None), (None, 2)]
 
 
-def test_merge_of_no_parts():
-    assert publish.merge([]) is None
-
-
 def test_a_doubled_detail_does_not_double_the_item(spark):
     added = spark.createDataFrame([("cu", "W", "1", "n", None, [])],
                                   "source_id string, week string, external_id string, name string, description string, "

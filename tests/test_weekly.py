@@ -138,3 +138,50 @@ def test_a_rerun_leaves_no_older_rows(spark, tmp_path):
         (counts,) = store.counts("2026-W36").collect()
         assert (counts.added, counts.current) == (len(want), 4 + len(want))
         assert store.items(["2026-W36"]).count() == 4 + len(want)
+
+
+def test_a_broken_source_holds_up_nobody(spark, tmp_path):
+    """Of four sources one lacks a field and one is not registered: two are published, and a mended rerun is whole."""
+    store, dim = weekly.Store(spark, str(tmp_path / "store")), registry.source_dim(spark)
+    sources = ("cu", "orion", "crown", "nowhere")
+    categories = spark.createDataFrame([(s, "60", "음료", 0, None) for s in sources], schemas.CATEGORY_DIM)
+    base = [(s, "1", f"{s} one", 100, None) for s in sources]
+    weekly.take_snapshots(store, "2026-W35", items(spark, "2026-W35", base), categories)
+    details = spark.createDataFrame([], "source_id string, week string, external_id string, name string, "
+                                        "description string, tags array<string>")
+
+    def published(mark):
+        fresh = [(s, "2", f"{s} two", 100, "sweet") for s in sources]
+        week = items(spark, "2026-W36", base + fresh).withColumn("source_url", F.when(
+            (F.col("source_id") != "orion") | (F.col("external_id") == "1") | F.lit(mark), F.col("source_url")))
+        weekly.take_snapshots(store, "2026-W36", week, categories, refresh=True)
+        weekly.diff_week(store, "2026-W36")
+        weekly.enrich_week(store, "2026-W36", details, dim)
+        rows, _report = weekly.publish_week(store, "2026-W36", None, dim)
+        return (sorted(r.id for r in rows.collect()),
+                sorted((r.source_id, r.problem) for r in store.problems("2026-W36").collect()))
+    lacking = [("nowhere", "unknown_source"), ("orion", "missing_field")]
+    assert published(False) == (["crown--2", "cu--2"], lacking)
+    assert published(True) == (["crown--2", "cu--2", "orion--2"], lacking[:1])
+    # what stands is kept while its source is broken again
+    assert published(False) == (["crown--2", "cu--2", "orion--2"], lacking)
+
+
+def test_channels_without_a_list_are_not_sent_to_an_editor(spark):
+    from shelfdiff.operators import curate
+    added = items(spark, "2026-W36", [("cu", "1", "a", 1, None), ("orion", "2", "b", 1, None), ("nowhere", "3", "c", 1, None)])
+    taxonomy = registry.taxonomy_dim(spark).filter("channel <> 'fmcg'")
+    assert [r.source_id for r in curate.editable(added, registry.source_dim(spark), taxonomy).collect()] == ["cu"]
+
+
+def test_expired_archive_is_dropped_by_folder(spark, tmp_path):
+    from shelfdiff.sources import tables
+    path, today = str(tmp_path / "raw"), F.lit("2026-09-01").cast("date")
+    assert tables.retain_raw(spark, path, today).count() == 0
+    rows = [(w, s, "1", "json", "{}") for w in ("2026-W01", "2026-W02", "2026-W20", "2026-W36") for s in ("cu", "a/b")]
+    tables.write_raw(spark.createDataFrame(rows, schemas.RAW_RESPONSE), path)
+    gone = {tuple(r) for r in tables.retain_raw(spark, path, today).collect()}
+    assert gone == {(w, s) for w, s, *_ in rows if w in ("2026-W01", "2026-W02", "2026-W20")}
+    left = tables.read_table(spark, path, schemas.RAW_RESPONSE)
+    assert {(r.week, r.source_id) for r in left.collect()} == {("2026-W36", "cu"), ("2026-W36", "a/b")}
+    assert tables.retain_raw(spark, path, today).count() == 0
