@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,11 @@ SMALL = 64
 #: Fixed value: where the byte-level tokenizer splits texts.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Bytes in a row without a change of kind (letters, digits, marks, white space) that the fast encoder is given at
+#: most; its pattern matcher runs out of stack on longer ones.
+LONGEST_RUN = 1 << 16
+_LONG_RUN = re.compile(r"\s{%d}|[^\W\d_]{%d}|\d{%d}|[^\w\s]{%d}" % ((LONGEST_RUN,) * 4))
+
 _END = np.zeros(1, "<u4").tobytes()
 
 
@@ -28,7 +34,8 @@ class Encoder:
 
     Gives the ids of the ``tokenizers`` library without special tokens added. The vocabulary and merges are read from
     the same file, but encoded by ``tiktoken``, which is four times as fast; texts that spell one of the tokenizer's
-    added tokens go through ``tokenizers`` itself.
+    added tokens, or have more than ``LONGEST_RUN`` letters, digits, marks or blanks in a row, go through
+    ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -44,7 +51,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("from_file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if any(a in text for a in self.added):
+        if any(a in text for a in self.added) or (len(text) >= LONGEST_RUN and _LONG_RUN.search(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
 

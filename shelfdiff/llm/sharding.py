@@ -37,11 +37,12 @@ def jump_buckets(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def jump_shard(key: Column, shards: int) -> Column:
-    """The shard of a 64-bit key column; a null key goes where key 0 goes."""
+    """The shard of a 64-bit key column; a null key goes where key 0 goes, and other keys do not notice it."""
     @F.pandas_udf("int")
     def shard(values: pd.Series) -> pd.Series:
-        return pd.Series(jump_buckets(values.fillna(0).to_numpy(np.int64).view(np.uint64), shards))
-    return shard(key)
+        return pd.Series(jump_buckets(values.to_numpy(np.int64).view(np.uint64), shards))
+    # nulls are filled before pandas sees them: there they would turn all keys of a batch into floating numbers
+    return shard(F.coalesce(key.cast("bigint"), F.lit(0).cast("bigint")))
 
 
 def stable_key(*columns: str) -> Column:
@@ -55,16 +56,18 @@ def assign_shards(df: DataFrame, key: list[str], shards: int) -> DataFrame:
     ``shard`` depends on the key columns and ``shards`` only, ``grown_shard`` is the shard with one shard more.
     ``slot`` numbers the rows of a shard from 0 without gaps, by ranges of a hash of the row, so a shard is never
     numbered by one task. Rows with equal keys go to one shard and get slots of their own; nulls are values like
-    others; an empty table stays empty. Pass narrow rows: ``df`` is shuffled once.
+    others; an empty table stays empty. Other columns are carried whole, whatever their names. Pass narrow rows:
+    ``df`` is shuffled once.
     """
     df = df.drop("shard", "slot", "grown_shard")
-    hashed = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
-    placed = (df.withColumn("_key", stable_key(*key))
-              .withColumn("shard", jump_shard(F.col("_key"), shards))
-              .withColumn("grown_shard", jump_shard(F.col("_key"), shards + 1))
-              .withColumn("_spread", F.xxhash64("_key", *hashed)))
-    return (running_total(placed, ["shard"], "_spread", before="slot", total="_total")
-            .drop("_key", "_spread", "_total"))
+    columns = df.columns
+    hashed = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), stable_key(*key).alias("key"),
+                      F.xxhash64(stable_key(*key), *hashed).alias("spread"))
+    placed = keyed.select("row", "spread", jump_shard(F.col("key"), shards).alias("shard"),
+                          jump_shard(F.col("key"), shards + 1).alias("grown_shard"))
+    slots = running_total(placed, ["shard"], "spread", before="slot", total="total")
+    return slots.select(*[F.col("row").getField(c).alias(c) for c in columns], "shard", "slot", "grown_shard")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

@@ -253,3 +253,30 @@ def test_hashed_sample_takes_the_lowest_hashes_of_each_value(spark):
         assert sorted((r.h % 2 ** 64) >> 1 for r in got if r.g == g) == want
     assert {r.g for r in got} == {"rare", "hot"}
     assert parts.hashed_sample(df.limit(0), "g", "h", 100).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "w" * 2_000_000, "a" + "\t \n" * 700_000 + "b",
+                                  "!" * 300_000 + "7" * 300_000])
+def test_long_runs_are_encoded_without_a_crash(text):
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_path()
+    ids = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.Encoder(path).encode(text) == ids
+
+
+def test_a_null_key_leaves_the_others_alone(spark):
+    keys = [(k * 7919 ** 4 + 12345678901234567 * k % (1 << 62),) for k in range(1000)]
+    def shards(rows):
+        df = spark.createDataFrame(rows, "k bigint").coalesce(1)
+        return {r.k: r.s for r in df.select("k", sharding.jump_shard(F.col("k"), 24).alias("s")).collect()}
+    alone, beside = shards(keys), shards([(None,), *keys])
+    assert beside.pop(None) == shards([(0,)])[0] and alone == beside
+
+
+def test_columns_with_the_names_used_inside_are_kept(spark):
+    names = ["_key", "_value", "_range", "_spread", "_total", "key", "row", "spread", "total", "before", "a.b"]
+    rows = [tuple([i, *[f"{n}{i}" for n in names]]) for i in range(20)]
+    df = spark.createDataFrame(rows, ["doc_id", *names])
+    out = sharding.assign_shards(df, ["doc_id"], 4)
+    assert out.columns == ["doc_id", *names, "shard", "slot", "grown_shard"]
+    assert sorted(tuple(r)[:len(names) + 1] for r in out.collect()) == rows
