@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfdiff.session import cut_lineage
+
 #: Words are runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -12,6 +14,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 RANGES = 4096
 
 
+#: Different values whose counts ``hashed_sample`` broadcasts.
+MOST_VALUES = 10_000
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -53,11 +59,14 @@ def hashed_sample(df: DataFrame, by: str, spread: str, size: int) -> DataFrame:
     """At most ``size`` rows of each ``by``, those with the lowest ``spread``, a uniform 64-bit hash.
 
     Rows are counted first, and only those whose hash lies in the part of its range where four times ``size`` are
-    to be expected are ranked, so a value with a third of all rows ranks no more rows than a rare one. Pass narrow
-    rows. Rows with a null ``by`` are left out.
+    to be expected are ranked, so a value with a third of all rows ranks no more rows than a rare one. The counts, a
+    row a value, are broadcast if there are at most ``MOST_VALUES``; no row is then shuffled before it is chosen.
+    Pass narrow rows. Rows with a null ``by`` are left out.
     """
     rows = df.filter(F.col(by).isNotNull())
-    counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n")))
+    if counts.count() <= MOST_VALUES:
+        counts = F.broadcast(counts)
     share = F.shiftrightunsigned(F.col(spread), 11) / F.lit(float(1 << 53))
     few = (rows.join(counts, F.col(by) == F.col("_by")).filter(share * F.col("_n") <= 4 * size))
     order = Window.partitionBy(by).orderBy(F.shiftrightunsigned(F.col(spread), 1), spread)

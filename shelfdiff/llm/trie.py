@@ -15,7 +15,7 @@ from shelfdiff.llm.parts import word_count
 from shelfdiff.session import cut_lineage
 
 #: Sequences of a container before it bursts, and rounds of bursting; conversations of a chunk of ids.
-CONTAINER = 512
+CONTAINER = 64
 ROUNDS = 12
 CHUNK_IDS = 4096
 
