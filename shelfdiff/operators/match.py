@@ -8,9 +8,11 @@ Its result is unique and does not depend on the order of proposals, so it is com
 * pairs that see only each other on every shared key are final after two aggregations;
 * the contested rest of a source-week is settled in list order by one task, as long as its
   counted size is small;
-* in source-weeks with more contested rows than that, rows propose in rounds, a whole key pool
-  at a time, until nobody is left to propose. Should long chains of displaced rows remain after
-  a number of rounds, the rows behind the first of them are settled block by block.
+* in source-weeks with more contested rows than that, the connected components of rows and key
+  pools are settled so, many small ones to a task;
+* in a single component with more rows than a task may hold, rows propose in rounds, a whole key
+  pool at a time, until nobody is left to propose. Should long chains of displaced rows remain
+  after a number of rounds, the rows behind the first of them are settled block by block.
 
 No pool is ever expanded to its pairs, and no unbounded group has to fit one task.
 """
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
 from shelfdiff.functions.text import normalize_name
+from shelfdiff.operators.components import connected_components
 from shelfdiff.operators.ordering import number_in_group
 from shelfdiff.session import cut_lineage
 
@@ -32,6 +35,7 @@ PAIR = ["source_id", "week"]
 POOL = [*PAIR, "key", "value"]
 NAME_PRICE = "name_price"
 SERIAL_LIMIT = 200_000
+PACKS = 64
 MAX_ROUNDS = 40
 _FREE = (1 << 63) - 1
 
@@ -79,8 +83,8 @@ def layered_match(prev: DataFrame, cur: DataFrame,
     """``(source_id, week, cur_pos, prev_pos, matched_by)``, one row per matched pair.
 
     Both sides carry the current week in ``week``. Runs jobs: one for the pairs that are final
-    at once, and more only when rows are contested. ``serial_limit`` bounds the key rows of a
-    source-week that one task settles, and the rows of a block where rounds do not suffice.
+    at once, and more only when rows are contested. ``serial_limit`` bounds the key rows that one
+    task settles, and the rows of a block where rounds do not suffice.
     """
     cur_keys = match_keys(cur, cross, name_price=True)
     prev_keys = match_keys(prev, cross, name_price=True)
@@ -127,15 +131,13 @@ def layered_match(prev: DataFrame, cur: DataFrame,
     wanted = cut_lineage(wanted.join(offered.select(*POOL).distinct(), POOL, "left_semi")
                          .select(*POOL, "rank", F.col("pos").alias("cur_pos")))
 
-    sizes = (wanted.select(*PAIR).unionByName(offered.select(*PAIR)).groupBy(*PAIR)
-             .agg(F.count(F.lit(1)).alias("n")))
-    large = sizes.filter(F.col("n") > serial_limit).select(*PAIR)
-    contested_pairs = _settle_in_order(wanted.join(large, PAIR, "left_anti"),
-                                       offered.join(large, PAIR, "left_anti"))
-    if not large.isEmpty():
-        contested_pairs = contested_pairs.unionByName(_settle_in_rounds(
-            wanted.join(large, PAIR, "left_semi"), offered.join(large, PAIR, "left_semi"),
-            max_rounds, max(serial_limit, 1)))
+    sizes = cut_lineage(wanted.select(*PAIR).unionByName(offered.select(*PAIR)).groupBy(*PAIR)
+                        .agg(F.count(F.lit(1)).alias("n")))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    if (largest or 0) <= serial_limit:
+        contested_pairs = _settle_in_order(wanted, offered, F.xxhash64(*PAIR), total, serial_limit)
+    else:
+        contested_pairs = _settle_components(wanted, offered, total, max(serial_limit, 1), max_rounds)
     return settled.unionByName(cut_lineage(contested_pairs))
 
 
@@ -153,32 +155,59 @@ def _unsettle(judged: DataFrame, in_crowd: DataFrame) -> DataFrame:
 
 
 def _serve(wanted: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-    """The contested rows of one source-week, in list order."""
+    """The contested rows of some components, each source-week in list order."""
     stock = {}
     offers = offered.sort_values("prev_pos", ascending=False)
-    for p, key, value in zip(offers["prev_pos"], offers["key"], offers["value"]):
-        stock.setdefault((key, value), []).append(p)
+    for *pool, p in zip(*[offers[c] for c in (*POOL, "prev_pos")]):
+        stock.setdefault(tuple(pool), []).append(p)
     gone, served, out = set(), set(), []
     calls = wanted.sort_values(["cur_pos", "rank"])
-    for c, key, value in zip(calls["cur_pos"], calls["key"], calls["value"]):
-        seats = stock.get((key, value), [])
-        while seats and seats[-1] in gone:
+    for source, week, key, value, c in zip(*[calls[c] for c in (*POOL, "cur_pos")]):
+        seats = stock.get((source, week, key, value), [])
+        while seats and (source, week, seats[-1]) in gone:
             seats.pop()
-        if seats and c not in served:
-            served.add(c)
-            gone.add(seats[-1])
-            out.append((c, seats.pop(), key))
-    pairs = pd.DataFrame(out, columns=["cur_pos", "prev_pos", "matched_by"])
-    for column in PAIR:
-        pairs[column] = wanted[column].iloc[0] if len(wanted) else None
-    return pairs[[*PAIR, "cur_pos", "prev_pos", "matched_by"]]
+        if seats and (source, week, c) not in served:
+            served.add((source, week, c))
+            gone.add((source, week, seats[-1]))
+            out.append((source, week, c, seats.pop(), key))
+    return pd.DataFrame(out, columns=[*PAIR, "cur_pos", "prev_pos", "matched_by"])
 
 
-def _settle_in_order(wanted: DataFrame, offered: DataFrame) -> DataFrame:
-    """Source-weeks whose contested rows are few enough for one task each."""
-    return (wanted.groupBy(*PAIR).cogroup(offered.groupBy(*PAIR)).applyInPandas(
-        _serve, "source_id string, week string, cur_pos bigint, prev_pos bigint, "
-                "matched_by string"))
+def _settle_in_order(wanted: DataFrame, offered: DataFrame, key: Column, total: int, limit: int) -> DataFrame:
+    """What belongs together by ``key`` is settled by one task, with as much else as fits about ``limit`` key rows."""
+    packs = max(PACKS, -(-4 * (total or 0) // max(limit, 1)))
+    pack = F.pmod(key, F.lit(packs))
+    wanted = wanted.select(*POOL, "rank", "cur_pos", pack.alias("_pack"))
+    offered = offered.select(*POOL, "prev_pos", pack.alias("_pack"))
+    return (wanted.groupBy("_pack").cogroup(offered.groupBy("_pack"))
+            .applyInPandas(_serve, "source_id string, week string, cur_pos bigint, prev_pos bigint, matched_by string"))
+
+
+def _settle_components(wanted: DataFrame, offered: DataFrame, total: int, limit: int, max_rounds: int) -> DataFrame:
+    """Source-weeks of any size by the connected components of rows and key pools.
+
+    Rows that share no key with each other, not even through others, cannot take anything from each other. Pools are
+    nodes themselves, so a pool of n rows has n links and not n squared. Components of at most ``limit`` key rows are
+    packed into tasks; only a component beyond that goes in rounds.
+    """
+    pool = F.xxhash64(*POOL)
+    links = (wanted.select(pool.alias("a"), F.xxhash64(*PAIR, F.lit("cur"), "cur_pos").alias("b"))
+             .unionByName(offered.select(pool.alias("a"), F.xxhash64(*PAIR, F.lit("prev"), "prev_pos").alias("b"))))
+    roots = cut_lineage(connected_components(links))
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        return cut_lineage(rows.withColumn("node", pool).join(roots, "node").drop("node"))
+    wanted, offered = rooted(wanted), rooted(offered)
+    sizes = wanted.select("root").unionByName(offered.select("root")).groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    giant = cut_lineage(sizes.filter(F.col("n") > limit).select(F.col("root").alias("_giant")))
+    in_giant = F.col("root") == F.col("_giant")
+    pairs = _settle_in_order(wanted.join(giant, in_giant, "left_anti"), offered.join(giant, in_giant, "left_anti"),
+                             F.col("root"), total, limit)
+    if giant.isEmpty():
+        return pairs
+    return pairs.unionByName(_settle_in_rounds(
+        wanted.join(giant, in_giant, "left_semi").drop("root"), offered.join(giant, in_giant, "left_semi").drop("root"),
+        max_rounds, limit))
 
 
 def _settle_in_rounds(wanted: DataFrame, offered: DataFrame, max_rounds: int,
@@ -213,7 +242,7 @@ def _finish_in_blocks(wanted: DataFrame, offered: DataFrame, held: DataFrame,
         open_seats = (offered.join(calls.select(*POOL).distinct(), POOL, "left_semi")
                       .join(final.select(*PAIR, "prev_pos"), [*PAIR, "prev_pos"], "left_anti"))
         near = number_in_group(open_seats, POOL, "prev_pos").filter(F.col("rn") <= block)
-        served = cut_lineage(_settle_in_order(calls, near.drop("rn")))
+        served = cut_lineage(_settle_in_order(calls, near.drop("rn"), F.xxhash64(*PAIR), 0, block))
         final = final.unionByName(served.select(*PAIR, "prev_pos", "cur_pos"))
     return final
 

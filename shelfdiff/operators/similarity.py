@@ -5,13 +5,16 @@ These are never merged or split by themselves; they go to review.
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
 from shelfdiff.functions import text
+from shelfdiff.operators.components import connected_components
 from shelfdiff.operators.ordering import number_in_group
 from shelfdiff.session import cut_lineage
 
@@ -154,19 +157,120 @@ def candidates(left_cur: DataFrame, left_prev: DataFrame,
         same.withColumn("similarity", F.lit(1.0)).select(*columns))
 
 
+_TASK_ROWS = 200_000
+_PACKS = 64
+_REVIEW = "source_id string, week string, cur_pos bigint, prev_pos bigint, similarity double"
+
+
 def review(left_cur: DataFrame, left_prev: DataFrame, threshold: float = fixed.SIMILARITY_THRESHOLD,
-           limit: int | None = None) -> DataFrame:
+           limit: int | None = None, task_rows: int = _TASK_ROWS) -> DataFrame:
     """One-to-one pairs of leftovers, best ratio first, ties in list order.
 
-    Rows that share category and name stand in a queue: whoever pairs with the name takes its
-    first free row. Equal names have the highest ratio there is, so their queues are paired off
-    first, the k-th with the k-th. Then rounds over pairs of names: the pair that comes first for
-    both its names, by ratio and then by the first free rows, is taken; if neither name has another
-    partner of that ratio, the shorter queue is used up at once, else one row. This is the result
-    of going through all pairs of rows in order, without a task that holds a source-week.
+    Rows that share category and name stand in a queue: whoever pairs with the name takes its first free row. Only
+    names with a close or equal name on the other side have a say. Categories of a source-week never touch each
+    other, so their rows and pairs of names are dealt to tasks by category; a category with more than ``task_rows`` of
+    them is dealt by connected components of its pairs of names, and a single component beyond that goes in rounds.
+    All ways give the result of going through all pairs of rows in order.
     """
-    pool = [*PAIR, "cat", "name"]
+    group = [*PAIR, "cat"]
+    pool = [*group, "name"]
     cur, prev = _leftovers(left_cur, left_prev, limit)
+    close = name_pairs(cur, prev, threshold).select(*group, "cur_name", "prev_name", "similarity")
+    equal = (cur.select(*pool).distinct().join(prev.select(*pool).distinct(), pool)
+             .select(*group, F.col("name").alias("cur_name"), F.col("name").alias("prev_name"),
+                     F.lit(1.0).alias("similarity")))
+    edges = cut_lineage(close.unionByName(equal))
+
+    def rows_of(side: DataFrame, mark: str) -> DataFrame:
+        named = edges.select(*group, F.col(f"{mark}_name").alias("name")).distinct()
+        return side.join(named, pool, "left_semi").select(*pool, "pos", F.lit(mark).alias("side"))
+    rows = cut_lineage(rows_of(cur, "cur").unionByName(rows_of(prev, "prev")))
+    none = F.lit(None)
+    parts = rows.select(*group, "side", "name", none.cast("string").alias("other"), "pos",
+                        none.cast("double").alias("similarity")).unionByName(
+        edges.select(*group, F.lit("pair").alias("side"), F.col("cur_name").alias("name"),
+                     F.col("prev_name").alias("other"), F.lit(0).cast("bigint").alias("pos"), "similarity"))
+    sizes = cut_lineage(parts.groupBy(*group).agg(F.count(F.lit(1)).alias("n")))
+    total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    key = F.xxhash64(*group)
+    if largest <= task_rows:
+        return _rounded(_in_packs(parts, key, total, task_rows))
+
+    large = sizes.filter(F.col("n") > task_rows).select(*group)
+    out = [_in_packs(parts.join(large, group, "left_anti"), key, total, task_rows)]
+
+    def node(side: str, name: str) -> Column:
+        return F.xxhash64(*group, F.lit(side), F.col(name))
+    inside = edges.join(large, group, "left_semi")
+    roots = cut_lineage(connected_components(inside.select(node("cur", "cur_name").alias("a"),
+                                                           node("prev", "prev_name").alias("b"))))
+    # a pair belongs to the component of its current name
+    rooted = (parts.join(large, group, "left_semi")
+              .withColumn("node", F.when(F.col("side") == "prev", node("prev", "name")).otherwise(node("cur", "name")))
+              .join(roots, "node").drop("node"))
+    rooted = cut_lineage(rooted)
+    huge = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > task_rows)
+    huge = cut_lineage(huge.select(F.col("root").alias("_huge")))
+    in_huge = F.col("root") == F.col("_huge")
+    out.append(_in_packs(rooted.join(huge, in_huge, "left_anti"), F.col("root"), total, task_rows))
+    if not huge.isEmpty():
+        rest = cut_lineage(rooted.join(huge, in_huge, "left_semi"))
+        sides = [rest.filter(F.col("side") == m).select(*pool, "pos") for m in ("cur", "prev")]
+        pairs = rest.filter("side = 'pair' AND name <> other").select(
+            *group, F.col("name").alias("cur_name"), F.col("other").alias("prev_name"), "similarity")
+        out.append(_review_in_rounds(*sides, pairs))
+    return _rounded(reduce(DataFrame.unionByName, out))
+
+
+def _rounded(pairs: DataFrame) -> DataFrame:
+    return pairs.select(*PAIR, "cur_pos", "prev_pos", F.bround("similarity", 4).alias("similarity"))
+
+
+def _in_packs(parts: DataFrame, key: Column, total: int, task_rows: int) -> DataFrame:
+    """What belongs together by ``key`` goes to one task, with as much else as fits about ``task_rows`` rows."""
+    packs = max(_PACKS, -(-4 * total // task_rows))
+    return (parts.withColumn("_pack", F.pmod(key, F.lit(packs))).groupBy("_pack")
+            .applyInPandas(_pair_queues, _REVIEW))
+
+
+def _pair_queues(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Best pair of names first, the first free row of either: a heap of pairs whose keys only grow.
+
+    A pair whose rows were taken meanwhile is put back with the rows that are first now.
+    """
+    pool = list(zip(pdf["source_id"], pdf["week"], pdf["cat"], pdf["name"]))
+    queues: dict = {"cur": {}, "prev": {}}
+    pairs = []
+    for key, side, other, pos, ratio in zip(pool, pdf["side"], pdf["other"], pdf["pos"], pdf["similarity"]):
+        if side == "pair":
+            pairs.append((key, (*key[:3], other), ratio))
+        else:
+            queues[side].setdefault(key, []).append(int(pos))
+    for queue in (*queues["cur"].values(), *queues["prev"].values()):
+        queue.sort(reverse=True)
+    heap = [(-ratio, queues["cur"][a][-1], queues["prev"][b][-1], a, b) for a, b, ratio in pairs]
+    heapq.heapify(heap)
+    out = []
+    while heap:
+        ratio, i, j, a, b = heapq.heappop(heap)
+        mine, yours = queues["cur"][a], queues["prev"][b]
+        if not mine or not yours:
+            continue
+        if (mine[-1], yours[-1]) == (i, j):
+            out.append((a[0], a[1], mine.pop(), yours.pop(), -ratio))
+        if mine and yours:
+            heapq.heappush(heap, (ratio, mine[-1], yours[-1], a, b))
+    return pd.DataFrame(out, columns=["source_id", "week", "cur_pos", "prev_pos", "similarity"])
+
+
+def _review_in_rounds(cur: DataFrame, prev: DataFrame, close: DataFrame) -> DataFrame:
+    """``review`` for components of any size, in rounds over pairs of names.
+
+    Equal names have the highest ratio there is, so their queues are paired off first, the k-th with the k-th. Then
+    the pair that comes first for both its names, by ratio and then by the first free rows, is taken; if neither name
+    has another partner of that ratio, the shorter queue is used up at once, else one row.
+    """
+    pool = [*PAIR, "cat", "name"]
     cur, prev = (cut_lineage(number_in_group(side, pool)) for side in (cur, prev))
 
     def sizes(side: DataFrame, mark: str) -> DataFrame:
@@ -189,7 +293,7 @@ def review(left_cur: DataFrame, left_prev: DataFrame, threshold: float = fixed.S
         return named(queues.filter(f"{mark}_n > done").select(
             *pool, F.col(f"{mark}_n").cast("bigint").alias(f"{mark}_n"),
             F.col("done").cast("bigint").alias(f"{mark}_done")), mark)
-    edges = cut_lineage(name_pairs(cur, prev, threshold)
+    edges = cut_lineage(close
                         .join(state("cur"), [*PAIR, "cat", "cur_name"])
                         .join(state("prev"), [*PAIR, "cat", "prev_name"]))
     heads = {mark: named(side.select(*pool, (F.col("rn") - 1).alias(f"{mark}_done"),
@@ -225,4 +329,4 @@ def review(left_cur: DataFrame, left_prev: DataFrame, threshold: float = fixed.S
             .withColumn("prev_rn", F.col("rn") - F.col("cur_done") + F.col("prev_done")).drop("rn"))
     rows = rows.join(named(prev, "prev").withColumnRenamed("pos", "prev_pos")
                      .withColumnRenamed("rn", "prev_rn"), [*PAIR, "cat", "prev_name", "prev_rn"])
-    return rows.select(*PAIR, "cur_pos", "prev_pos", F.bround("similarity", 4).alias("similarity"))
+    return rows.select(*PAIR, "cur_pos", "prev_pos", "similarity")
