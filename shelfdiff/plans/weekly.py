@@ -7,6 +7,7 @@ can stop after any of them and be taken up again; writing a partition twice leav
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from shelfdiff import fixed_values as fixed
 from shelfdiff import schemas
 from shelfdiff.functions import weeks as W
 from shelfdiff.operators import curate, diff, enrich, gate, publish, report
-from shelfdiff.session import cut_lineage
+from shelfdiff.session import cut_lineage, scratch_scope
 from shelfdiff.sources import registry, snapshots, tables
 
 PAIR = ["source_id", "week"]
@@ -75,6 +76,16 @@ def _window_of(week: str, spark: SparkSession, n: int = fixed.MAX_LOOKBACK_WEEKS
     return list(row)
 
 
+def _in_scope(step):
+    """The step's checkpoints are gone when it is done; what it returns are stored tables and local rows."""
+    @wraps(step)
+    def run(store: Store, *args, **kwargs):
+        with scratch_scope(store.spark):
+            return step(store, *args, **kwargs)
+    return run
+
+
+@_in_scope
 def take_snapshots(store: Store, week: str, collected: DataFrame, category_dim: DataFrame,
                    attempted: DataFrame | None = None, refresh: bool = False) -> DataFrame:
     """Judge what was collected, store the good, hold the previous for the rest.
@@ -112,9 +123,10 @@ def take_snapshots(store: Store, week: str, collected: DataFrame, category_dim:
     passed = found.join(verdict.filter("ok"), PAIR, "left_semi")
     held = gate.hold_previous(verdict.filter("NOT ok"), stored, looked_back)
     snapshots.commit(passed.unionByName(held), root)
-    return verdict
+    return spark.createDataFrame([tuple(r) for r in verdict.collect()], verdict.schema)  # a row a source
 
 
+@_in_scope
 def diff_week(store: Store, week: str) -> None:
     """Compare the week's snapshots with their lookback snapshots and store the six results."""
     span = _window_of(week, store.spark)
@@ -151,6 +163,7 @@ def edit_requests(store: Store, week: str, dim: DataFrame | None = None) -> tupl
                                   store.enriched(week))
 
 
+@_in_scope
 def publish_week(store: Store, week: str, responses: DataFrame | None,
                  dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Publish the week and store its report: ``(publication, week report)``.

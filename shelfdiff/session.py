@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,32 @@ def _shared_root(spark: SparkSession) -> str:
     return root
 
 
+#: Folders of the open scopes of this driver, the innermost last.
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Checkpoints and scratch tables made inside are deleted at the end, whether it went well or not.
+
+    Put it around a step that writes its result to a table of its own: data frames from inside that are not yet
+    written have nothing to read from afterwards. Scopes may be nested.
+    """
+    sc = spark.sparkContext
+    folder = f"{_shared_root(spark).rstrip('/')}/scope-{uuid.uuid4().hex}"
+    before = sc.getCheckpointDir()
+    sc.setCheckpointDir(folder)
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        # Spark hands back the folder it made for itself inside the one that was set
+        sc.setCheckpointDir(before.rsplit("/", 1)[0] if before else _shared_root(spark))
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so a lost executor costs a re-read and not a re-run."""
     sc = df.sparkSession.sparkContext
@@ -53,4 +81,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a table written and read back."""
-    return f"{_shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = _SCOPES[-1] if _SCOPES else _shared_root(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

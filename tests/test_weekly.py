@@ -185,3 +185,22 @@ def test_expired_archive_is_dropped_by_folder(spark, tmp_path):
     left = tables.read_table(spark, path, schemas.RAW_RESPONSE)
     assert {(r.week, r.source_id) for r in left.collect()} == {("2026-W36", "cu"), ("2026-W36", "a/b")}
     assert tables.retain_raw(spark, path, today).count() == 0
+
+
+def test_steps_leave_no_scratch_behind(spark, tmp_path, monkeypatch):
+    from shelfdiff import session
+    root = tmp_path / "shared"
+    root.mkdir()
+    monkeypatch.setattr(session, "_shared_root", lambda _spark: str(root))
+    store = weekly.Store(spark, str(tmp_path / "store"))
+    categories = spark.createDataFrame([("cu", "60", "음료", 0, None)], schemas.CATEGORY_DIM)
+    for week, n in (("2026-W35", 3), ("2026-W36", 4)):
+        rows = [("cu", str(k), f"name {k}", 100, None) for k in range(n)]
+        assert weekly.take_snapshots(store, week, items(spark, week, rows), categories).first().ok
+    weekly.diff_week(store, "2026-W36")
+    assert list(root.iterdir()) == []
+    assert store.counts("2026-W36").first().added == 1
+    with pytest.raises(ValueError), session.scratch_scope(spark):
+        spark.range(3).write.parquet(session.scratch_path(spark, "t"))
+        raise ValueError
+    assert list(root.iterdir()) == []
