@@ -86,7 +86,8 @@ def plan_mix(sources: list[Source], block: int = BLOCK_WORDS, shards: int = SHAR
     """One row a source: its target, whole passes over its blocks, blocks drawn once more, quotas per shard.
 
     A seat is worth ``block`` words. A source's seats buy whole passes, and blocks for what is left of them. Its last
-    block holds the words that fill no block; a source shorter than a block is one.
+    block holds the words that fill no block; a source shorter than a block is one, and is passed over as often as its
+    target asks for, since a seat would be worth several of it.
     """
     wanted = targets(sources, most=most)
     seats_all = int(round(sum(wanted) / block))
@@ -95,7 +96,7 @@ def plan_mix(sources: list[Source], block: int = BLOCK_WORDS, shards: int = SHAR
     quotas = np.diff(seats, axis=0, prepend=np.zeros((1, len(sources)), np.int64))
     rows = []
     for i, s in enumerate(sources):
-        words = min(int(seats[-1, i]) * block, most * s.size)
+        words = min(int(seats[-1, i]) * block if s.size >= block else round(wanted[i]), most * s.size)
         n = max(1, s.size // block)
         whole, rest = divmod(words, s.size) if s.size else (0, 0)
         extra = min(n, int(rest / (block if n > 1 else max(1, s.size)) + 0.5))

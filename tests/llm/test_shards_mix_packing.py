@@ -280,3 +280,14 @@ def test_columns_with_the_names_used_inside_are_kept(spark):
     out = sharding.assign_shards(df, ["doc_id"], 4)
     assert out.columns == ["doc_id", *names, "shard", "slot", "grown_shard"]
     assert sorted(tuple(r)[:len(names) + 1] for r in out.collect()) == rows
+
+
+def test_sources_below_a_block_come_near_their_targets():
+    sources = [mixing.Source("big", 5000, 1.0), mixing.Source("five", 5, 2.0), mixing.Source("two", 2, 3.0),
+               mixing.Source("forty", 40, 1.0), mixing.Source("none", 0, 2.0)]
+    for (name, size, target, whole, extra, blocks, *_rest), source in zip(mixing.plan_mix(sources), sources):
+        if 0 < size < mixing.BLOCK_WORDS:
+            assert blocks == 1 and abs(size * (whole + extra) - target) <= size / 2
+            assert whole + extra <= mixing.MOST_COPIES
+    tiny = mixing.plan_mix(sources)[1]
+    assert tiny[2] == 15 and tiny[3] + tiny[4] == 3
