@@ -1,7 +1,8 @@
 """Time the headline queries: one JSON line on standard output.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data and cores;
-BENCH_PAIR_ROWS (default 1000000) sizes the extra match over a derived catalog pair.
+BENCH_PAIR_ROWS (default 1000000) sizes the extra matches over a derived catalog pair: one whose rows have keys of their
+own, and one of a single source in which three rows in ten share one name, so that their keys contest each other.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ HEADLINE = [
 ]
 
 
-def big_pair(spark, rows: int):
-    """Two snapshots of ``rows`` items: a few leave, arrive, or change all their keys."""
+def big_pair(spark, rows: int, hot: int = 0):
+    """Two snapshots of ``rows`` items: a few leave, arrive, or change all their keys; ``hot`` of them share a name."""
     base = spark.range(rows).select(
         F.lit("cu").alias("source_id"), F.lit("2026-W36").alias("week"), F.col("id").alias("pos"),
-        F.col("id").cast("string").alias("k"), F.md5(F.col("id").cast("string")).alias("name"),
-        (F.col("id") % 997).alias("price"))
+        F.col("id").cast("string").alias("k"),
+        F.when(F.col("id") < hot, "hot").otherwise(F.md5(F.col("id").cast("string"))).alias("name"),
+        F.when(F.col("id") >= hot, F.col("id") % 997).alias("price"))
 
     def side(mark):
         reissued = F.when((F.col("pos") % 50 == 7) & F.lit(mark == "n"), F.lit("r")).otherwise(F.lit(""))
@@ -62,11 +64,12 @@ def main() -> None:
     extra = {}
     rows = int(os.environ.get("BENCH_PAIR_ROWS", "1000000"))
     if rows and not sys.argv[1:]:
-        prev, cur = big_pair(spark, rows)
-        start = time.perf_counter()
-        pairs = match.layered_match(prev, cur).count()
-        extra = {"pair_match_sec": round(time.perf_counter() - start, 3), "pair_rows": rows,
-                 "pair_matched": pairs}
+        for name, hot in (("pair", 0), ("contested_pair", 3 * rows // 10)):
+            prev, cur = big_pair(spark, rows, hot)
+            start = time.perf_counter()
+            pairs = match.layered_match(prev, cur).count()
+            extra |= {f"{name}_match_sec": round(time.perf_counter() - start, 3), f"{name}_rows": rows,
+                      f"{name}_matched": pairs}
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir.rstrip("/")), **extra}))
 

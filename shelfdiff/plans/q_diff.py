@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfdiff.functions import weeks as W
 from shelfdiff.operators import curate, diff, enrich, match, similarity
 from shelfdiff.plans.catalog import PAIR_CTE, WEEKLY_CTE, cur_items, prev_items, query, weekly_items
-from shelfdiff.session import scratch_path
+from shelfdiff.session import cut_lineage, scratch_path
 from shelfdiff.sources import registry, tables
 
 _ = F.col
@@ -17,8 +17,13 @@ def _with(sql: str) -> str:
     return f"WITH {PAIR_CTE} {sql}"
 
 
+def pair_items(t):
+    """(previous, current): the two snapshots as a store would hold them, derived once."""
+    return cut_lineage(prev_items(t)), cut_lineage(cur_items(t))
+
+
 def pair_diff(t):
-    return diff.diff_pair(prev_items(t), cur_items(t))
+    return diff.diff_pair(*pair_items(t))
 
 
 def matched_pairs(t):
@@ -327,14 +332,19 @@ def _payload(t):
     return curate.request_batches(cur_items(t), enriched(t)[0])[1].drop("week")
 
 
-def answers(t):
-    """What an editor sends back for each batch.
+def request_refs(t):
+    """The references of all items, read by requests and answers alike."""
+    return cut_lineage(curate.request_batches(cur_items(t), enriched(t)[0])[0])
+
+
+def answers(t, refs=None):
+    """What an editor sends back for each batch of ``refs``.
 
     By part size: 5 is left out, 6 renamed, 7 out of scope, above 40 a blurb longer than
     allowed, even ones a category. Batches with an odd number are fenced and bare; every
     seventh is no JSON.
     """
-    refs, _payload = curate.request_batches(cur_items(t), enriched(t)[0])
+    refs = request_refs(t) if refs is None else refs
     size = _("p_size")
     entry = F.struct("slot", F.struct(
         "ref", F.when(size == 6, F.concat("name", F.lit("!"))).otherwise(_("name")).alias("name"),
@@ -380,8 +390,8 @@ def _failed(t):
 , {_EDITS} SELECT source_id, external_id, e_category AS category FROM entries
 """))
 def _rekey(t):
-    refs, _payload = curate.request_batches(cur_items(t), enriched(t)[0])
-    edits, _missing = curate.rekey(curate.parse_responses(answers(t))[0], refs)
+    refs = request_refs(t)
+    edits, _missing = curate.rekey(curate.parse_responses(answers(t, refs))[0], refs)
     return edits.select("source_id", "external_id", "category")
 
 
@@ -390,16 +400,17 @@ def _rekey(t):
 WHERE p_size = 5 AND (source_id, CAST(rn // 20 AS BIGINT)) IN (SELECT source_id, batch FROM entries)
 """))
 def _missing(t):
-    refs, _payload = curate.request_batches(cur_items(t), enriched(t)[0])
-    return curate.rekey(curate.parse_responses(answers(t))[0], refs)[1].select("source_id", "external_id")
+    refs = request_refs(t)
+    return curate.rekey(curate.parse_responses(answers(t, refs))[0], refs)[1].select("source_id", "external_id")
 
 
 def applied_edits(t):
-    """(edits as applied, enriched) for the whole current catalog."""
-    ready, _failures_ = enriched(t)
-    refs, _payload = curate.request_batches(cur_items(t), ready)
-    edits, _missing_ = curate.rekey(curate.parse_responses(answers(t))[0], refs)
-    return curate.apply_edits(cur_items(t), edits, ready), ready
+    """(edits as applied, enriched) for the whole current catalog, each derived once."""
+    items = cut_lineage(cur_items(t))
+    ready = cut_lineage(enriched(t)[0])
+    refs = cut_lineage(curate.request_batches(items, ready)[0])
+    edits, _missing_ = curate.rekey(curate.parse_responses(answers(t, refs))[0], refs)
+    return cut_lineage(curate.apply_edits(items, edits, ready)), ready
 
 
 APPLIED_CTE = f"""{ENRICHED_CTE}, {_EDITS}, applied AS (

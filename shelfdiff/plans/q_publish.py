@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfdiff.operators import browse, convlog, publish, report, sample
+from shelfdiff.operators import browse, convlog, diff, publish, report, sample
 from shelfdiff.plans.catalog import PAIR_CTE, cur_items, prev_items, query
-from shelfdiff.plans.q_diff import APPLIED_CTE, applied_edits, pair_diff
+from shelfdiff.plans.q_diff import APPLIED_CTE, applied_edits, pair_diff, pair_items
 from shelfdiff.plans.q_gate import _pub, published_orders
 from shelfdiff.plans.q_tables import with_labels
-from shelfdiff.session import scratch_path
+from shelfdiff.session import cut_lineage, scratch_path
 from shelfdiff.sources import registry, tables
 
 _ = F.col
@@ -254,16 +254,18 @@ def _scope_names(t):
 
 def source_reports(t):
     """The report of the pair, and the publication it reports on."""
-    result = pair_diff(t)
-    counts = result.counts.withColumn("previous_week", F.lit("2026-W35")).withColumn(
+    prev, cur = pair_items(t)
+    result = diff.diff_pair(prev, cur)
+    added, removed, counts = (cut_lineage(df) for df in (result.added, result.removed, result.counts))
+    counts = counts.withColumn("previous_week", F.lit("2026-W35")).withColumn(
         "gap_weeks", F.lit(1)).withColumn("baseline", F.lit(False))
     edits, ready = applied_edits(t)
     dim = registry.source_dim(t.spark)
-    earlier = compared(t)
-    publication = publish.publish(result.added, edits, ready, earlier, dim)
-    dropped = publish.drop_out_of_scope(result.added, edits)[1]
-    rows = report.source_report(counts, control(t), prev_items(t), result.added, result.removed, earlier,
-                                dropped, publication, snapshot_metas(t), dim)
+    earlier = cut_lineage(compared(t))
+    publication = cut_lineage(publish.publish(added, edits, ready, earlier, dim))
+    dropped = publish.drop_out_of_scope(added, edits)[1]
+    rows = report.source_report(counts, control(t), prev, added, removed, earlier, dropped, publication,
+                                snapshot_metas(t), dim)
     return rows, publication
 
 
