@@ -9,7 +9,7 @@ from shelfdiff.operators import dedupe, diff, filters, gate
 from shelfdiff.plans import weekly
 from shelfdiff.plans.catalog import (CATEGORY_CTE, PAIR_CTE, WEEKLY_CTE, category_dim, cur_items, prev_items, query,
                                      weekly_items, weekly_rows)
-from shelfdiff.session import cut_lineage, scratch_path
+from shelfdiff.session import scratch_path
 from shelfdiff.sources import snapshots, tables
 
 _ = F.col
@@ -228,9 +228,16 @@ off_range AS (
 """
 
 
+def _kept(t, df):
+    """A table as it lies in a store."""
+    path = scratch_path(t.spark, "kept")
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def _gate_inputs(t):
     """What a store keeps with its snapshots: counts by category name, and from them one row a source-week."""
-    counts = cut_lineage(gate.name_counts(weekly_items(t)))
+    counts = _kept(t, gate.name_counts(weekly_items(t)))
     meta = counts.groupBy("week", "source_id").agg(F.sum("n").alias("count"))
     return counts, meta, diff.lookback(meta), category_dim(t)
 
@@ -339,7 +346,7 @@ SELECT f.source_id, f.week, coalesce(s.held_from, f.previous_week) AS held_from,
 FROM fill f JOIN stored s ON s.source_id = f.source_id AND s.week = f.previous_week
 """)
 def _hold(t):
-    items, meta = weekly_items(t), cut_lineage(_stored_meta(t).withColumn("data_week", _("week")))
+    items, meta = weekly_items(t), _kept(t, _stored_meta(t).withColumn("data_week", _("week")))
     held = gate.hold_previous(meta.filter("held_from IS NOT NULL"), meta, diff.lookback(meta))
     counts = snapshots.follow(items, held).groupBy("source_id", "week").agg(F.count(F.lit(1)).alias("items"))
     return held.join(counts, ["source_id", "week"]).select("source_id", "week", "held_from", "count", "items")
