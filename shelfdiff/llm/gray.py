@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff.llm import bits
 from shelfdiff.llm.components import connected_components
-from shelfdiff.session import cut_lineage
+from shelfdiff.session import cut_lineage, scratch_path
 
 #: Shingle width and radius of the exact index; leading bits of a top node; rows of a node before it is cut.
 WIDTH = 3
@@ -29,6 +30,11 @@ LEADERS = 4
 ORDER_DOCS = 8192
 ORDER_SHINGLES = 1 << 16
 
+#: Shingles (about) of a bucket of the sieve, documents packed at a time, and most bits of a parity map.
+SIEVE_TOKENS = 2_000_000
+PACKED_DOCS = 1000
+PARITY_BITS = 1 << 16
+
 
 def shingle_prints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, print (64 bits): a bit is set if over half of the shingle hashes have it. Null texts are empty."""
@@ -165,7 +171,7 @@ def _common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     @F.pandas_udf("array<bigint>")
     def shingles(texts: pd.Series) -> pd.Series:
         return pd.Series([_shingle_set(t).view(np.int64) for t in texts])
-    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(9)), 11) / F.lit(float(1 << 53))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(9)), 11) / F.lit(float(1 << 53))
     chosen = docs.filter(share * F.lit(docs.count()) <= ORDER_DOCS).select(F.explode(shingles("text")).alias("token"))
     found = (chosen.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
              .orderBy(F.desc("n"), "token").limit(ORDER_SHINGLES).collect())
@@ -190,81 +196,221 @@ def _mixed(rows: DataFrame, name: str, more_than: int) -> DataFrame:
             .filter((F.col("_low") < F.col("_high")) & (F.col("_n") > more_than)).select("token"))
 
 
+def _parity(found: np.ndarray) -> bytes:
+    """A bit for each place that an odd number of the shingles hash to; about a place a shingle."""
+    places = 64
+    while places < min(len(found), PARITY_BITS):
+        places *= 2
+    odd = np.bincount((found & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """Bits in which two parity maps differ, at most the number of shingles that only one of the sets has.
+
+    The longer map is folded to the length of the shorter, which gives the map that it would have at that length.
+    """
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    short = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, short), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sizes and parity maps do not rule the similarity out; no similar pair is lost.
+
+    Two sets of that similarity differ in at most (1 - s) / (1 + s) of the sum of their sizes.
+    """
+    share = (1 - similarity) / (1 + similarity)
+
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, b: pd.Series, total: pd.Series) -> pd.Series:
+        return pd.Series([_apart(x, y) <= t * share + 1e-6 for x, y, t in zip(a, b, total)], dtype=bool)
+    maps = nodes.select("node", "size", "parity")
+    met = (pairs.join(maps.select(F.col("node").alias("b"), F.col("size").alias("_n"), F.col("parity").alias("_b")), "b")
+           .join(maps.select(F.col("node").alias("a"), F.col("size").alias("_m"), F.col("parity").alias("_a")), "a"))
+    close = F.least("_m", "_n") >= F.greatest("_m", "_n") * similarity - 1e-6
+    return met.filter(close).filter(near("_a", "_b", F.col("_m") + F.col("_n"))).select("a", "b")
+
+
 def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose different shingles are similar: counted, not estimated."""
-    @F.pandas_udf("array<bigint>")
-    def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([_shingle_set(t).view(np.int64) for t in texts])
+    """The pairs (a, b) of nodes whose different shingles are similar: counted, not estimated.
+
+    Parity maps rule out what they can. For the rest the texts travel, packed, as they take a third of the room of
+    their shingles' hashes; a node's text is written once and met by joins, whose hot keys Spark splits.
+    """
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress((t or "").encode("utf-8", "surrogatepass"), 6) for t in texts], dtype=object)
+
+    def shingles(packed: bytes) -> np.ndarray:
+        return _shingle_set(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
+
+    @F.pandas_udf("double")
+    def alike(series: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        name, first = None, None
+        for leader, a, b in series:
+            out = []
+            for k, x, y in zip(leader, a, b):
+                if k != name:
+                    name, first = k, shingles(x)
+                second = shingles(y)
+                both = len(np.intersect1d(first, second, assume_unique=True))
+                out.append(both / (len(first) + len(second) - both) if len(first) + len(second) else 1.0)
+            yield pd.Series(out, dtype=float)
+    pairs = cut_lineage(_possible(pairs, nodes, similarity))
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = nodes.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
-    sets = (docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").join(texts, "text_hash")
-            .dropDuplicates(["node"]).select("node", shingles("text").alias("shingles")))
-    sets = cut_lineage(sets)
-    met = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
-           .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
-           .select("a", "b", F.size("_a").alias("m"), F.size("_b").alias("n"),
-                   F.size(F.array_intersect("_a", "_b")).alias("both")))
-    return met.filter(F.col("both") / (F.col("m") + F.col("n") - F.col("both")) >= similarity).select("a", "b")
-
-
-def _similar_roots(rows: DataFrame, docs: DataFrame, similarity: float, leaders: int = LEADERS) -> DataFrame:
+    texts = nodes.join(asked, "node", "left_semi").select("node", "text_hash")
+    path = scratch_path(docs.sparkSession, "near-texts")
+    (docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").join(texts, "text_hash")
+     .groupBy("node").agg(F.first("text").alias("text")).select("node", pack("text").alias("packed"))
+     .write.parquet(path))
+    packed = docs.sparkSession.read.parquet(path)
+    met = (pairs.join(packed.select(F.col("node").alias("b"), F.col("packed").alias("_b")), "b")
+           .join(packed.select(F.col("node").alias("a"), F.col("packed").alias("_a")), "a"))
+    return met.filter(alike("a", "_a", "_b") >= similarity).select("a", "b")
+
+
+def _pack_tokens(texts: list[str | None], common: np.ndarray, often: np.ndarray, hot: np.ndarray, similarity: float,
+                 buckets: int) -> pd.DataFrame:
+    """A row per bucket: nodes, sizes, numbers of tokens, then the tokens (32 bits of each), as packed arrays."""
+    held: dict[int, tuple[int, np.ndarray]] = {}
+    for t in texts:
+        found = _shingle_set(t)
+        name = bits.set_hash(found)
+        if name not in held:
+            tokens = _prefix(found, common, often, similarity)
+            held[name] = len(found), tokens[~np.isin(tokens, hot)]
+    nodes = np.fromiter(held, np.uint64, len(held))
+    sizes = np.fromiter((n for n, _ in held.values()), np.int32, len(held))
+    token = np.concatenate([t for _, t in held.values()]) if held else np.zeros(0, np.uint64)
+    doc = np.repeat(np.arange(len(held)), [len(t) for _, t in held.values()])
+    bucket = ((token >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    token, doc, bucket = token[order].astype(np.uint32), doc[order], bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    out = []
+    for low, high in zip(cuts, [*cuts[1:], len(bucket)]):
+        own, counts = np.unique(doc[low:high], return_counts=True)
+        out.append((int(bucket[low]), nodes[own].tobytes(), sizes[own].tobytes(), counts.astype(np.int32).tobytes(),
+                    token[low:high].tobytes()))
+    return pd.DataFrame(out, columns=["bucket", "nodes", "sizes", "counts", "tokens"])
+
+
+def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    """token, node, size: the nodes of each set of nodes that have a token of the bucket in common, each set once."""
+    node, size, count, token = (np.concatenate([np.frombuffer(v, kind) for v in pdf[name]]) for name, kind in
+                                (("nodes", np.uint64), ("sizes", np.int32), ("counts", np.int32), ("tokens", np.uint32)))
+    names, first, at = np.unique(node, return_index=True, return_inverse=True)
+    keys = np.unique((token.astype(np.uint64) << np.uint64(32)) | np.repeat(at, count).astype(np.uint64))
+    token, at = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    runs = np.diff(np.append(starts, len(token)))
+    # a set of nodes is named by a sum of hashes; tokens of the same nodes say the same
+    mixed = (names ^ (names >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    sets = np.add.reduceat(mixed[at], starts)
+    several = np.flatnonzero(runs > 1)
+    chosen = several[np.unique(sets[several], return_index=True)[1]]
+    lengths = runs[chosen]
+    place = np.repeat(starts[chosen] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
+    who = at[place.astype(np.int64)]
+    return pd.DataFrame({"token": np.repeat(sets[chosen], lengths).view(np.int64), "node": names[who].view(np.int64),
+                         "size": size[first][who]})
+
+
+def _shared_tokens(docs: DataFrame, documents: int, shingles: int, similarity: float,
+                   sieve_tokens: int = SIEVE_TOKENS) -> DataFrame:
+    """token, node, size: tokens that several nodes have in their prefixes, as sets of nodes.
+
+    The prefixes of all documents go to buckets as packed arrays, five bytes a token, and only what several nodes have
+    comes out. The number of buckets follows the number of shingles. Tokens that the sample finds in so many documents
+    that they would fill a bucket are rows of their own instead.
+    """
+    common, often = _common_shingles(docs)
+    hot = common[often * max(1.0, documents / ORDER_DOCS) > sieve_tokens / 8]
+    buckets = max(1, math.ceil((shingles * (1 - similarity) + documents) / sieve_tokens))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), PACKED_DOCS):
+                yield _pack_tokens(b["text"].iloc[at:at + PACKED_DOCS].tolist(), common, often, hot, similarity, buckets)
+
+    def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for t in b["text"]:
+                found = _shingle_set(t)
+                tokens = _prefix(found, common, often, similarity)
+                tokens = tokens[np.isin(tokens, hot)]
+                yield pd.DataFrame({"token": tokens.view(np.int64), "node": np.uint64(bits.set_hash(found)).view(np.int64),
+                                    "size": np.int32(len(found))})
+    packed = docs.select("text").mapInPandas(pack, "bucket int, nodes binary, sizes binary, counts binary, tokens binary")
+    schema = "token bigint, node bigint, size int"
+    met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, schema)
+    if len(hot):
+        met = met.unionByName(docs.select("text").mapInPandas(single, schema))
+    return cut_lineage(met.distinct())
+
+
+def _similar_roots(nodes: DataFrame, left: DataFrame, docs: DataFrame, similarity: float, leaders: int = LEADERS
+                   ) -> DataFrame:
     """node, root for the nodes that links of similar nodes join to others.
 
-    ``rows`` has text_hash, node, size and tokens (the prefix). Nodes with a token in common are compared, the first
-    ``leaders`` of each token with all others of it, then more and more of them, until all nodes of a token are in
-    one component or all its pairs were compared. So the components are those of all similar pairs, and a group of n
-    copies of each other asks for some n comparisons and not n squared.
+    ``nodes`` has node, text_hash, size, print and parity; ``left`` has token, node and size. The Gray-order index
+    finds nodes with prints up to ``RADIUS`` bits apart first; those that are similar are joined. What it leaves apart
+    is compared by tokens: nodes with a token in common, the first ``leaders`` of each token with all others of it,
+    then more and more of them, until all nodes of a token are in one component or all its pairs were compared. So the
+    components are those of all similar pairs, and a group of n copies of each other asks for some n comparisons and
+    not n squared.
     """
-    every = rows.select("node", "size", F.posexplode("tokens").alias("pos", "token"))
-    left = cut_lineage(every.join(_mixed(every, "node", 1), "token").distinct().withColumn("root", F.col("node")))
-    links = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    roots, done, upto = links.select(F.col("a").alias("node"), F.col("b").alias("root")), 0, leaders
+    links = cut_lineage(_similar(near_links(nodes, 4, RADIUS).distinct(), nodes, docs, similarity))
+    done, upto = 0, leaders
     first = Window.partitionBy("token").orderBy("node")
-    while left.limit(1).count():
+    while True:
+        roots = connected_components(links)
+        named = (left.select("token", "node", "size").join(roots, "node", "left")
+                 .withColumn("root", F.coalesce("root", "node")))
+        left = cut_lineage(named.join(_mixed(named, "root", done or 1), "token", "left_semi"))
+        if not left.limit(1).count():
+            return roots
         lead = (left.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= upto)
                 .filter(F.col("_rank") > done)
-                .select("token", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size"),
-                        F.col("pos").alias("_pos")))
-        # the pair is met at its first common token: no more than what stands from there on is shared
-        shared = F.least(F.col("_size") - F.col("_pos"), F.col("size") - F.col("pos"))
+                .select("token", F.col("node").alias("a"), F.col("root").alias("_root"), F.col("size").alias("_size")))
         pairs = (lead.join(left, "token").filter((F.col("a") < F.col("node")) & (F.col("_root") != F.col("root")))
-                 .filter(shared * (1 + similarity) >= similarity * (F.col("size") + F.col("_size")) - 1e-6)
+                 .filter(F.least("size", "_size") >= F.greatest("size", "_size") * similarity - 1e-6)
                  .select("a", F.col("node").alias("b")).distinct())
-        pairs = cut_lineage(pairs)
-        links = cut_lineage(links.unionByName(_similar(pairs, rows.select("node", "text_hash"), docs, similarity)))
-        roots = connected_components(links)
-        named = (left.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        left = cut_lineage(named.join(_mixed(named, "root", upto), "token", "left_semi"))
+        links = cut_lineage(links.unionByName(_similar(pairs, nodes, docs, similarity)))
         done, upto = upto, upto * 8
-    return roots
 
 
 def near_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """doc_id, text_hash, root, low: the group of near-copies of each different document, and its smallest id.
 
     Two documents are near-copies if their different five-word shingles have a similarity (common ones by all) of at
-    least ``similarity``; groups are joined by such pairs. All of them are found: of two such sets each has a
-    shingle of the other among its first ``n - ceil(similarity n) + 1`` in any common order, and the order puts
-    shingles that a sample finds common last, so few documents meet there. Texts without words are copies of each
-    other. Null ids come after all others.
+    least ``similarity``; groups are joined by such pairs. Most are met through SimHash prints in the Gray-order index,
+    and all of them are found: of two such sets each has a shingle of the other among its first
+    ``n - ceil(similarity n) + 1`` in any common order, and the order puts shingles that a sample finds common last, so
+    few documents meet there. Texts without words are copies of each other. Null ids come after all others.
     """
-    common, often = _common_shingles(docs)
-
-    @F.pandas_udf("node bigint, size int, tokens array<bigint>")
-    def prefixes(texts: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("node bigint, size int, print bigint, parity binary")
+    def marks(texts: pd.Series) -> pd.DataFrame:
         sets = [_shingle_set(t) for t in texts]
         return pd.DataFrame({"node": np.array([bits.set_hash(s) for s in sets], np.uint64).view(np.int64),
                              "size": np.array([len(s) for s in sets], np.int32),
-                             "tokens": [_prefix(s, common, often, similarity).view(np.int64) for s in sets]})
+                             "print": np.array([bits.majority_bits([s]) for s in sets], np.uint64).view(np.int64),
+                             "parity": [_parity(s) for s in sets]})
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2 ** 63 - 1)).alias("doc_id"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), prefixes("text").alias("p"))
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), marks("text").alias("p"))
     rows = cut_lineage(rows.select("doc_id", "text_hash", "p.*"))
-    roots = _similar_roots(rows, docs, similarity)
+    nodes = cut_lineage(rows.groupBy("node").agg(*(F.min(c).alias(c) for c in ("text_hash", "size", "print", "parity"))))
+    total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    roots = _similar_roots(nodes, _shared_tokens(docs, total[0], total[1], similarity), docs, similarity)
     classes = (rows.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left")
                .withColumn("root", F.coalesce("root", "node")))
     least = classes.groupBy("root").agg(F.min("low").alias("low"))
     named = classes.select("node", "root").join(least, "root").select("node", "root", "low")
-    return rows.join(named, "node").select("doc_id", "text_hash", "root", "low").distinct()
+    return (rows.select("doc_id", "text_hash", "node").join(named, "node").select("doc_id", "text_hash", "root", "low")
+            .distinct())
 
 
 def near_copies(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFrame:
