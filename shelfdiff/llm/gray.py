@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ ORDER_DOCS = 8192
 ORDER_SHINGLES = 1 << 16
 
 #: Shingles (about) of a bucket of the sieve, documents packed at a time, and most bits of a parity map.
-SIEVE_TOKENS = 2_000_000
+SIEVE_TOKENS = 500_000
 PACKED_DOCS = 1000
 PARITY_BITS = 1 << 16
 
@@ -160,6 +161,11 @@ def as_text(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
+    """The texts of a batch, one at a time, so no second copy of all of them is held."""
+    return (t.as_py() for t in batch.column("text"))
+
+
 def _shingle_set(text: str | None) -> np.ndarray:
     """The different five-word shingles of a text as sorted 64-bit hashes."""
     runs = list(bits.shingle_hashes(text, NEAR_WIDTH))
@@ -239,9 +245,10 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
     Parity maps rule out what they can. For the rest the texts travel, packed, as they take a third of the room of
     their shingles' hashes; a node's text is written once and met by joins, whose hot keys Spark splits.
     """
-    @F.pandas_udf("binary")
-    def pack(texts: pd.Series) -> pd.Series:
-        return pd.Series([zlib.compress((t or "").encode("utf-8", "surrogatepass"), 6) for t in texts], dtype=object)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 6) for t in _texts(b)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
 
     def shingles(packed: bytes) -> np.ndarray:
         return _shingle_set(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
@@ -263,7 +270,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
     texts = nodes.join(asked, "node", "left_semi").select("node", "text_hash")
     path = scratch_path(docs.sparkSession, "near-texts")
     (docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").join(texts, "text_hash")
-     .groupBy("node").agg(F.first("text").alias("text")).select("node", pack("text").alias("packed"))
+     .groupBy("node").agg(F.first("text").alias("text")).mapInArrow(pack, "node bigint, packed binary")
      .write.parquet(path))
     packed = docs.sparkSession.read.parquet(path)
     met = (pairs.join(packed.select(F.col("node").alias("b"), F.col("packed").alias("_b")), "b")
@@ -271,7 +278,10 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
     return met.filter(alike("a", "_a", "_b") >= similarity).select("a", "b")
 
 
-def _pack_tokens(texts: list[str | None], common: np.ndarray, often: np.ndarray, hot: np.ndarray, similarity: float,
+_PACKED = [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("nodes", "sizes", "counts", "tokens")]
+
+
+def _pack_tokens(texts: Iterator[str | None], common: np.ndarray, often: np.ndarray, hot: np.ndarray, similarity: float,
                  buckets: int) -> pd.DataFrame:
     """A row per bucket: nodes, sizes, numbers of tokens, then the tokens (32 bits of each), as packed arrays."""
     held: dict[int, tuple[int, np.ndarray]] = {}
@@ -331,24 +341,26 @@ def _shared_tokens(docs: DataFrame, documents: int, shingles: int, similarity: f
     hot = common[often * max(1.0, documents / ORDER_DOCS) > sieve_tokens / 8]
     buckets = max(1, math.ceil((shingles * (1 - similarity) + documents) / sieve_tokens))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, len(b), PACKED_DOCS):
-                yield _pack_tokens(b["text"].iloc[at:at + PACKED_DOCS].tolist(), common, often, hot, similarity, buckets)
+            for at in range(0, b.num_rows, PACKED_DOCS):
+                rows = _pack_tokens(_texts(b.slice(at, PACKED_DOCS)), common, often, hot, similarity, buckets)
+                yield pa.RecordBatch.from_pandas(rows, pa.schema(_PACKED), preserve_index=False)
 
-    def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b["text"]:
+            for t in _texts(b):
                 found = _shingle_set(t)
                 tokens = _prefix(found, common, often, similarity)
-                tokens = tokens[np.isin(tokens, hot)]
-                yield pd.DataFrame({"token": tokens.view(np.int64), "node": np.uint64(bits.set_hash(found)).view(np.int64),
-                                    "size": np.int32(len(found))})
-    packed = docs.select("text").mapInPandas(pack, "bucket int, nodes binary, sizes binary, counts binary, tokens binary")
+                tokens = tokens[np.isin(tokens, hot)].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens), pa.array(np.full(len(tokens), bits.set_hash(found), np.uint64).view(np.int64)),
+                     pa.array(np.full(len(tokens), len(found), np.int32))], ["token", "node", "size"])
+    packed = docs.select("text").mapInArrow(pack, "bucket int, nodes binary, sizes binary, counts binary, tokens binary")
     schema = "token bigint, node bigint, size int"
     met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, schema)
     if len(hot):
-        met = met.unionByName(docs.select("text").mapInPandas(single, schema))
+        met = met.unionByName(docs.select("text").mapInArrow(single, schema))
     return cut_lineage(met.distinct())
 
 
@@ -392,16 +404,23 @@ def near_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFra
     ``n - ceil(similarity n) + 1`` in any common order, and the order puts shingles that a sample finds common last, so
     few documents meet there. Texts without words are copies of each other. Null ids come after all others.
     """
-    @F.pandas_udf("node bigint, size int, print bigint, parity binary")
-    def marks(texts: pd.Series) -> pd.DataFrame:
-        sets = [_shingle_set(t) for t in texts]
-        return pd.DataFrame({"node": np.array([bits.set_hash(s) for s in sets], np.uint64).view(np.int64),
-                             "size": np.array([len(s) for s in sets], np.int32),
-                             "print": np.array([bits.majority_bits([s]) for s in sets], np.uint64).view(np.int64),
-                             "parity": [_parity(s) for s in sets]})
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, size, print_, parity = [], [], [], []
+            for t in _texts(b):
+                found = _shingle_set(t)
+                node.append(bits.set_hash(found))
+                size.append(len(found))
+                print_.append(bits.majority_bits(iter([found])))
+                parity.append(_parity(found))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("text_hash"), pa.array(np.array(node, np.uint64).view(np.int64)),
+                 pa.array(size, pa.int32()), pa.array(np.array(print_, np.uint64).view(np.int64)),
+                 pa.array(parity, pa.binary())], ["doc_id", "text_hash", "node", "size", "print", "parity"])
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2 ** 63 - 1)).alias("doc_id"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), marks("text").alias("p"))
-    rows = cut_lineage(rows.select("doc_id", "text_hash", "p.*"))
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    rows = cut_lineage(rows.mapInArrow(marks, "doc_id bigint, text_hash bigint, node bigint, size int, print bigint, "
+                                              "parity binary"))
     nodes = cut_lineage(rows.groupBy("node").agg(*(F.min(c).alias(c) for c in ("text_hash", "size", "print", "parity"))))
     total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     roots = _similar_roots(nodes, _shared_tokens(docs, total[0], total[1], similarity), docs, similarity)
