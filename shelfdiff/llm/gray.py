@@ -36,6 +36,9 @@ SIEVE_TOKENS = 500_000
 PACKED_DOCS = 1000
 PARITY_BITS = 1 << 16
 
+#: So many texts are asked for by a broadcast of their hashes (16 bytes each); more of them by a shuffle of the texts.
+ASKED_TEXTS = 1_000_000
+
 
 def shingle_prints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, print (64 bits): a bit is set if over half of the shingle hashes have it. Null texts are empty."""
@@ -267,7 +270,9 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
             yield pd.Series(out, dtype=float)
     pairs = cut_lineage(_possible(pairs, nodes, similarity))
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = nodes.join(asked, "node", "left_semi").select("node", "text_hash")
+    texts = cut_lineage(nodes.join(asked, "node", "left_semi").select("node", "text_hash"))
+    if texts.count() <= ASKED_TEXTS:
+        texts = F.broadcast(texts)
     path = scratch_path(docs.sparkSession, "near-texts")
     (docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").join(texts, "text_hash")
      .groupBy("node").agg(F.first("text").alias("text")).mapInArrow(pack, "node bigint, packed binary")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from shelfdiff.llm import bits, gray
-from tests.llm.test_near_exact import DOCS, planted
+from tests.llm.test_near_exact import DOCS, found, planted, slow_lows
 
 
 def test_parity_maps_never_differ_more_than_their_sets():
@@ -58,3 +58,10 @@ def test_the_sieve_keeps_every_pair(spark, sieve_tokens):
 def test_the_sieve_of_nothing(spark):
     docs = spark.createDataFrame([], DOCS)
     assert gray._shared_tokens(docs, 0, 0, 0.8).count() == 0
+
+
+@pytest.mark.parametrize("asked", [0, gray.ASKED_TEXTS])
+def test_few_and_many_texts_are_compared_alike(spark, asked, monkeypatch):
+    monkeypatch.setattr(gray, "ASKED_TEXTS", asked)
+    rows = planted("substituted", 30, 40, 2)
+    assert found(spark, rows) == slow_lows(rows)
