@@ -102,10 +102,10 @@ def extract_records(pages: DataFrame, block: str, fields: dict[str, str], body:
 
 
 def extract_detail(pages: DataFrame, fields: dict[str, str], body: str = "html",
-                   keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """One record per page, each field without markup."""
+                   keep: tuple[str, ...] = ("page_id",), closed: bool = False) -> DataFrame:
+    """One record per page, each field without markup; ``closed`` as in ``text.unescape``."""
     return pages.select(*keep, *[
-        text.strip_markup(values.key_from_text(F.col(body), pattern)).alias(name)
+        text.strip_markup(values.key_from_text(F.col(body), pattern), closed).alias(name)
         for name, pattern in fields.items()])
 
 
