@@ -1,9 +1,10 @@
 import random
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from shelfdiff import schemas
-from shelfdiff.operators import match, similarity
+from shelfdiff.operators import diff, match, similarity
 import pytest
 
 from tests.brute import serial_match, serial_review
@@ -151,3 +152,47 @@ def test_pair_limit_skips_a_source_week_whole(spark):
 
 def test_schema_constants():
     assert schemas.SNAPSHOT_ITEM["price"].dataType.simpleString() == "bigint"
+
+
+def test_both_snapshots_of_one_table(spark):
+    rows = [("s", "w", i, str(i), {"a": str(i % 3)}, "n", 1) for i in range(9)]
+    base = spark.createDataFrame(rows, "source_id string, week string, pos long, external_id string, "
+                                       "alt_ids map<string,string>, name string, price long")
+    prev, cur = base.filter("pos > 1"), base.filter("pos < 7")
+    whole = match.layered_match(prev, cur, serial_limit=2).count()
+    assert whole == match.layered_match(prev, cur).count() == 7
+
+
+def test_growing_tables_do_not_go_through_the_driver(spark):
+    rows = [("s", "w", i, str(i), {"a": str(i)}, f"name {i}", 1, None, None) for i in range(9)]
+    base = spark.createDataFrame(rows, "source_id string, week string, pos long, external_id string, alt_ids "
+                                       "map<string,string>, name string, price long, image_url string, category_raw string")
+    result = diff.diff_pair(base.filter("pos > 1"), base.filter("pos < 7"))
+    for table in (result.added, result.removed, result.changed, result.conflicts, result.counts):
+        assert "Broadcast" not in table._jdf.queryExecution().executedPlan().toString()
+    assert (result.added.count(), result.removed.count()) == (2, 2)
+
+
+def test_a_name_meets_only_lengths_that_occur(spark):
+    schema = "source_id string, week string, cat string, name string"
+    names = spark.createDataFrame([("s", "w", "c", f"{i:016x}") for i in range(20)], schema)
+    met = similarity._partner_lengths(names, names, 0.85)
+    assert {(r.other, r.n) for r in met.groupBy("other").agg(F.count("*").alias("n")).collect()} == {(16, 20)}
+    pieces = similarity._pieces(met, F.length("name"), F.col("other"), 0.85)
+    assert pieces.count() == 20 * 5
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.85, 0.999])
+def test_no_close_name_is_missed(spark, threshold):
+    dice = random.Random(3)
+
+    def changed(name):
+        out = [c for c in name if dice.random() > 0.08]
+        return "".join(out + [dice.choice("ab") for _ in range(dice.choice([0, 0, 1, 2]))])
+    base = ["".join(dice.choice("abc가") for _ in range(dice.choice([1, 2, 5, 9, 16, 21]))) for _ in range(60)]
+    sides = [sorted({changed(n) for n in base} | set(base[::k])) for k in (2, 3)]
+    cur, prev = (spark.createDataFrame([("s", "w", "c", n) for n in side], "source_id string, week string, cat string, "
+                                       "name string") for side in sides)
+    want = {(a, b) for a in sides[0] for b in sides[1] if a != b and SequenceMatcher(None, a, b).ratio() >= threshold}
+    got = {(r.cur_name, r.prev_name) for r in similarity.name_pairs(cur, prev, threshold).collect()}
+    assert got == want
