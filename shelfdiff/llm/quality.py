@@ -17,8 +17,9 @@ STEPS = 150
 RATE = 0.1
 L2 = 0.02
 
-#: Bytes whose features are computed at a time.
-PART = 1 << 20
+#: Bytes whose features are computed at a time, about a hundred times that in memory; texts a task encodes at a time.
+PART = 1 << 18
+TEXTS = 512
 
 #: Edges that the shares and numbers of a line are binned by.
 SHARE_EDGES = (1e-9, 0.02, 0.06, 0.15, 0.35, 0.7)
@@ -289,7 +290,8 @@ def score_of(text: Column, field: Field | None) -> Column:
     def scored(texts: pd.Series) -> pd.Series:
         if field is None:
             return pd.Series(np.full(len(texts), 0.5))
-        return pd.Series(document_scores(field, _bytes(texts)))
+        parts = [document_scores(field, _bytes(texts.iloc[k:k + TEXTS])) for k in range(0, len(texts), TEXTS)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
     return scored(text)
 
 
