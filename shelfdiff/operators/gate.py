@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff import fixed_values as fixed
 from shelfdiff.operators.ordering import number_in_group
+from shelfdiff.session import by_shuffle
 
 PAIR = ["source_id", "week"]
 
@@ -58,7 +59,7 @@ def check_categories(items: DataFrame, dim: DataFrame, looked_back: DataFrame,
     expected = _expected(counts, dim, looked_back, low, high, tolerance)
     got = F.coalesce("n", F.lit(0))
     inside = ((F.col("want") * F.col("low") <= got) & (got <= F.col("want") * F.col("high")))
-    return (expected.filter("want > 0").join(counts, [*PAIR, "code"], "left")
+    return (expected.filter("want > 0").join(by_shuffle(counts), [*PAIR, "code"], "left")
             .filter(~inside)
             .select(*PAIR, "code", "want", got.cast("bigint").alias("got")))
 
@@ -67,8 +68,8 @@ def new_categories(items: DataFrame, dim: DataFrame, looked_back: DataFrame) ->
     """Codes that the baseline does not know: worth a warning, not a failure."""
     counts = category_counts(items, dim)
     expected = _expected(counts, dim, looked_back, 0.0, 0.0, 0.0)
-    return (counts.join(looked_back.select(*PAIR), PAIR, "left_semi")
-            .join(expected.select(*PAIR, "code"), [*PAIR, "code"], "left_anti"))
+    return (counts.join(by_shuffle(looked_back.select(*PAIR)), PAIR, "left_semi")
+            .join(by_shuffle(expected.select(*PAIR, "code")), [*PAIR, "code"], "left_anti"))
 
 
 def check_volume(meta: DataFrame, looked_back: DataFrame, drop: float = fixed.DROP_RATIO,
@@ -82,8 +83,8 @@ def check_volume(meta: DataFrame, looked_back: DataFrame, drop: float = fixed.DR
                .when(ratio < drop, "drop")
                .when(ratio > spike, "spike")
                .otherwise("ok"))
-    return (meta.join(looked_back, PAIR)
-            .join(before, ["source_id", "previous_week"], "left")
+    return (meta.join(by_shuffle(looked_back), PAIR)
+            .join(by_shuffle(before), ["source_id", "previous_week"], "left")
             .select(*PAIR, "previous_week", "before", "count", verdict.alias("verdict")))
 
 
@@ -110,8 +111,8 @@ def gate_verdict(meta: DataFrame, items: DataFrame, dim: DataFrame, looked_back:
               .select(*PAIR, F.col("verdict").alias("by_volume")))
     twice = duplicates.select(*PAIR, F.lit("duplicates").alias("by_key"))
     reason = F.coalesce("by_category", "by_volume", "by_key")
-    return (looked_back.select(*PAIR).join(broken, PAIR, "left").join(volume, PAIR, "left")
-            .join(twice, PAIR, "left")
+    return (looked_back.select(*PAIR).join(by_shuffle(broken), PAIR, "left").join(by_shuffle(volume), PAIR, "left")
+            .join(by_shuffle(twice), PAIR, "left")
             .select(*PAIR, reason.isNull().alias("ok"), reason.alias("reason")))
 
 

@@ -305,3 +305,10 @@ def test_a_doubled_detail_does_not_double_the_item(spark):
     details = spark.createDataFrame([("cu", "W", "1", "n", d, []) for d in ("b", "a")], added.schema)
     ready, failures = enrich.merge_details(added, details)
     assert [r.description for r in ready.collect()] == ["a"] and failures.count() == 0
+
+
+def test_source_weeks_do_not_go_through_the_driver(spark):
+    table = meta(spark, [("a", "2026-W35", 10), ("a", "2026-W36", 2)])
+    verdict = gate.check_volume(table, diff.lookback(table))
+    assert "Broadcast" not in verdict._jdf.queryExecution().executedPlan().toString()
+    assert {(r.week, r.verdict) for r in verdict.collect()} == {("2026-W35", "ok"), ("2026-W36", "drop")}
