@@ -25,34 +25,35 @@ def json_rows(responses: DataFrame, item_schema: str, list_path: str = "$",
     Rows keep the response's other columns, their place as ``index``, and the item as ``row``;
     rows and rejected together account for every response but empty lists that are allowed.
     """
-    parsed = F.try_parse_json(F.col(body))
-    found = F.try_variant_get(parsed, list_path, "variant")
-    is_list = F.coalesce(F.schema_of_variant(found).startswith("ARRAY"), F.lit(False))
-    reason = F.when(parsed.isNull(), "not json")
+    columns = responses.columns
+    item = item_schema if item_schema.lstrip().lower().startswith("struct<") else f"struct<{item_schema}>"
+    # a body is parsed once, and its list read once: each step is a column that the next ones use several times
+    parsed = responses.withColumn("_json", F.try_parse_json(F.col(body)))
+    read = parsed.withColumn("_list", F.try_variant_get("_json", list_path, f"array<{item}>"))
+    reason = F.when(F.col("_json").isNull(), "not json")
     if ok_path is not None:
-        flag = F.try_variant_get(parsed, ok_path, "string")
-        reason = reason.when(~flag.eqNullSafe(F.lit(ok_value)), "failure flag")
-    reason = reason.when(~is_list, "no list")
+        read = read.withColumn("_flag", F.try_variant_get("_json", ok_path, "string"))
+        reason = reason.when(~F.col("_flag").eqNullSafe(F.lit(ok_value)), "failure flag")
+    reason = reason.when(F.col("_list").isNull(), "no list")
     if not allow_empty:
-        size = F.size(F.try_variant_get(found, "$", "array<variant>"))
-        reason = reason.when(size == 0, "empty list")
-    elements = F.try_variant_get(found, "$", "array<variant>")
-    typed = F.transform(elements, lambda e: F.try_variant_get(e, "$", item_schema))
+        reason = reason.when(F.size("_list") == 0, "empty list")
     fields = T.DataType.fromDDL(item_schema).fields
 
-    def fits(e: Column) -> Column:
-        row = F.try_variant_get(e, "$", item_schema)
+    def misfit(e: Column) -> Column:
+        row = F.try_variant_get(e, "$", item)
         given = [F.try_variant_get(e, f"$['{f.name}']", "variant") for f in fields]
         lost = [row[f.name].isNull() & (F.coalesce(F.schema_of_variant(v), F.lit("VOID")) != "VOID")
                 for f, v in zip(fields, given)]
-        return (F.schema_of_variant(e).startswith("OBJECT") & row.isNotNull()
-                & ~reduce(lambda a, b: a | b, lost, F.lit(False)))
-    reason = reason.when(~F.forall(elements, fits), "bad element")
-    judged = responses.withColumn("_list", typed).withColumn("reason", reason)
+        return row.isNull() | reduce(lambda a, b: a | b, lost, F.lit(False))
+    # only a list with a null in it can hold something that did not fit
+    lacking = F.exists("_list", lambda r: reduce(lambda a, b: a | b, [r[f.name].isNull() for f in fields], r.isNull()))
+    elements = F.try_variant_get("_json", list_path, "array<variant>")
+    reason = reason.when(lacking & F.exists(elements, misfit), "bad element")
+    # made by a generator, the reason stays where it is; a filter on a plain column would compute it all over again
+    judged = read.select(*columns, F.inline(F.array(F.struct(F.col("_list"), reason.alias("reason")))))
     rejected = judged.filter("reason IS NOT NULL").drop("_list", body)
     kept = judged.filter("reason IS NULL").drop("reason", body)
-    columns = [c for c in kept.columns if c != "_list"]
-    return kept.select(*columns, F.posexplode("_list").alias("index", "row")), rejected
+    return kept.select(*[c for c in columns if c != body], F.posexplode("_list").alias("index", "row")), rejected
 
 
 def double_json(c: Column) -> Column:

@@ -312,3 +312,13 @@ def test_source_weeks_do_not_go_through_the_driver(spark):
     verdict = gate.check_volume(table, diff.lookback(table))
     assert "Broadcast" not in verdict._jdf.queryExecution().executedPlan().toString()
     assert {(r.week, r.verdict) for r in verdict.collect()} == {("2026-W35", "ok"), ("2026-W36", "drop")}
+
+
+def times_parsed(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parseJson")
+
+
+def test_a_response_is_parsed_once(spark):
+    responses = spark.createDataFrame([(1, '{"list":[{"a":1}]}')], "id int, body string")
+    rows, rejected = extract.json_rows(responses, "struct<a:bigint>", "$.list", "$.ok", "Y")
+    assert times_parsed(rows) == times_parsed(rejected) == 1
