@@ -322,3 +322,10 @@ def test_a_response_is_parsed_once(spark):
     responses = spark.createDataFrame([(1, '{"list":[{"a":1}]}')], "id int, body string")
     rows, rejected = extract.json_rows(responses, "struct<a:bigint>", "$.list", "$.ok", "Y")
     assert times_parsed(rows) == times_parsed(rejected) == 1
+
+
+def test_an_answer_is_parsed_once(spark):
+    answers = spark.createDataFrame([("s", "w", 0, '{"items":[{"ref":"r0","name":"a"}]}')],
+                                    "source_id string, week string, batch bigint, response string")
+    entries, failed = curate.parse_responses(answers)
+    assert times_parsed(entries) == times_parsed(failed) == 1
