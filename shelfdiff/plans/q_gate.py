@@ -238,8 +238,8 @@ def _kept(t, df):
 def _gate_inputs(t):
     """What a store keeps with its snapshots: counts by category name, and from them one row a source-week."""
     counts = _kept(t, gate.name_counts(weekly_items(t)))
-    meta = counts.groupBy("week", "source_id").agg(F.sum("n").alias("count"))
-    return counts, meta, diff.lookback(meta), category_dim(t)
+    meta = _kept(t, counts.groupBy("week", "source_id").agg(F.sum("n").alias("count")))
+    return counts, meta, _kept(t, diff.lookback(meta)), category_dim(t)
 
 
 @query("category_count_check", _EXPECTED + "SELECT * FROM off_range")
