@@ -196,3 +196,37 @@ def test_no_close_name_is_missed(spark, threshold):
     want = {(a, b) for a in sides[0] for b in sides[1] if a != b and SequenceMatcher(None, a, b).ratio() >= threshold}
     got = {(r.cur_name, r.prev_name) for r in similarity.name_pairs(cur, prev, threshold).collect()}
     assert got == want
+
+
+def test_bits_thin_pairs_out_before_characters_are_counted(spark):
+    schema = "source_id string, week string, cat string, name string"
+    sides = [spark.createDataFrame([("s", "w", "c", f"{i:016x}") for i in range(k, 40)], schema) for k in (0, 5)]
+    plan = similarity.name_pairs(*sides, 0.85)._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.splitlines() if "Join" in line and "bit_count" in line]
+    assert join.index("bit_count") < join.index("array_distinct")
+    # the bits are there once a name, not computed again for each piece
+    assert "shiftleft" not in plan
+
+
+def test_a_piece_is_looked_for_at_few_places(spark):
+    schema = "source_id string, week string, cat string, name string"
+    names = spark.createDataFrame([("s", "w", "c", "0123456789abcdef")], schema)
+    rows = similarity._pieces(similarity._partner_lengths(names, names, 0.85), F.col("other"), F.length("name"), 0.85)
+    places = rows.select(F.size(similarity._shifted_pieces(F.col("name"), F.col("other"))).alias("n")).collect()
+    assert sorted(r.n for r in places) == [1, 1, 2, 2, 3]
+
+
+@pytest.mark.parametrize("threshold", [0.68, 0.75, 0.85])
+def test_shifts_of_inserted_and_dropped_blocks_are_found(spark, threshold):
+    dice = random.Random(11)
+
+    def changed(name):
+        at, cut, more = dice.randrange(len(name) + 1), dice.randrange(5), dice.randrange(5)
+        return name[:at] + "".join(dice.choice("ab01") for _ in range(more)) + name[at + cut:]
+    base = ["".join(dice.choice("0123ab") for _ in range(dice.choice([6, 11, 16, 19]))) for _ in range(60)]
+    sides = [sorted({changed(changed(n)) for n in base} | {changed(n) for n in base}) for _ in range(2)]
+    cur, prev = (spark.createDataFrame([("s", "w", "c", n) for n in side], "source_id string, week string, cat string, "
+                                       "name string") for side in sides)
+    want = {(a, b) for a in sides[0] for b in sides[1] if a != b and SequenceMatcher(None, a, b).ratio() >= threshold}
+    got = {(r.cur_name, r.prev_name) for r in similarity.name_pairs(cur, prev, threshold).collect()}
+    assert got == want
