@@ -14,9 +14,24 @@ from shelfdiff.llm import gray, mixing, packing, quality, suffix_dedup
 from shelfdiff.llm.queries import tokenizer_path
 from shelfdiff.session import scratch_path
 
+#: Rows of whole texts, and bytes, that a task hands to Python at a time. Spark's 10,000 rows are some 60 MB of text,
+#: held by the JVM's writer, by the reader and as Python's objects at once.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Set for the session, as a stage's result is computed after the stage returns; a lower setting stays."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).removesuffix("B").removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality of at least one half; the lines are judged by a field fitted on all labels."""
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "quality")
     field = quality.train(docs, labels)
     return docs.filter(quality.score_of(F.col("text"), field) >= 0.5)
@@ -24,11 +39,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near-copies: five words, similarity 0.8."""
+    _small_batches(spark)
     return gray.one_of_each_group(docs)
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 bytes and more that an earlier document has."""
+    _small_batches(spark)
     return suffix_dedup.without_repeats(docs)
 
 
@@ -39,6 +56,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of a document lies in the sequences."""
+    _small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 

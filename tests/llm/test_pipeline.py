@@ -1,4 +1,6 @@
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.tables import SCHEMA, HAS_TABLES, SF_DIR, awkward, empty
@@ -39,3 +41,28 @@ def test_run_equals_its_stages(spark, tmp_path):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     want = sorted(map(tuple, docs.select(*key).collect()))
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF_DIR).select(*key).collect())) == want
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    keys = [f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Records", "Bytes")]
+    before = [spark.conf.get(k) for k in keys]
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    def most(rows, text):
+        docs = spark.range(rows).select(text.alias("text")).coalesce(1)
+        found = docs.mapInArrow(sizes, "rows bigint, bytes bigint").agg(F.sum("rows"), F.max("rows"), F.max("bytes")).first()
+        assert found[0] == rows
+        return found[1:]
+    try:
+        corpus_pipeline.distinct_documents(spark, spark.createDataFrame([], "doc_id bigint, text string"), "")
+        assert most(5000, F.lit("short"))[0] <= corpus_pipeline.BATCH_ROWS
+        assert most(600, F.repeat(F.lit("x"), 100_000))[1] < 2 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(keys[0], "7")
+        corpus_pipeline._small_batches(spark)
+        assert spark.conf.get(keys[0]) == "7"
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
