@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff.llm import bits
 from shelfdiff.llm.components import connected_components
+from shelfdiff.llm.parts import give_back, tidied
 from shelfdiff.session import cut_lineage, scratch_path
 
 #: Shingle width and radius of the exact index; leading bits of a top node; rows of a node before it is cut.
@@ -252,6 +253,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
         for b in batches:
             packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 6) for t in _texts(b)]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
+        give_back()
 
     def shingles(packed: bytes) -> np.ndarray:
         return _shingle_set(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
@@ -268,6 +270,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: fl
                 both = len(np.intersect1d(first, second, assume_unique=True))
                 out.append(both / (len(first) + len(second) - both) if len(first) + len(second) else 1.0)
             yield pd.Series(out, dtype=float)
+        give_back()
     pairs = cut_lineage(_possible(pairs, nodes, similarity))
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = cut_lineage(nodes.join(asked, "node", "left_semi").select("node", "text_hash"))
@@ -351,6 +354,7 @@ def _shared_tokens(docs: DataFrame, documents: int, shingles: int, similarity: f
             for at in range(0, b.num_rows, PACKED_DOCS):
                 rows = _pack_tokens(_texts(b.slice(at, PACKED_DOCS)), common, often, hot, similarity, buckets)
                 yield pa.RecordBatch.from_pandas(rows, pa.schema(_PACKED), preserve_index=False)
+        give_back()
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -363,7 +367,7 @@ def _shared_tokens(docs: DataFrame, documents: int, shingles: int, similarity: f
                      pa.array(np.full(len(tokens), len(found), np.int32))], ["token", "node", "size"])
     packed = docs.select("text").mapInArrow(pack, "bucket int, nodes binary, sizes binary, counts binary, tokens binary")
     schema = "token bigint, node bigint, size int"
-    met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, schema)
+    met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(tidied(_meet), schema)
     if len(hot):
         met = met.unionByName(docs.select("text").mapInArrow(single, schema))
     return cut_lineage(met.distinct())
@@ -422,6 +426,7 @@ def near_groups(docs: DataFrame, similarity: float = NEAR_SIMILARITY) -> DataFra
                 [b.column("doc_id"), b.column("text_hash"), pa.array(np.array(node, np.uint64).view(np.int64)),
                  pa.array(size, pa.int32()), pa.array(np.array(print_, np.uint64).view(np.int64)),
                  pa.array(parity, pa.binary())], ["doc_id", "text_hash", "node", "size", "print", "parity"])
+        give_back()
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2 ** 63 - 1)).alias("doc_id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     rows = cut_lineage(rows.mapInArrow(marks, "doc_id bigint, text_hash bigint, node bigint, size int, print bigint, "

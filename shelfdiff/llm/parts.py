@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +22,35 @@ RANGES = 4096
 MOST_VALUES = 10_000
 
 
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; Spark keeps idle Python workers for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU C library
+        pass
+
+
+def tidied(work: Callable) -> Callable:
+    """``work`` on the rows of a group, after which the process gives back what it held for them."""
+    def run(pdf):
+        try:
+            return work(pdf)
+        finally:
+            give_back()
+    return run
+
+
+def tidied_pair(work: Callable) -> Callable:
+    """As ``tidied``, for the rows of two tables that meet in a group."""
+    def run(left, right):
+        try:
+            return work(left, right)
+        finally:
+            give_back()
+    return run
+
+
 def word_count(text: Column) -> Column:
     """Number of words; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfdiff.llm import suffixes as S
+from shelfdiff.llm.parts import give_back, tidied, tidied_pair
 
 #: Text bytes of a block of documents and of a bucket of suffixes, and what a large corpus may raise them to.
 BLOCK_BYTES = 4 << 20
@@ -70,6 +71,7 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                   bytes=np.frombuffer(b"".join(some), np.uint8)))
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(name), pa.int32()), pa.array(rows, pa.binary())],
                                              ["block", "data"])
+    give_back()
 
 
 def _block_of(pdf: pd.DataFrame) -> tuple[S.Block, np.ndarray]:
@@ -126,12 +128,13 @@ def _splitters(docs: DataFrame, buckets: int, n_docs: int) -> np.ndarray:
     return np.unique(tokens[(np.arange(1, buckets) * len(tokens)) // buckets])
 
 
-def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
+def repeated_strings(docs: DataFrame, keep_bytes: bool = True, keep_text: bool = False) -> DataFrame:
     """doc_id, text_hash, n_bytes, spans, kept: what each document keeps without strings an earlier one has.
 
     A byte goes if a string of ``suffixes.LENGTH`` bytes that covers it also starts in a document with a smaller id.
     Strings are judged on the input. ``spans`` are the removed runs as (start, end) bytes, ``kept`` the other bytes
-    (null unless ``keep_bytes``; a cut may fall inside a character).
+    (null unless ``keep_bytes``; a cut may fall inside a character). With ``keep_text``, ``cut`` is what is left as text,
+    without characters of which a byte goes (null where nothing is removed).
 
     Documents are dealt into blocks. 1. Blocks send their different tokens (48-bit codes of the 16 bytes at an
     anchor) to buckets between sampled splitters; a token seen in one document alone is dropped there. 2. Blocks
@@ -285,7 +288,7 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         return (np.concatenate(x) for x in zip(*out))
 
     def marked(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        columns = ["doc_id", "text_hash", "n_bytes", "spans", "kept"]
+        columns = ["doc_id", "text_hash", "n_bytes", "spans", "kept", *["cut"] * keep_text]
         if not len(texts):
             return pd.DataFrame([], columns=columns)
         block, hashes = _block_of(texts)
@@ -310,18 +313,20 @@ def repeated_strings(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
             part = gone[a:b]
             turns = np.flatnonzero(np.diff(np.concatenate(([0], part.view(np.int8), [0]))))
             spans = [{"start": int(x), "end": int(y)} for x, y in turns.reshape(-1, 2)]
-            out.append((i, h, b - a, spans, block.data[a:b][~part].tobytes() if keep_bytes else None))
+            rest = block.data[a:b][~part].tobytes() if keep_bytes or keep_text and spans else None
+            row = (i, h, b - a, spans, rest if keep_bytes else None)
+            out.append((*row, rest.decode("utf-8", "ignore") if spans else None) if keep_text else row)
         return pd.DataFrame(out, columns=columns)
 
-    tokens = dealt.groupBy("block").applyInPandas(tokens_of, "block int, bucket int, data binary")
-    passed = tokens.groupBy("bucket").applyInPandas(shared_tokens, "block int, data binary")
+    tokens = dealt.groupBy("block").applyInPandas(tidied(tokens_of), "block int, bucket int, data binary")
+    passed = tokens.groupBy("bucket").applyInPandas(tidied(shared_tokens), "block int, data binary")
     regions = (dealt.groupBy("block").cogroup(passed.groupBy("block"))
-               .applyInPandas(regions_of, "block int, bucket int, data binary"))
-    runs = regions.groupBy("bucket").applyInPandas(least_of, "block int, part int, data binary")
+               .applyInPandas(tidied_pair(regions_of), "block int, bucket int, data binary"))
+    runs = regions.groupBy("bucket").applyInPandas(tidied(least_of), "block int, part int, data binary")
     found = passed.withColumn("part", F.lit(0)).unionByName(runs)
     return (dealt.groupBy("block").cogroup(found.groupBy("block"))
-            .applyInPandas(marked, "doc_id bigint, text_hash bigint, n_bytes bigint, "
-                           "spans array<struct<start:bigint,end:bigint>>, kept binary")
+            .applyInPandas(tidied_pair(marked), "doc_id bigint, text_hash bigint, n_bytes bigint, "
+                           "spans array<struct<start:bigint,end:bigint>>, kept binary" + ", cut string" * keep_text)
             .withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id"))))
 
 
@@ -331,12 +336,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A character of which a byte goes, goes. Null texts stay null; texts of which nothing is left are empty. Rows that
     agree in id and text get the same text. All columns and rows are kept.
     """
-    @F.pandas_udf("string")
-    def decoded(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: b.decode("utf-8", "ignore"))
-    found = repeated_strings(docs.select("doc_id", "text"))
+    # the blocks decode what they cut: a function of its own would need a second Python process beside each task's first
+    found = repeated_strings(docs.select("doc_id", "text"), keep_bytes=False, keep_text=True)
     cut = (found.filter(F.size("spans") > 0)
-           .select(F.col("doc_id").alias("_cut_id"), "text_hash", decoded("kept").alias("_cut"))
+           .select(F.col("doc_id").alias("_cut_id"), "text_hash", F.col("cut").alias("_cut"))
            .dropDuplicates(["_cut_id", "text_hash"]))
     columns = docs.columns
     rows = docs.select(F.struct(*columns).alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"),

@@ -1,10 +1,12 @@
 import hashlib
 import random
+import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from shelfdiff.llm import queries, suffix_dedup, suffixes
+from shelfdiff.llm import parts, queries, suffix_dedup, suffixes
 from tests.llm.tables import HAS_TABLES, SF_DIR, awkward, awkward_rows, documents, empty
 
 
@@ -96,6 +98,24 @@ def test_texts_without_repeats(spark):
     assert suffix_dedup.without_repeats(empty(spark)).count() == 0
 
 
+def test_cut_texts_need_no_second_python_process(spark):
+    plan = suffix_dedup.without_repeats(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" in plan and "ArrowEvalPython" not in plan
+
+
+def test_groups_give_their_memory_back():
+    def held():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) >> 10
+
+    def work(pdf):
+        pieces = [b"x" * (50_000 + k % 7) for k in range(2000)]
+        kept.append(pieces[-1])
+        return pdf
+    kept, before = [], held()
+    assert parts.tidied(work)(3) == 3 and parts.tidied_pair(lambda a, b: a + b)(1, 2) == 3
+    assert held() < before + 30
+
+
 @pytest.mark.skipif(not HAS_TABLES, reason="no test tables")
 def test_query(spark):
     rows = queries.QUERIES["op7_suffix_array"](spark, SF_DIR).collect()
