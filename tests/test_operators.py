@@ -193,6 +193,16 @@ def test_gone_is_absent_without_a_base_and_zero_with_one(spark):
     assert (row.previous_published, row.gone) == (1, 0)
 
 
+def test_gone_items_are_not_broadcast(spark):
+    keys = "source_id string, week string, external_id string, name string"
+    removed = spark.createDataFrame([("a", "w", "1", "z"), ("a", "w", "1", "z"), ("a", "w", "9", "z")], keys)
+    base = spark.createDataFrame([("a", "w", "1", "x"), ("a", "w", "2", "y")], keys)
+    counts, names = report.published_then_gone(base, removed), report.gone_names(base, removed)
+    for df in (counts, names):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in counts.collect()] == [("a", "w", 2, 1)] and [r.name for r in names.collect()] == ["x"]
+
+
 def test_monotonic_metric_counts_non_numbers_as_below(spark):
     kind = "source_id string, week string, alt_ids map<string,string>"
     prev = spark.createDataFrame([("cu", "w", {"gd_idx": "10"}), ("cu", "w", {"gd_idx": "x"}), ("orion", "w", {"gd_idx": "5"})], kind)
