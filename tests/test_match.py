@@ -1,9 +1,11 @@
+import os
 import random
+import time
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from shelfdiff import schemas
+from shelfdiff import schemas, session
 from shelfdiff.operators import diff, match, similarity
 import pytest
 
@@ -173,6 +175,60 @@ def test_growing_tables_do_not_go_through_the_driver(spark):
     assert (result.added.count(), result.removed.count()) == (2, 2)
 
 
+def _files(root):
+    return [os.path.join(folder, f) for folder, _, files in os.walk(root) for f in files]
+
+
+def test_a_diff_in_slices_is_the_whole_diff_and_deletes_what_a_slice_needed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_shared_root", lambda _spark: str(tmp_path))
+    dice = random.Random(5)
+    rows = [(f"s{s}", f"2026-W{w}", i, f"{i + 10 * (dice.random() < 0.2)}", {"barcode": str(dice.randrange(9))},
+             f"name of item {'x' * dice.randrange(2)}{i}", 1 + (dice.random() < 0.3), "c", None)
+            for s in range(7) for w in (31, 33, 34) for i in range(6 - s % 3)]
+    items = spark.createDataFrame(rows, COLUMNS)
+    meta = items.groupBy("source_id", "week").agg(F.count("*").alias("count"))
+    names = ("added", "removed", "changed", "review", "conflicts", "counts", "matches", "over_limit")
+
+    def rows_of(found):
+        return {n: sorted(map(str, getattr(found, n).collect())) for n in names}
+    whole = rows_of(diff.diff(items, meta))
+    kept = {os.path.relpath(f, tmp_path).split("-")[0] for f in _files(tmp_path)}
+    assert kept == {"lookback", "matches", "review", "pairs", "counts"}
+    assert whole == rows_of(diff.diff(items.withColumn(diff.SLICE, diff.slice_of(3)), meta, slices=3))
+    assert len(whole["counts"]) == 21 and whole["review"] and whole["changed"]
+    straight = diff.diff_pair(*diff.pair_snapshots(items, diff.lookback(meta)))
+    for n in ("added", "removed", "review", "matches"):
+        assert sorted(map(str, getattr(straight, n).collect())) == whole[n]
+
+
+def test_shuffle_files_go_with_the_action_that_made_them(spark, tmp_path):
+    places = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f for place in places for f in _files(place) if os.path.basename(f).startswith("shuffle_")}
+    before, key = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    told = spark.conf.get(key)
+    frame = spark.range(1000).repartition(3, "id")
+    kept = [session.cut_lineage(frame), session.write_scratch(frame, str(tmp_path / "t"))]
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and [df.count() for df in kept] == [1000, 1000] and frame.count() == 1000
+    assert spark.conf.get(key) == told
+
+
+def test_only_names_within_reach_are_compared(spark):
+    schema = "source_id string, week string, pos bigint, category_raw string, name string"
+    cur = spark.createDataFrame([("s", "w", 1, "a", "abcdefgh"), ("s", "w", 2, "b", "abcdefgh"), ("s", "w", 3, "a", "abc"),
+                                 ("s", "w", 4, None, "")], schema)
+    prev = spark.createDataFrame([("s", "w", 5, "a", "zbcdefgh"), ("s", "w", 6, "c", "abcdefgh"), ("s", "w", 7, None, "")], schema)
+    sides = similarity._comparable(cur, prev, 0.85, None)
+    assert [sorted(r.pos for r in side.collect()) for side in sides] == [[1, 4], [5, 7]]
+    got = sorted((r.cur_pos, r.prev_pos) for r in similarity.review(cur, prev, 0.85).collect())
+    assert got == [(1, 5), (4, 7)]
+
+
 def test_a_name_meets_only_lengths_that_occur(spark):
     schema = "source_id string, week string, cat string, name string"
     names = spark.createDataFrame([("s", "w", "c", f"{i:016x}") for i in range(20)], schema)
