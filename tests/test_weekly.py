@@ -204,3 +204,25 @@ def test_steps_leave_no_scratch_behind(spark, tmp_path, monkeypatch):
         spark.range(3).write.parquet(session.scratch_path(spark, "t"))
         raise ValueError
     assert list(root.iterdir()) == []
+
+
+def test_the_base_of_published_then_gone_is_a_stored_publication(spark, tmp_path, monkeypatch):
+    """What the week before found new and in scope, by way of its own steps: no part of the catalog chosen by a column."""
+    from shelfdiff import session
+    from shelfdiff.plans import catalog, q_publish
+    monkeypatch.setattr(session, "_shared_root", lambda _spark: str(tmp_path / "shared"))
+    sizes = [(i, b, s) for i, (b, s) in enumerate([("Brand#2", 7), ("Brand#2", 30), ("Brand#2", 40), ("Brand#2", 50), ("Brand#3", 2),
+                                                  ("Brand#3", 7), ("Brand#4", 50), ("Brand#1", 50), ("Brand#3", 44)], 1)]
+    spark.createDataFrame([(i, "big ring", b, "LARGE", s, 900.0) for i, b, s in sizes],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double") \
+        .coalesce(1).write.parquet(str(tmp_path / "sf" / "part.parquet"))
+    t = catalog.Tables(spark, str(tmp_path / "sf"))
+    rows = {r.external_id: r for r in q_publish.published_before(t).collect()}
+    # of the half of Brand#2 with odd keys and of Brand#3, without size 7, which the editor takes out
+    assert sorted(rows) == ["3", "5", "9"]
+    assert {(r.week, r.first_seen, r.id) for r in rows.values()} == {
+        ("2026-W35", "2026-W35", f"{r.source_id}--{r.external_id}") for r in rows.values()}
+    assert (rows["3"].brand, rows["5"].channel, rows["9"].blurb) == ("CU", "cafe", "가" * 40)
+    (place,) = (tmp_path / "shared").glob("published-*")
+    assert [p.name for p in place.glob("week=*")] == ["week=2026-W35"]
+    assert {p.name.split("-")[0] for p in (tmp_path / "shared").iterdir() if any(f.is_file() for f in p.rglob("*"))} == {"published"}
